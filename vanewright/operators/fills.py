@@ -6,6 +6,24 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import NumericType
+
+ROWS_PER_CHUNK = 2_000_000
+
+
+def _time_chunk(df: DataFrame, time: str, rows_per_chunk: int) -> Column:
+    """Number of the slice of time a row lies in; all slices are as long, and hold ``rows_per_chunk`` rows on average.
+
+    Takes one pass for the number of rows and the range, which parquet footers can answer.
+    """
+    place = F.col(time)
+    if not isinstance(df.schema[time].dataType, NumericType):
+        place = F.unix_micros(place.cast("timestamp"))
+    rows, low, high = df.agg(F.count(time), F.min(place), F.max(place)).first()
+    if not rows or high == low:
+        return F.lit(0)
+    width = (high - low) * min(rows_per_chunk / rows, 1.0)
+    return F.floor((place - F.lit(low)) / F.lit(width))
 
 
 def fill_along_time(
@@ -15,22 +33,20 @@ def fill_along_time(
     columns: Sequence[str],
     direction: str = "forward",
     ties: Sequence[str] = (),
-    chunk: Column | None = None,
+    rows_per_chunk: int = ROWS_PER_CHUNK,
 ) -> DataFrame:
     """Replace nulls by the entity's last (``forward``) or next (``backward``) value in time order.
 
-    An entity's history is cut into chunks of time (a day each unless ``chunk`` says otherwise), so it is never in one
-    task: a chunk is filled from its own rows, and where it has none yet, from the nearest earlier (later) chunk with a
-    value. That value comes from one row per entity and chunk, aggregated before the shuffle.
-    ``chunk`` must never decrease as time increases.
+    All histories are cut at the same times into chunks of about ``rows_per_chunk`` rows, so even an entity that holds
+    most rows is spread over many tasks. A chunk of an entity is filled from its own rows, and where it has none yet,
+    from the nearest earlier (later) chunk with a value; that value comes from one row per entity and chunk,
+    aggregated before the shuffle. ``ties`` settle the order of equal times.
     """
     if direction not in ("forward", "backward"):
         raise ValueError(f"unknown direction {direction!r}")
     forward = direction == "forward"
-    if chunk is None:
-        chunk = F.date_trunc("day", F.col(time))
     # As one struct, a null key equals itself, and the join and the window share a partitioning.
-    slot = F.struct(F.struct(*keys).alias("entity"), chunk.alias("chunk"))
+    slot = F.struct(F.struct(*keys).alias("entity"), _time_chunk(df, time, rows_per_chunk).alias("chunk"))
     order = F.struct(time, *ties)
     rows = df.withColumn("_slot", slot)
 

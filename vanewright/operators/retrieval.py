@@ -12,7 +12,7 @@ from pyspark.sql.types import DoubleType, StructField, StructType
 
 from vanewright.functions.columns import columns_named
 from vanewright.functions.text import decimals_in, joined_values
-from vanewright.operators.bounded import rows_if_small
+from vanewright.operators.bounded import join_small, rows_if_small
 
 # A block of queries is held by every task: 2,048 vectors of 1,024 doubles are 16 MB.
 QUERY_BLOCK = 2_048
@@ -153,10 +153,10 @@ def _nearest_by_blocks(vectors, asked, k, corpus_id, query_id, schema, query_blo
 def similar_reports(corpus: DataFrame, requests: DataFrame, text: str, k: int = 5, query_id: str = "query_id"):
     """The k reports most like the readings in each request text, with their content and metadata.
 
-    Requests without a number come back as one row with ``status`` invalid. Only the k found rows per request are
-    joined back to the corpus.
+    Requests without a number come back as one row with ``status`` invalid. The k found rows per request are
+    broadcast (while they pass the size check) to pick up their details, so the report texts are not shuffled.
     """
     parsed = parse_readings(requests, text).select(query_id, "vector", "status")
     found = nearest(corpus, parsed, k, "report_id", query_id)
-    details = found.join(corpus.drop("vector"), "report_id")
+    details = join_small(corpus.drop("vector"), found, ["report_id"])
     return parsed.drop("vector").join(details, query_id, "left")

@@ -137,6 +137,16 @@ _INFERRED = {
 _INFERRED["parquet"] = _INFERRED["json"]
 _READING_COLUMNS = 'reading_id, turbine_id, "timestamp", energy, sensor_value, sensor_k, event_type'
 
+_KNN = """WITH parts AS (
+        SELECT vec_id, label, unnest(range(1, len(embedding) + 1)) AS i, CAST(unnest(embedding) AS DOUBLE) AS x
+        FROM embeddings),
+      centres AS (SELECT label, i, round(avg(x), 6) AS m FROM parts GROUP BY 1, 2),
+      distances AS (SELECT c.label AS query_id, p.vec_id, sum((p.x - c.m) * (p.x - c.m)) AS distance
+        FROM parts p JOIN centres c USING (i) GROUP BY 1, 2),
+      ranked AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY distance, vec_id) AS INTEGER)
+        AS rank FROM distances)
+      SELECT query_id, vec_id, round(distance, 6) AS distance, rank FROM ranked WHERE rank <= 5"""
+
 ORACLES: dict[str, str] = {
     "q_epoch_to_hour": f"""WITH {_READINGS}
       SELECT reading_id, "timestamp", date_trunc('hour', ts) AS hourly_timestamp FROM readings""",
@@ -256,15 +266,8 @@ ORACLES: dict[str, str] = {
       SELECT count(*) AS columns, count(*) FILTER (WHERE d) AS drifted_columns,
         count(*) FILTER (WHERE d) / count(*) AS share,
         CAST(count(*) FILTER (WHERE d) / count(*) >= 0.5 AS INTEGER) AS drifted FROM flags""",
-    "q_knn": """WITH parts AS (
-        SELECT vec_id, label, unnest(range(1, len(embedding) + 1)) AS i, CAST(unnest(embedding) AS DOUBLE) AS x
-        FROM embeddings),
-      centres AS (SELECT label, i, round(avg(x), 6) AS m FROM parts GROUP BY 1, 2),
-      distances AS (SELECT c.label AS query_id, p.vec_id, sum((p.x - c.m) * (p.x - c.m)) AS distance
-        FROM parts p JOIN centres c USING (i) GROUP BY 1, 2),
-      ranked AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY distance, vec_id) AS INTEGER)
-        AS rank FROM distances)
-      SELECT query_id, vec_id, round(distance, 6) AS distance, rank FROM ranked WHERE rank <= 5""",
+    "q_knn": _KNN,
+    "q_knn_cells": _KNN,
     "q_report_corpus": f"""{_CORPUS} SELECT report_id, content, location, model, state, maintenance_report
       FROM corpus""",
     "q_similar_reports": f"""{_CORPUS}, asked AS (

@@ -14,6 +14,7 @@ from vanewright.functions.labels import health_label
 from vanewright.functions.text import REQUEST_FIELDS, decimals_in, explode_ids, parse_requests
 from vanewright.functions.times import epoch_seconds, hour_of, with_date_parts
 from vanewright.operators import drift, metrics, models, retrieval
+from vanewright.operators.cells import VectorCells
 from vanewright.operators.features import hourly_features, split_percentiles
 from vanewright.operators.fills import fill_along_time
 from vanewright.operators.keyed import first_per_key, latest_per_key, latest_specifications, merge_rows
@@ -489,17 +490,27 @@ def similar_reports(spark, folder):
     return _rounded(found, 6, ["distance"])
 
 
-def knn(spark, folder):
-    """The five vectors nearest to the centre of each label."""
+def _vectors_and_centres(spark, folder):
+    """All vectors, and the centre of each label to search for."""
     vectors = table(spark, folder, "embeddings")
     centres = vectors.groupBy(F.col("label").alias("query_id")).agg(
         vector_to_array(Summarizer.mean(array_to_vector("embedding"))).alias("mean")
     ).select("query_id", F.transform("mean", lambda x: F.round(x, 6)).alias("vector"))
-    corpus = vectors.select("vec_id", F.col("embedding").alias("vector"))
-    found = retrieval.nearest(corpus, centres, 5, "vec_id", "query_id")
+    return vectors.select("vec_id", F.col("embedding").alias("vector")), centres
+
+
+def knn(spark, folder):
+    found = retrieval.nearest(*_vectors_and_centres(spark, folder), 5, "vec_id", "query_id")
     return _rounded(found, 6, ["distance"])
 
 
+def knn_cells(spark, folder):
+    vectors, centres = _vectors_and_centres(spark, folder)
+    index = VectorCells(spark, scratch_folder(spark, "cells"), "vec_id")
+    index.build(vectors, cells=16)
+    return _rounded(index.search(centres, 5, "query_id"), 6, ["distance"])
+
+
 # Streams
 
 
@@ -610,6 +621,7 @@ QUERIES: dict[str, Query] = {
     "q_drift_categorical": drift_categorical,
     "q_drift_table": drift_table,
     "q_knn": knn,
+    "q_knn_cells": knn_cells,
     "q_report_corpus": report_corpus,
     "q_similar_reports": similar_reports,
     "q_extract_numbers": extract_numbers,
