@@ -44,9 +44,8 @@ def _sorted_rows(columns, rows):
     return sorted(columns), sorted(cells, key=repr)
 
 
-def compare(spark, con, query, sql, folder) -> str | None:
+def compare(df, con, sql) -> str | None:
     """None when both agree, else what differs."""
-    df = query(spark, folder)
     left = _sorted_rows(df.columns, [tuple(r) for r in df.collect()])
     result = con.execute(sql)
     names = [d[0] for d in result.description]
@@ -76,7 +75,7 @@ def main() -> None:
         start = time.time()
         try:
             if name in oracles:
-                problem = compare(spark, con, query, oracles[name], folder)
+                problem = compare(query(spark, folder), con, oracles[name])
             else:
                 problem = None if (n := query(spark, folder).count()) else f"{n} rows"
         except Exception as e:  # noqa: BLE001 - one broken query must not hide the others

@@ -1,0 +1,74 @@
+import pytest
+from pyspark.sql import functions as F
+
+from vanewright.operators import models
+from vanewright.operators.metrics import binary_metrics
+from vanewright.operators.models import ModelRegistry
+from vanewright.sources.landing import append_stream, stream_files
+
+
+@pytest.fixture(scope="module")
+def training(spark):
+    """Faulty at some deviations of sensor A, which takes several splits to learn; a few values are missing."""
+    i = F.col("id")
+    return spark.range(400).select(
+        F.timestamp_seconds(1704067200 + i * 3600).alias("hourly_timestamp"),
+        F.when(i % 11 != 0, (i % 13).cast("double")).alias("avg_energy"),
+        (i % 10).cast("double").alias("std_sensor_A"),
+        F.when(i % 17 != 0, (i % 3).cast("double")).alias("std_sensor_B"),
+        F.concat(F.lit("loc"), (i % 4).cast("string")).alias("location"),
+        F.when(i % 19 != 0, F.lit("EpicWind")).alias("model"),
+        F.lit("N").alias("state"),
+        F.when((i % 10).isin(1, 4, 7), "faulty").otherwise("ok").alias("sensor_status"),
+    ).cache()
+
+
+@pytest.fixture(scope="module")
+def fitted(training):
+    return models.fit_model(training, forest=models.classifier(trees=10, depth=6))
+
+
+def test_model_learns_and_decodes(training, fitted):
+    scored = models.score(fitted, training.drop("sensor_status"))
+    assert scored.columns == [*training.columns[:-1], "predicted_label"]
+    both = models.score(fitted, training)
+    assert binary_metrics(both, "sensor_status", "predicted_label").first().f1 > 0.95
+
+
+def test_unknown_category_is_scored(training, fitted):
+    odd = training.limit(5).withColumn("location", F.lit("never seen")).drop("sensor_status")
+    assert models.score(fitted, odd).filter("predicted_label in ('ok', 'faulty')").count() == 5
+
+
+def test_scoring_a_stream(spark, training, fitted, folder):
+    rows = training.drop("sensor_status")
+    rows.repartition(3).write.parquet(f"{folder}/in")
+    stream = stream_files(spark, f"{folder}/in", "parquet", rows.schema, 1)
+    append_stream(models.score(fitted, stream), f"{folder}/out", f"{folder}/c").awaitTermination(120)
+    scored = spark.read.parquet(f"{folder}/out")
+    assert scored.exceptAll(models.score(fitted, rows)).count() == 0 and scored.count() == 400
+
+
+def test_registry(spark, training, fitted, folder):
+    registry = ModelRegistry(spark, folder)
+    assert registry.load("hourly") is None
+    assert registry.register("hourly", fitted, 0.9, deploy=0) is None
+    assert registry.register("hourly", fitted, 0.9, deploy=1) == "hourly:1"
+    assert registry.register("hourly", fitted, 0.95, deploy=1) == "hourly:2"
+    assert registry.register("other", fitted, 0.95, deploy=1) == "other:1"
+    assert registry.versions().count() == 3
+    loaded = registry.load("hourly", 7)
+    rows = training.limit(20)
+    assert models.score(loaded, rows).collect() == models.score(fitted, rows).collect()
+
+
+def test_search_is_repeatable_and_ranks_trials(training):
+    forest = models.classifier()
+    grid = models.search_grid(forest, 50)
+    assert len(grid) == 50 and [str(g) for g in grid] == [str(g) for g in models.search_grid(forest, 50)]
+    assert all(10 <= g[forest.maxDepth] <= 30 and 100 <= g[forest.numTrees] <= 1000 for g in grid)
+    few = [{**g, forest.numTrees: 5, forest.maxDepth: depth} for g, depth in zip(grid, (1, 5))]
+    best, trials = models.search(training, grid=few, forest=forest)
+    rows = trials.orderBy("trial").collect()
+    assert [r.depth for r in rows] == [1, 5] and rows[1].loss < rows[0].loss <= 0
+    assert best.stages[-2].getMaxDepth() == 5

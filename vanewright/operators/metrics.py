@@ -45,13 +45,15 @@ def deploy_gate(prior_scores: DataFrame, current_score: DataFrame, score: str =
 
     Both inputs are aggregates with one row per model version.
     """
-    best = prior_scores.agg(F.max(score).alias("best_prior"))
-    current = current_score.agg(F.max(score).alias("current"))
-    deploy = F.when(F.col("best_prior").isNull() | (F.col("current") >= F.col("best_prior")), 1).otherwise(0)
-    # Two global aggregates: exactly one row on either side.
-    return current.withColumn("_one", F.lit(1)).join(best.withColumn("_one", F.lit(1)), "_one").select(
-        "current", "best_prior", deploy.alias("deploy")
+    both = prior_scores.select(F.col(score).alias("_score"), F.lit(False).alias("_new")).unionByName(
+        current_score.select(F.col(score).alias("_score"), F.lit(True).alias("_new"))
     )
+    best = both.agg(
+        F.max(F.when(F.col("_new"), F.col("_score"))).alias("current"),
+        F.max(F.when(~F.col("_new"), F.col("_score"))).alias("best_prior"),
+    )
+    passes = F.col("best_prior").isNull() | (F.col("current") >= F.col("best_prior"))
+    return best.withColumn("deploy", F.when(passes, 1).otherwise(0))
 
 
 def best_trial(trials: DataFrame, loss: str = "loss", ties: Sequence[str] = ()) -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
+from heapq import nsmallest
 
 import numpy as np
 import pandas as pd
@@ -52,6 +53,19 @@ def _vectors(column: pd.Series) -> np.ndarray:
     return np.stack(column.to_numpy()).astype(np.float64) if len(column) else np.empty((0, 0))
 
 
+def _smallest(distance: np.ndarray, ids: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """The k smallest distances in order with their ids; ties go to the smaller id."""
+    if len(distance) > k:
+        limit = np.partition(distance, k - 1)[k - 1]
+        near, tied = np.flatnonzero(distance < limit), np.flatnonzero(distance == limit)
+        # Copies of one vector can make the tie large: only its smallest ids matter.
+        tied = np.array(nsmallest(k - len(near), tied, key=lambda j: ids[j]), dtype=np.int64)
+        at = np.concatenate([near, tied])
+        distance, ids = distance[at], ids[at]
+    order = sorted(range(len(distance)), key=lambda j: (distance[j], ids[j]))
+    return distance[order], ids[order]
+
+
 class _Best:
     """The k nearest rows per query seen so far."""
 
@@ -63,16 +77,19 @@ class _Best:
         for i, query in enumerate(self.queries):
             gap = vectors - query
             distance = np.einsum("ij,ij->i", gap, gap)
-            if len(distance) > self.k:
-                # All rows up to the k-th distance, ties included; the id settles ties below.
-                near = distance <= np.partition(distance, self.k - 1)[self.k - 1]
-                distance, near_ids = distance[near], ids[near]
+            kept, kept_ids = self.kept[i]
+            if len(kept) == self.k:
+                # Most rows are out here: farther than the k-th so far, or as far with a larger id.
+                better = distance < kept[-1]
+                tied = np.flatnonzero(distance == kept[-1])
+                better[tied[ids[tied] < kept_ids[-1]]] = True
+                chosen = np.flatnonzero(better)
             else:
-                near_ids = ids
-            distance = np.concatenate([self.kept[i][0], distance])
-            near_ids = np.concatenate([self.kept[i][1], near_ids])
-            order = sorted(range(len(distance)), key=lambda j: (distance[j], near_ids[j]))[: self.k]
-            self.kept[i] = (distance[order], near_ids[order])
+                chosen = np.arange(len(distance))
+            if len(chosen):
+                self.kept[i] = _smallest(
+                    np.concatenate([kept, distance[chosen]]), np.concatenate([kept_ids, ids[chosen]]), self.k
+                )
 
     def frame(self, query_id: str, corpus_id: str) -> pd.DataFrame:
         sizes = [len(d) for d, _ in self.kept]

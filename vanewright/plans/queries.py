@@ -18,7 +18,7 @@ from vanewright.operators.cells import VectorCells
 from vanewright.operators.features import hourly_features, split_percentiles
 from vanewright.operators.fills import fill_along_time
 from vanewright.operators.keyed import first_per_key, latest_per_key, latest_specifications, merge_rows
-from vanewright.operators.prepare import MedianFill, ModeFill, Scale, TimeFill
+from vanewright.operators.prepare import MedianFill, ModeFill, Scale, TimeFill, complete_rows
 from vanewright.operators.split import label_codes, one_hot, stratified_split
 from vanewright.plans.tables import (
     hourly_training_set,
@@ -30,7 +30,7 @@ from vanewright.plans.tables import (
     table,
     turbines,
 )
-from vanewright.session import scratch_folder
+from vanewright.session import scratch_folder, written
 from vanewright.sources.landing import append_stream, infer_schema, read_merged, stream_files
 from vanewright.sources.sinks import read_csv, write_csv
 from vanewright.sources.versions import VersionedTable
@@ -92,7 +92,7 @@ def dropna(spark, folder):
         F.nullif(F.col("sensor_k"), F.lit(13.0)).alias("sensor_k"),
         "sensor_value",
     )
-    return rows.dropna("any")
+    return complete_rows(rows)
 
 
 def date_parts(spark, folder):
@@ -200,9 +200,9 @@ def _versioned_orders(spark, folder) -> VersionedTable:
     """Two versions: orders before 1998, then all orders with a column more and the priority replaced."""
     orders = table(spark, folder, "orders")
     versions = VersionedTable(spark, scratch_folder(spark, "versions"))
-    versions.write(orders.filter(F.col("o_orderdate") < F.lit("1998-01-01").cast("timestamp_ntz")))
-    later = orders.join(versions.read(0).select("o_orderkey"), "o_orderkey", "left_anti")
-    both = versions.read().unionByName(later)
+    cut = F.lit("1998-01-01").cast("timestamp_ntz")
+    versions.write(orders.filter(F.col("o_orderdate") < cut))
+    both = versions.read().unionByName(orders.filter(F.col("o_orderdate") >= cut))
     versions.write(
         both.withColumn("urgency", F.substring("o_orderpriority", 1, 1).cast("int")).drop("o_orderpriority")
     )
@@ -486,7 +486,8 @@ def similar_reports(spark, folder):
     requests = units.groupBy(F.col("state").alias("query_id")).agg(text.alias("request")).withColumn(
         "request", F.when(F.col("query_id") == "ASIA", "no readings, sorry").otherwise(F.col("request"))
     )
-    found = retrieval.similar_reports(_corpus(spark, folder), requests, "request")
+    stored = written(_corpus(spark, folder), "corpus")
+    found = retrieval.similar_reports(stored, requests, "request")
     return _rounded(found, 6, ["distance"])
 
 
@@ -554,7 +555,7 @@ def _stored_training_set(spark, folder) -> DataFrame:
         "turbine_id", "hourly_timestamp", "avg_energy", "std_sensor_k", "std_sensor_value", "location", "model",
         "state", "sensor_status",
     )
-    versions.write(rows.dropna("any"))
+    versions.write(complete_rows(rows))
     return versions.read()
 
 

@@ -9,8 +9,7 @@ from pyspark.sql import SparkSession
 
 # Settings this package relies on, for whoever builds the session.
 # UTC keeps hour truncation and text timestamps free of daylight-saving jumps; RocksDB keeps stream state
-# for many (unit, hour) keys off the executor heap; the raised fallback threshold keeps percentile
-# sketches in the hash aggregate when a task sees many groups.
+# for many (unit, hour) keys off the executor heap.
 SESSION_SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
@@ -18,7 +17,6 @@ SESSION_SETTINGS = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
-    "spark.sql.objectHashAggregate.sortBased.fallbackThreshold": "4096",
 }
 
 

@@ -16,13 +16,17 @@ _FORMAT = {
 
 
 def write_csv(df: DataFrame, path: str) -> None:
-    """CSV files with a header. Nulls are empty; an empty text is quoted, so that the two stay apart."""
-    df.write.mode("overwrite").options(**_FORMAT, emptyValue='""').csv(path)
+    """CSV files with a header."""
+    df.write.mode("overwrite").options(**_FORMAT).csv(path)
 
 
-def read_csv(spark: SparkSession, path: str, schema: StructType | str) -> DataFrame:
-    """CSV files written by ``write_csv``, with a declared schema: no pass over the data to guess types."""
-    return spark.read.options(**_FORMAT, mode="FAILFAST").schema(schema).csv(path)
+def read_csv(spark: SparkSession, path: str, schema: StructType | str, multi_line: bool = False) -> DataFrame:
+    """CSV files with a header and a declared schema: no pass over the data to guess types.
+
+    An empty field is a missing value. Texts with line breaks need ``multi_line``, which keeps Spark from splitting
+    large files.
+    """
+    return spark.read.options(**_FORMAT, mode="FAILFAST", multiLine=multi_line).schema(schema).csv(path)
 
 
 def append_result(df: DataFrame, path: str) -> None:

@@ -41,24 +41,31 @@ class UpsertTable:
                 raise
             return self.spark.createDataFrame([], with_batch)
 
-    def _compacted_through(self) -> int:
-        last = self.base.history().agg(F.max_by("note", "version")).first()[0]
-        return -1 if last is None else int(last)
+    def _compacted(self) -> tuple[int | None, int]:
+        """Latest compacted version and the last batch in it."""
+        row = self.base.history().agg(F.max("version"), F.max_by("note", "version")).first()
+        return (None, -1) if row[0] is None else (row[0], int(row[1]))
+
+    def _last_batch(self) -> int:
+        last = self._changes().agg(F.max("batch_id")).first()[0]
+        return -1 if last is None else last
 
     def read(self, through: int | None = None) -> DataFrame:
-        """Current rows, or those after batch ``through``. Compacted batches are pruned by folder."""
-        done = self._compacted_through()
+        """Current rows; with ``through``, later batches left out. Compacted batches are pruned by folder."""
+        version, done = self._compacted()
         changes = self._changes().filter(F.col("batch_id") > done)
         if through is not None:
             changes = changes.filter(F.col("batch_id") <= through)
         newest = first_per_key(changes, self.keys, [F.col("batch_id").desc()]).drop("batch_id")
-        if done < 0:
-            return newest
-        return merge_rows(self.base.read(), newest, self.keys)
+        return newest if version is None else merge_rows(self.base.read(version), newest, self.keys)
 
     def compact(self) -> int | None:
         """Fold all present batches into a new version; None if there is nothing new."""
-        last = self._changes().agg(F.max("batch_id")).first()[0]
-        if last is None or last <= self._compacted_through():
+        last = self._last_batch()
+        if last <= self._compacted()[1]:
             return None
         return self.base.write(self.read(through=last), note=str(last))
+
+    def rebuild(self, df: DataFrame) -> int:
+        """Replace all rows by ``df`` as a new version: batches applied so far no longer count."""
+        return self.base.write(df.select(*self.schema.names), note=str(self._last_batch()))
