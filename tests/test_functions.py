@@ -54,7 +54,9 @@ def test_date_parts_of_text(spark):
     rows = with_date_parts(df, "at", "all", keep_original=True).collect()
     assert tuple(rows[0])[1:] == (2024, 1, 15, 13, 45, 0)  # a Monday
     assert all(v is None for r in rows[1:] for v in tuple(r)[1:])
-    assert with_date_parts(df, "at", "month").columns == ["year_ts", "month_ts"]
+    months = with_date_parts(df, "at", "month")
+    assert months.columns == ["year_ts", "month_ts"]
+    assert months.schema["month_ts"].metadata == {"feature_name": "at_month_ts"}
     with pytest.raises(TypeError):
         with_date_parts(spark.range(1), "id")
 

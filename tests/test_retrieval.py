@@ -1,3 +1,8 @@
+import os
+import subprocess
+import sys
+from pathlib import Path
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -77,3 +82,21 @@ def test_corpus_and_similar_reports(spark):
     assert (got[1].status, got[1].report_id, got[1].maintenance_report) == ("ok", "t1/1", "report one")
     assert (got[2].status, got[2].report_id) == ("invalid", None)
     assert parse_readings(asked, "request").filter("query_id = 1").first().vector == [1.4, 0.6]
+
+
+def test_workers_do_not_need_the_package(tmp_path):
+    """The driver alone knows where the package is, as on a cluster."""
+    repo = Path(__file__).resolve().parents[1]
+    script = f"""
+import sys
+sys.path.insert(0, {str(repo)!r})
+import __spark_entry__ as registered
+from vanewright.session import local_session
+spark = local_session("elsewhere", "2")
+for name in ("q_knn", "q_knn_cells"):
+    print(name, registered.queries()[name](spark, "/root/testdata/sf0.001").count())
+"""
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    done = subprocess.run([sys.executable, "-c", script], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=300)
+    assert done.returncode == 0, done.stderr[-2000:]
+    assert "q_knn 50" in done.stdout and "q_knn_cells 50" in done.stdout

@@ -32,6 +32,18 @@ def test_restart_adds_only_new_files(spark, folder):
     assert count() == 31
 
 
+def test_landing_files_with_a_new_column(spark, folder):
+    places = (f"{folder}/landing", f"{folder}/lake", f"{folder}/checkpoints")
+    table = [LandingTable("turbine", "json")]
+    spark.createDataFrame([("t1",)], "turbine_id string").write.json(f"{folder}/landing/turbine")
+    ingest_all(spark, *places, table)
+    spark.createDataFrame([("t2", "N")], "turbine_id string, state string").write.mode("append").json(
+        f"{folder}/landing/turbine")
+    ingest_all(spark, *places, table)
+    rows = read_merged(spark, f"{folder}/lake/bronze/bronze_turbine").select("turbine_id", "state").collect()
+    assert {tuple(r) for r in rows} == {("t1", None), ("t2", "N")}
+
+
 def test_one_file_per_batch(spark, folder):
     land(spark, folder)
     stream = stream_files(spark, f"{folder}/landing/incoming_data", "parquet", max_files=1)

@@ -134,3 +134,13 @@ def test_upserts_replays_and_compaction(spark, keyed):
     keyed.apply(batch(("b", 9)), 2)
     assert state() == {"a": 2, "b": 9, "c": 3}
     assert keyed.compact() == 1 and state() == {"a": 2, "b": 9, "c": 3}
+
+
+def test_columns_added_later_are_null_in_old_rows(spark, folder):
+    old = UpsertTable(spark, f"{folder}/keyed", ["k"], spark.createDataFrame([], "k string, v int").schema)
+    old.apply(spark.createDataFrame([("a", 1), ("b", 1)], "k string, v int"), 0)
+    old.compact()
+    old.apply(spark.createDataFrame([("c", 1)], "k string, v int"), 1)
+    new = UpsertTable(spark, f"{folder}/keyed", ["k"], spark.createDataFrame([], "k string, w string, v int").schema)
+    new.apply(spark.createDataFrame([("b", "x", 2)], "k string, w string, v int"), 2)
+    assert {tuple(r) for r in new.read().collect()} == {("a", None, 1), ("b", "x", 2), ("c", None, 1)}

@@ -55,7 +55,8 @@ def parse_requests(df: DataFrame, column: str) -> DataFrame:
     the fields of an invalid request are null.
     """
     as_json = F.regexp_replace(F.col(column), r"([\[,]\s*)None(?=\s*[,\]])", "$1null")
-    items = F.from_json(as_json, "array<string>")
+    # Parsing plain text would fail by exception, row by row; what does not begin like a list is not parsed.
+    items = F.from_json(F.when(F.ltrim(F.col(column)).startswith("["), as_json), "array<string>")
     parsed = df.withColumn("_items", items)
     valid = F.coalesce(F.size("_items") == len(REQUEST_FIELDS), F.lit(False))
     fields = {

@@ -38,14 +38,20 @@ def _part(name: str, ts: Column) -> Column:
 
 
 def with_date_parts(
-    df: DataFrame, column: str, granularity: str = "day", keep_original: bool = False, prefix: str = ""
+    df: DataFrame, column: str, granularity: str = "day", keep_original: bool = False
 ) -> DataFrame:
-    """Add ``{part}_ts`` columns for a timestamp, date or text column; text that is no time gives nulls."""
+    """Add ``{part}_ts`` columns for a timestamp, date or text column; text that is no time gives nulls.
+
+    Their metadata holds a name with the source column in it: ``{column}_{part}_ts``.
+    """
     kind = df.schema[column].dataType
     ts = F.col(column)
     if isinstance(kind, StringType):
         ts = F.try_to_timestamp(ts)
     elif not isinstance(kind, (TimestampType, TimestampNTZType, DateType)):
         raise TypeError(f"{column} is {kind.simpleString()}, not a time")
-    out = df.withColumns({f"{prefix}{p}_ts": _part(p, ts) for p in parts_up_to(granularity)})
+    out = df.withColumns({
+        f"{p}_ts": _part(p, ts).alias(f"{p}_ts", metadata={"feature_name": f"{column}_{p}_ts"})
+        for p in parts_up_to(granularity)
+    })
     return out if keep_original else out.drop(column)

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
-from heapq import nsmallest
 
 import numpy as np
 import pandas as pd
@@ -14,6 +13,7 @@ from pyspark.sql.types import DoubleType, StructField, StructType
 from vanewright.functions.columns import columns_named
 from vanewright.functions.text import decimals_in, joined_values
 from vanewright.operators.bounded import join_small, rows_if_small
+from vanewright.operators.topk import Nearest, as_matrix
 
 # A block of queries is held by every task: 2,048 vectors of 1,024 doubles are 16 MB.
 QUERY_BLOCK = 2_048
@@ -49,58 +49,6 @@ def parse_readings(requests: DataFrame, text: str) -> DataFrame:
     })
 
 
-def _vectors(column: pd.Series) -> np.ndarray:
-    return np.stack(column.to_numpy()).astype(np.float64) if len(column) else np.empty((0, 0))
-
-
-def _smallest(distance: np.ndarray, ids: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-    """The k smallest distances in order with their ids; ties go to the smaller id."""
-    if len(distance) > k:
-        limit = np.partition(distance, k - 1)[k - 1]
-        near, tied = np.flatnonzero(distance < limit), np.flatnonzero(distance == limit)
-        # Copies of one vector can make the tie large: only its smallest ids matter.
-        tied = np.array(nsmallest(k - len(near), tied, key=lambda j: ids[j]), dtype=np.int64)
-        at = np.concatenate([near, tied])
-        distance, ids = distance[at], ids[at]
-    order = sorted(range(len(distance)), key=lambda j: (distance[j], ids[j]))
-    return distance[order], ids[order]
-
-
-class _Best:
-    """The k nearest rows per query seen so far."""
-
-    def __init__(self, query_ids: Sequence, queries: np.ndarray, k: int):
-        self.query_ids, self.queries, self.k = list(query_ids), queries, k
-        self.kept = [(np.empty(0), np.empty(0, dtype=object)) for _ in self.query_ids]
-
-    def see(self, ids: np.ndarray, vectors: np.ndarray) -> None:
-        for i, query in enumerate(self.queries):
-            gap = vectors - query
-            distance = np.einsum("ij,ij->i", gap, gap)
-            kept, kept_ids = self.kept[i]
-            if len(kept) == self.k:
-                # Most rows are out here: farther than the k-th so far, or as far with a larger id.
-                better = distance < kept[-1]
-                tied = np.flatnonzero(distance == kept[-1])
-                better[tied[ids[tied] < kept_ids[-1]]] = True
-                chosen = np.flatnonzero(better)
-            else:
-                chosen = np.arange(len(distance))
-            if len(chosen):
-                self.kept[i] = _smallest(
-                    np.concatenate([kept, distance[chosen]]), np.concatenate([kept_ids, ids[chosen]]), self.k
-                )
-
-    def frame(self, query_id: str, corpus_id: str) -> pd.DataFrame:
-        sizes = [len(d) for d, _ in self.kept]
-        owners = [q for q, n in zip(self.query_ids, sizes) for _ in range(n)]
-        return pd.DataFrame({
-            query_id: pd.Series(owners, dtype=object),
-            corpus_id: np.concatenate([i for _, i in self.kept]) if sizes else [],
-            "distance": np.concatenate([d for d, _ in self.kept]) if sizes else [],
-        })
-
-
 def nearest(
     corpus: DataFrame,
     queries: DataFrame,
@@ -136,10 +84,10 @@ def _nearest_to_block(vectors, block, k, corpus_id, query_id, schema) -> DataFra
     points = np.array([r["v"] for r in block], dtype=np.float64)
 
     def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        best = _Best(query_ids, points, k)
+        best = Nearest(query_ids, points, k)
         for pdf in batches:
             if len(pdf):
-                best.see(pdf[corpus_id].to_numpy(dtype=object), _vectors(pdf["v"]))
+                best.see(pdf[corpus_id].to_numpy(dtype=object), as_matrix(pdf["v"]))
         yield best.frame(query_id, corpus_id)
 
     return vectors.mapInPandas(scan, schema)
@@ -160,8 +108,8 @@ def _nearest_by_blocks(vectors, asked, k, corpus_id, query_id, schema, query_blo
     def compare(part: pd.DataFrame, asking: pd.DataFrame) -> pd.DataFrame:
         if not len(part) or not len(asking):
             return pd.DataFrame({query_id: [], corpus_id: [], "distance": []})
-        best = _Best(asking[query_id], _vectors(asking["v"]), k)
-        best.see(part[corpus_id].to_numpy(dtype=object), _vectors(part["v"]))
+        best = Nearest(asking[query_id], as_matrix(asking["v"]), k)
+        best.see(part[corpus_id].to_numpy(dtype=object), as_matrix(part["v"]))
         return best.frame(query_id, corpus_id)
 
     return left.groupBy("qb", "cb").cogroup(right.groupBy("qb", "cb")).applyInPandas(compare, schema)

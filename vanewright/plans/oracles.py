@@ -137,12 +137,15 @@ _INFERRED = {
 _INFERRED["parquet"] = _INFERRED["json"]
 _READING_COLUMNS = 'reading_id, turbine_id, "timestamp", energy, sensor_value, sensor_k, event_type'
 
+# Distances are summed within a list, in order: the order of a grouped sum, and so its last bit, would vary from copy
+# to copy of a vector.
 _KNN = """WITH parts AS (
-        SELECT vec_id, label, unnest(range(1, len(embedding) + 1)) AS i, CAST(unnest(embedding) AS DOUBLE) AS x
+        SELECT label, unnest(range(1, len(embedding) + 1)) AS i, CAST(unnest(embedding) AS DOUBLE) AS x
         FROM embeddings),
-      centres AS (SELECT label, i, round(avg(x), 6) AS m FROM parts GROUP BY 1, 2),
-      distances AS (SELECT c.label AS query_id, p.vec_id, sum((p.x - c.m) * (p.x - c.m)) AS distance
-        FROM parts p JOIN centres c USING (i) GROUP BY 1, 2),
+      means AS (SELECT label, i, round(avg(x), 6) AS m FROM parts GROUP BY 1, 2),
+      centres AS (SELECT label AS query_id, list(m ORDER BY i) AS centre FROM means GROUP BY label),
+      distances AS (SELECT query_id, vec_id, list_sum(list_transform(list_zip(embedding::DOUBLE[], centre),
+          lambda p: (p[1] - p[2]) * (p[1] - p[2]))) AS distance FROM embeddings, centres),
       ranked AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY distance, vec_id) AS INTEGER)
         AS rank FROM distances)
       SELECT query_id, vec_id, round(distance, 6) AS distance, rank FROM ranked WHERE rank <= 5"""

@@ -72,13 +72,13 @@ def read_merged(spark: SparkSession, path: str | list[str], fmt: str = "parquet"
 
 @dataclass(frozen=True)
 class LandingTable:
-    """A table to ingest."""
+    """A table to ingest, ``max_files`` per micro-batch (1 shows progress file by file, more spares micro-batches)."""
 
     name: str
     fmt: str
     quality: str = "bronze"
     schema: StructType | str | None = None
-    max_files: int | None = 1
+    max_files: int | None = 1_000
 
 
 # The tables a deployment ingests, in order.

@@ -57,7 +57,15 @@ class UpsertTable:
         if through is not None:
             changes = changes.filter(F.col("batch_id") <= through)
         newest = first_per_key(changes, self.keys, [F.col("batch_id").desc()]).drop("batch_id")
-        return newest if version is None else merge_rows(self.base.read(version), newest, self.keys)
+        if version is None:
+            return newest
+        return merge_rows(self._aligned(self.base.read(version)), newest, self.keys)
+
+    def _aligned(self, df: DataFrame) -> DataFrame:
+        """Rows of an older version with the columns of today; columns it lacked are null."""
+        return df.select(*[
+            F.col(f.name) if f.name in df.columns else F.lit(None).cast(f.dataType).alias(f.name) for f in self.schema
+        ])
 
     def compact(self) -> int | None:
         """Fold all present batches into a new version; None if there is nothing new."""
