@@ -238,6 +238,19 @@ ORACLES: dict[str, str] = {
         AS best_prior FROM scored)
       SELECT current, best_prior, CASE WHEN best_prior IS NULL OR current >= best_prior THEN 1 ELSE 0 END AS deploy
       FROM best""",
+    "q_metric_sink": f"""WITH {_JUDGED}, counted AS (
+        SELECT version, {_counts(_RULE.format('version'))} FROM judged, (VALUES (500), (1000)) v(version)
+        GROUP BY version)
+      SELECT version, tp, fp, fn, tn, round({_PRECISION}, 8) AS "precision", round({_RECALL}, 8) AS recall,
+        round({_F1}, 8) AS f1 FROM counted""",
+    "q_register": f"""WITH {_JUDGED}, counted AS (
+        SELECT turn, {_counts(_RULE.format('rule'))}
+        FROM judged, (VALUES (1, 5000), (2, 1000), (3, 2000), (4, 500), (5, 100)) v(turn, rule) GROUP BY turn),
+      scored AS (SELECT turn, {_F1} AS f1 FROM counted),
+      gated AS (SELECT *, max(f1) OVER (ORDER BY turn ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS best
+        FROM scored)
+      SELECT 'rule' AS name, row_number() OVER (ORDER BY turn) AS version, round(f1, 8) AS f1
+      FROM gated WHERE best IS NULL OR f1 >= best""",
     "q_resolve_version": """WITH registry AS (
         SELECT o_orderpriority AS name, CAST(year(o_orderdate) - 1990 AS INTEGER) AS version,
           'model/' || min(o_orderkey) AS source FROM orders GROUP BY 1, 2),
@@ -310,6 +323,9 @@ ORACLES: dict[str, str] = {
       FROM readings""" for fmt, fields in _INFERRED.items() for name, kind in fields),
     "q_csv_roundtrip": "SELECT * FROM orders",
     "q_stream_hourly": _HOURLY_RESULT,
+    "q_stream_append": f"""{_HOURLY} SELECT * REPLACE ({_ROUND6}) FROM features
+      WHERE hourly_timestamp + INTERVAL 1 HOUR <= (SELECT make_timestamp(max("timestamp") * 1000000) FROM readings)
+        - INTERVAL 3 HOURS""",
     "q_stream_dedup": f"WITH {_READINGS} SELECT {_READING_COLUMNS} FROM readings",
     "q_stream_upsert": _HOURLY_RESULT,
 }

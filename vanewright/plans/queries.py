@@ -32,7 +32,7 @@ from vanewright.plans.tables import (
 )
 from vanewright.session import scratch_folder, written
 from vanewright.sources.landing import append_stream, infer_schema, read_merged, stream_files
-from vanewright.sources.sinks import read_csv, write_csv
+from vanewright.sources.sinks import append_result, read_csv, write_csv
 from vanewright.sources.versions import VersionedTable
 from vanewright.streaming.hourly import dedup_readings, stream_hourly_features, upsert_stream
 from vanewright.streaming.upserts import UpsertTable
@@ -41,6 +41,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 STREAM_FILES = 1_000  # files per micro-batch when a whole table is streamed
 FILLED = ("value", "k")
+RULES = (5000, 1000, 2000, 500, 100)  # lengths tried as models
 
 
 def _plain_time(column: str) -> Column:
@@ -408,6 +409,27 @@ def deploy(spark, folder):
     return _rounded(gate, 8, ["current", "best_prior"])
 
 
+def metric_sink(spark, folder):
+    """Scores of two rules added to one result table."""
+    judged, path = judged_documents(spark, folder), scratch_folder(spark, "scores")
+    for threshold in (500, 1000):
+        append_result(_rule_scores(judged, "version", [threshold]), path)
+    return _rounded(spark.read.parquet(path).drop("recorded_at"), 8, ["precision", "recall", "f1"])
+
+
+def register(spark, folder):
+    """Five rules offered one after the other; each is registered unless a registered one is better."""
+    judged = judged_documents(spark, folder)
+    model = label_codes(judged, "real_label", "code")
+    registry = models.ModelRegistry(spark, scratch_folder(spark, "registry"))
+    offered = {r["version"]: r["f1"] for r in _rule_scores(judged, "version", list(RULES)).collect()}
+    for threshold in RULES:
+        current = spark.createDataFrame([(offered[threshold],)], "f1 double")
+        decision = metrics.deploy_gate(registry.versions(), current).first()
+        registry.register("rule", model, decision["current"], decision["deploy"])
+    return _rounded(registry.versions().select("name", "version", "f1"), 8, ["f1"])
+
+
 def best_trial(spark, folder):
     scores = _rule_scores(judged_documents(spark, folder), "threshold", list(range(100, 5001, 100)))
     trials = scores.select("threshold", (-F.round("f1", 8)).alias("loss"))
@@ -527,6 +549,14 @@ def stream_hourly(spark, folder):
     return _hourly_result(_hourly_table(spark, streamed_readings(spark, folder)).read())
 
 
+def stream_append(spark, folder):
+    """Hours that are over by the watermark, written once each."""
+    lake = scratch_folder(spark, "finished")
+    features = stream_hourly_features(streamed_readings(spark, folder))
+    append_stream(features, f"{lake}/hours", f"{lake}/checkpoint").awaitTermination()
+    return _hourly_result(spark.read.schema(features.schema).parquet(f"{lake}/hours"))
+
+
 def _delivered_twice(stream: DataFrame) -> DataFrame:
     return stream.withColumn("delivery", F.explode(F.array(F.lit(1), F.lit(2)))).drop("delivery")
 
@@ -574,8 +604,10 @@ def model_fit(spark, folder):
 def batch_score(spark, folder):
     train, test = _train_and_test(spark, folder)
     model = models.fit_model(train, forest=models.classifier(trees=20, depth=8))
-    scored = models.score(model, test)
-    return _plain_times(scored.withColumnRenamed("sensor_status", "real_label"), "hourly_timestamp")
+    scored = models.score(model, test).withColumnRenamed("sensor_status", "real_label")
+    path = scratch_folder(spark, "predictions")
+    write_csv(scored, path)
+    return _plain_times(read_csv(spark, path, scored.schema), "hourly_timestamp")
 
 
 def search_trials(spark, folder):
@@ -615,6 +647,8 @@ QUERIES: dict[str, Query] = {
     "q_binary_metrics": binary_quality,
     "q_confusion": confusion,
     "q_deploy_gate": deploy,
+    "q_metric_sink": metric_sink,
+    "q_register": register,
     "q_resolve_version": version_choice,
     "q_best_trial": best_trial,
     "q_data_summary": summary,
@@ -634,6 +668,7 @@ QUERIES: dict[str, Query] = {
     "q_schema_infer": schema_infer,
     "q_csv_roundtrip": csv_roundtrip,
     "q_stream_hourly": stream_hourly,
+    "q_stream_append": stream_append,
     "q_stream_dedup": stream_dedup,
     "q_stream_upsert": stream_upsert,
     "q_model_fit": model_fit,
