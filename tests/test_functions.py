@@ -78,13 +78,13 @@ def test_missing_values_are_written_out(spark):
 
 
 def test_requests(spark):
-    good = "['2024-01-16 17:00:00', 1.5, 0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 'North', \"EpicWind\", None]"
-    ten = "['2024-01-16 17:00:00', 1.5, 0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 'North', 'EpicWind']"
+    good = "['2024-01-16 17:00:00', 1.5, 0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 'North', \"M-100\", None]"
+    ten = "['2024-01-16 17:00:00', 1.5, 0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 'North', 'M-100']"
     df = spark.createDataFrame([(0, good), (1, ten), (2, "[]"), (3, ""), (4, "please"), (5, None)], "i int, t string")
     rows = parse_requests(df, "t").orderBy("i").collect()
     assert [r["status"] for r in rows] == ["ok"] + ["invalid"] * 5
     assert (rows[0]["avg_energy"], rows[0]["std_sensor_F"], rows[0]["model"], rows[0]["state"]) == (
-        1.5, 0.6, "EpicWind", None
+        1.5, 0.6, "M-100", None
     )
     assert rows[1]["avg_energy"] is None
 

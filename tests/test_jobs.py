@@ -17,7 +17,7 @@ def lake(spark, tmp_path_factory):
     turbines = [(None, "ERROR"), ("t90", "ERROR")] + [(f"t{i}", "52.1") for i in range(12)]
     spark.createDataFrame(turbines, "turbine_id string, lat string").select(
         "turbine_id", "lat", F.col("lat").alias("long"),
-        F.lit("US").alias("country"), F.lit("EpicWind").alias("model"), F.lit("America/New_York").alias("state"),
+        F.lit("US").alias("country"), F.lit("M-100").alias("model"), F.lit("America/New_York").alias("state"),
         F.concat(F.lit("town "), F.length("turbine_id")).alias("location"),
     ).write.json(f"{root}/landing/turbine")
     status = [(f"t{i}", "ok" if i % 3 else "sensor_B", None if i % 3 else f"replace {i}", H, H + 9) for i in range(12)]

@@ -17,7 +17,7 @@ def training(spark):
         (i % 10).cast("double").alias("std_sensor_A"),
         F.when(i % 17 != 0, (i % 3).cast("double")).alias("std_sensor_B"),
         F.concat(F.lit("loc"), (i % 4).cast("string")).alias("location"),
-        F.when(i % 19 != 0, F.lit("EpicWind")).alias("model"),
+        F.when(i % 19 != 0, F.lit("M-100")).alias("model"),
         F.lit("N").alias("state"),
         F.when((i % 10).isin(1, 4, 7), "faulty").otherwise("ok").alias("sensor_status"),
     ).cache()

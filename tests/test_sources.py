@@ -5,7 +5,16 @@ import pytest
 from pyspark.sql import functions as F
 
 from vanewright.session import scratch_folder, written
-from vanewright.sources.landing import LandingTable, append_stream, infer_schema, ingest, ingest_all, read_merged, stream_files
+from vanewright.sources.landing import (
+    TABLE_SCHEMAS,
+    LandingTable,
+    append_stream,
+    infer_schema,
+    ingest,
+    ingest_all,
+    read_merged,
+    stream_files,
+)
 from vanewright.sources.sinks import append_result, read_csv, write_csv
 from vanewright.sources.versions import VersionedTable
 
@@ -44,6 +53,14 @@ def test_landing_files_with_a_new_column(spark, folder):
     assert {tuple(r) for r in rows} == {("t1", None), ("t2", "N")}
 
 
+def test_declared_schema_is_taken(spark, folder):
+    spark.createDataFrame([("t1", 5)], "turbine_id string, more int").write.json(f"{folder}/landing/turbine")
+    table = LandingTable("turbine", "json", schema=TABLE_SCHEMAS["turbine"])
+    ingest(spark, table, f"{folder}/landing", f"{folder}/lake", f"{folder}/c").awaitTermination()
+    row = spark.read.parquet(f"{folder}/lake/bronze/bronze_turbine").first().asDict()
+    assert row["turbine_id"] == "t1" and row["lat"] is None and "more" not in row and len(row) == 7
+
+
 def test_one_file_per_batch(spark, folder):
     land(spark, folder)
     stream = stream_files(spark, f"{folder}/landing/incoming_data", "parquet", max_files=1)

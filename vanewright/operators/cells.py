@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, IntegerType, StructType
 
 from vanewright.operators.bounded import rows_if_small
-from vanewright.operators.retrieval import QUERY_BLOCK, nearest
+from vanewright.operators.retrieval import QUERY_BLOCK, is_whole, nearest
 from vanewright.session import written
 
 _ROUNDING = 1e-9
@@ -35,9 +35,7 @@ class VectorCells:
         Centres may be found on a sample: they decide how well searches are pruned, not what they find. A cell that
         holds many rows is split over several tasks and files as it is written.
         """
-        rows = corpus.filter(F.col(self.vector).isNotNull()).withColumn(
-            self.vector, F.col(self.vector).cast("array<double>")
-        )
+        rows = corpus.withColumn(self.vector, F.col(self.vector).cast("array<double>")).filter(is_whole(self.vector))
         points = rows.select(array_to_vector(self.vector).alias("features"))
         if sample_share < 1:
             points = points.sample(sample_share, seed)
@@ -71,7 +69,9 @@ class VectorCells:
 
     def search(self, queries: DataFrame, k: int = 5, query_id: str = "query_id") -> DataFrame:
         """The same result as ``nearest`` over all rows. More than a block of queries search all cells."""
-        asked = queries.filter(F.col(self.vector).isNotNull()).select(query_id, self.vector)
+        asked = queries.withColumn(self.vector, F.col(self.vector).cast("array<double>")).filter(
+            is_whole(self.vector)
+        ).select(query_id, self.vector)
         block = rows_if_small(asked, QUERY_BLOCK)
         if block is None:
             return nearest(self.rows(), asked, k, self.corpus_id, query_id, self.vector)

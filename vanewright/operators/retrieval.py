@@ -6,7 +6,7 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
@@ -39,16 +39,27 @@ def report_corpus(
     )
 
 
-def parse_readings(requests: DataFrame, text: str) -> DataFrame:
-    """Vector of the decimals in a request text, with ``status`` invalid (and a null vector) where there are none."""
+def parse_readings(requests: DataFrame, text: str, width: int | None = None) -> DataFrame:
+    """Vector of the decimals in a request text, with ``status`` invalid (and a null vector) where there are none, or
+    not ``width`` of them."""
     found = decimals_in(F.col(text)).cast("array<double>")
-    some = F.coalesce(F.size(found) > 0, F.lit(False))
+    right = F.size(found) > 0 if width is None else F.size(found) == width
+    valid = F.coalesce(right, F.lit(False))
     return requests.withColumns({
-        "vector": F.when(some, found),
-        "status": F.when(some, "ok").otherwise("invalid"),
+        "vector": F.when(valid, found),
+        "status": F.when(valid, "ok").otherwise("invalid"),
     })
 
 
+def is_whole(vector: str) -> Column:
+    """Whether a vector is there and has no missing value."""
+    return F.col(vector).isNotNull() & F.forall(vector, lambda x: x.isNotNull() & ~F.isnan(x))
+
+
+def _points(df: DataFrame, key: str, vector: str) -> DataFrame:
+    return df.select(key, F.col(vector).cast("array<double>").alias("v")).filter(is_whole("v"))
+
+
 def nearest(
     corpus: DataFrame,
     queries: DataFrame,
@@ -63,10 +74,9 @@ def nearest(
 
     Up to ``query_block`` queries travel with the tasks: each task keeps k rows per query of its part of the corpus,
     and only those are shuffled. More queries are cut into blocks, and so is the corpus; a task then sees one block of
-    each and again passes on k rows per query. Null vectors take no part.
+    each and again passes on k rows per query. Missing vectors, and vectors with a missing value, take no part.
     """
-    vectors = corpus.filter(F.col(vector).isNotNull()).select(corpus_id, F.col(vector).cast("array<double>").alias("v"))
-    asked = queries.filter(F.col(vector).isNotNull()).select(query_id, F.col(vector).cast("array<double>").alias("v"))
+    vectors, asked = _points(corpus, corpus_id, vector), _points(queries, query_id, vector)
     schema = StructType([
         asked.schema[query_id], vectors.schema[corpus_id], StructField("distance", DoubleType())
     ])
@@ -118,10 +128,11 @@ def _nearest_by_blocks(vectors, asked, k, corpus_id, query_id, schema, query_blo
 def similar_reports(corpus: DataFrame, requests: DataFrame, text: str, k: int = 5, query_id: str = "query_id"):
     """The k reports most like the readings in each request text, with their content and metadata.
 
-    Requests without a number come back as one row with ``status`` invalid. The k found rows per request are
+    Requests without as many numbers as a report has readings come back as one row with ``status`` invalid. The k found rows per request are
     broadcast (while they pass the size check) to pick up their details, so the report texts are not shuffled.
     """
-    parsed = parse_readings(requests, text).select(query_id, "vector", "status")
+    first = corpus.select(F.size("vector")).first()
+    parsed = parse_readings(requests, text, first and first[0]).select(query_id, "vector", "status")
     found = nearest(corpus, parsed, k, "report_id", query_id)
     details = join_small(corpus.drop("vector"), found, ["report_id"])
     return parsed.drop("vector").join(details, query_id, "left")

@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
-# Schemas of the known landing tables; declaring them spares a pass over all files.
+# Schemas of the known landing tables. Declaring one (``LandingTable.schema``) spares the pass over all JSON files that
+# inference takes, but leaves out columns that are added later.
 TABLE_SCHEMAS = {
     "incoming_data": "timestamp bigint, sensor_A double, sensor_B double, sensor_C double, sensor_D double, "
                      "sensor_E double, sensor_F double, energy double, turbine_id string",
@@ -81,12 +82,12 @@ class LandingTable:
     max_files: int | None = 1_000
 
 
-# The tables a deployment ingests, in order.
+# The tables a deployment ingests, in order. The JSON ones are small; of parquet, inference reads one footer.
 LANDING_TABLES = (
-    LandingTable("turbine", "json", schema=TABLE_SCHEMAS["turbine"]),
-    LandingTable("parts", "json", schema=TABLE_SCHEMAS["parts"]),
-    LandingTable("historical_turbine_status", "json", schema=TABLE_SCHEMAS["historical_turbine_status"]),
-    LandingTable("incoming_data", "parquet", schema=TABLE_SCHEMAS["incoming_data"]),
+    LandingTable("turbine", "json"),
+    LandingTable("parts", "json"),
+    LandingTable("historical_turbine_status", "json"),
+    LandingTable("incoming_data", "parquet"),
 )
 
 
