@@ -9,7 +9,7 @@ from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Bytes of one Arrow batch, so that a batch of very long texts stays small. A session's own setting wins.
+#: Bytes of one Arrow batch, so that a batch of very long texts stays small.
 ARROW_BYTES = 32 * 1024 * 1024
 
 
@@ -28,13 +28,9 @@ def process_cache(name: str) -> dict:
 
 
 def bounded_batches(spark: SparkSession) -> None:
-    """Bound what one Arrow batch holds, unless the session does already."""
-    key = "spark.sql.execution.arrow.maxBytesPerBatch"
-    if int(spark.conf.get(key, "0") or 0) in (0, 64 * 1024 * 1024) or int(spark.conf.get(key)) < 0:
-        spark.conf.set(key, str(ARROW_BYTES))
-    rows = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    if spark.conf.get(rows, "10000") == "10000":
-        spark.conf.set(rows, "2000")
+    """Bound what one Arrow batch holds, by bytes and by rows."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(ARROW_BYTES))
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")
 
 
 def read(spark: SparkSession, folder: str, table: str) -> DataFrame:

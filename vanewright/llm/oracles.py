@@ -1,3 +1,33 @@
 """DuckDB SQL for the queries of this subpackage that SQL can express."""
 
-ORACLES: dict[str, str] = {}
+#: A line's key, and the lines of every document by position.
+_LINES = """
+    all_lines AS (
+        SELECT doc_id, unnest(lines) AS line, unnest(range(len(lines))) AS position
+        FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents)
+    ),
+    keyed AS (
+        SELECT doc_id, line, position,
+               translate(trim(line, chr(9) || chr(10) || chr(11) || chr(12) || chr(13) || ' '),
+                         'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key
+        FROM all_lines
+    ),
+    shared AS (
+        SELECT key, max(doc_id) AS holder FROM keyed WHERE length(key) >= 20
+        GROUP BY key HAVING count(DISTINCT doc_id) >= 3
+    ),
+    judged AS (
+        SELECT k.*, s.key IS NOT NULL AND k.doc_id <> s.holder AS dropped
+        FROM keyed k LEFT JOIN shared s ON k.key = s.key
+    )
+"""
+
+ORACLES: dict[str, str] = {
+    "op5_line_dedup": f"""
+        WITH {_LINES}
+        SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE dropped) AS n_dropped,
+               sha256(coalesce(string_agg(line, chr(10) ORDER BY position) FILTER (WHERE NOT dropped), ''))
+                   AS kept_sha256
+        FROM judged GROUP BY doc_id
+    """,
+}

@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from vanewright.llm import packing
+from vanewright.llm import linededup, packing
 from vanewright.llm.common import bounded_batches, read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -24,4 +25,14 @@ def op4_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(read(spark, folder, "documents"), tokenizer_path("byte_bpe_50k.json"))
 
 
-QUERIES: dict[str, Query] = {"op4_packing": op4_packing}
+def op5_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    kept = linededup.without_shared_lines(read(spark, folder, "documents").select("doc_id", "text"))
+    return kept.select(
+        "doc_id", "n_lines", "n_dropped", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256")
+    )
+
+
+QUERIES: dict[str, Query] = {
+    "op4_packing": op4_packing,
+    "op5_line_dedup": op5_line_dedup,
+}
