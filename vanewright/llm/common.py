@@ -5,6 +5,7 @@ from __future__ import annotations
 import sys
 from types import ModuleType
 
+import pandas as pd
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -33,6 +34,11 @@ def bounded_batches(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")
 
 
+def objects(values) -> pd.Series:
+    """A column of Python objects: pandas' own text columns may come in chunks, which Arrow's structs refuse."""
+    return pd.Series(list(values), dtype=object)
+
+
 def read(spark: SparkSession, folder: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{folder.rstrip('/')}/{table}.parquet")
 

@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vanewright.llm import linededup, packing
-from vanewright.llm.common import bounded_batches, read
+from vanewright.llm import langid, linededup, packing, winnowing
+from vanewright.llm.common import bounded_batches, held_out, read
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -20,6 +20,13 @@ def tokenizer_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op3_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    docs = read(spark, folder, "documents")
+    model = langid.fit_languages(docs.select("doc_id", "text", "lang"))
+    found = langid.with_language(docs.select("doc_id", "text"), model)
+    return found.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "language.*")
+
+
 def op4_packing(spark: SparkSession, folder: str) -> DataFrame:
     bounded_batches(spark)
     return packing.pack(read(spark, folder, "documents"), tokenizer_path("byte_bpe_50k.json"))
@@ -32,7 +39,13 @@ def op5_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op9_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
+    return winnowing.edit_likeness(read(spark, folder, "documents"))
+
+
 QUERIES: dict[str, Query] = {
+    "op3_language_id": op3_language_id,
     "op4_packing": op4_packing,
     "op5_line_dedup": op5_line_dedup,
+    "op9_fingerprints": op9_fingerprints,
 }
