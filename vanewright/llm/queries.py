@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vanewright.llm import langid, linededup, packing, winnowing
+from vanewright.llm import langid, linededup, packing, quality, toxicity, winnowing
 from vanewright.llm.common import bounded_batches, held_out, read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -39,13 +39,35 @@ def op5_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op7_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    docs = read(spark, folder, "documents").select("doc_id", "text")
+    model = toxicity.fit_toxicity(docs, read(spark, folder, "labels"))
+    score = F.col("measures.score")
+    return toxicity.with_measures(docs, model).select(
+        "doc_id", held_out(F.col("doc_id")).alias("held_out"), score.alias("score"),
+        (score >= 0.3).cast("int").alias("predicted"), F.col("measures.matched").alias("matched"),
+    )
+
+
 def op9_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
     return winnowing.edit_likeness(read(spark, folder, "documents"))
 
 
+def op10_quality(spark: SparkSession, folder: str) -> DataFrame:
+    docs = read(spark, folder, "documents").select("doc_id", "text")
+    model = quality.fit_quality(docs, read(spark, folder, "labels"))
+    score = F.col("quality.score")
+    return quality.with_quality(docs, model).select(
+        "doc_id", held_out(F.col("doc_id")).alias("held_out"), score.alias("score"),
+        (score >= 0.7).cast("int").alias("predicted"),
+    )
+
+
 QUERIES: dict[str, Query] = {
     "op3_language_id": op3_language_id,
     "op4_packing": op4_packing,
     "op5_line_dedup": op5_line_dedup,
+    "op7_toxicity": op7_toxicity,
     "op9_fingerprints": op9_fingerprints,
+    "op10_quality": op10_quality,
 }
