@@ -1,6 +1,6 @@
 """Lines that several documents share are kept in one of them only.
 
-Every line's 128-bit hash is range-partitioned together with its document, largest first, and sorted by hash, document
+Texts are cut into lines once. Every line's 128-bit hash is range-partitioned together with its document, largest first, and sorted by hash, document
 and position; a line that a third of all documents hold is thus cut over many tasks. Each task streams its sorted rows
 and passes on one row per hash. What comes back to the documents is no text but the runs of lines to keep: a run-length
 compressed bitmap per document that loses lines.
@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vanewright.llm.common import unused
+from vanewright.session import written
 
 #: The white space stripped from a line's ends, and the letters that are lower-cased.
 LINE_SPACE = "\t\n\x0b\x0c\r "
@@ -24,43 +25,49 @@ def lines_of(text: Column) -> Column:
 
 
 def line_key(line: Column) -> Column:
-    return F.translate(F.btrim(line, F.lit(LINE_SPACE)), UPPER, LOWER)
+    """What makes lines equal. ``lower`` and ``translate`` agree on pure ASCII, where ``lower`` is much faster."""
+    bare = F.btrim(line, F.lit(LINE_SPACE))
+    return F.when(F.length(bare) == F.octet_length(bare), F.lower(bare)).otherwise(F.translate(bare, UPPER, LOWER))
 
 
-def _occurrences(docs: DataFrame, min_chars: int, *keep: Column) -> DataFrame:
-    """(kept columns, position, hash) of every line long enough to count."""
-    line = docs.select(*keep, F.posexplode(lines_of(F.col("text"))).alias("position", "line"))
-    key = line.withColumn("line", line_key(F.col("line"))).where(F.length("line") >= min_chars)
-    return key.withColumn("hash", F.unhex(F.md5("line"))).drop("line")
+def line_occurrences(docs: DataFrame, min_chars: int = 20) -> DataFrame:
+    """(doc_id, text_hash, n_lines, position, hash) of every line long enough to count, of documents (doc_id, text).
 
+    Written to shared storage: texts are cut into lines once, and what follows reads only hashes. ``text_hash`` tells
+    rows of one doc_id with different texts apart.
+    """
+    text = F.coalesce("text", F.lit(""))
+    n_lines = F.length(text) - F.length(F.replace(text, F.lit("\n"), F.lit(""))) + 1
+    lines = docs.where(F.col("doc_id").isNotNull()).select(
+        "doc_id", F.unhex(F.md5("text")).alias("text_hash"), n_lines.alias("n_lines"),
+        F.posexplode(lines_of(F.col("text"))).alias("position", "line"),
+    )
+    long_enough = lines.withColumn("key", line_key(F.col("line"))).where(F.length("key") >= min_chars)
+    return written(long_enough.withColumn("hash", F.unhex(F.md5("key"))).drop("line", "key"), "lines")
 
-def shared_lines(docs: DataFrame, min_chars: int = 20, min_docs: int = 3) -> DataFrame:
-    """(hash, n_docs, holder) of every line found in at least ``min_docs`` documents (doc_id, text); ``holder`` is the
-    largest doc_id with it. Rows of one doc_id are one document, rows without one are not counted."""
-    rows = _occurrences(docs, min_chars, F.col("doc_id")).where(F.col("doc_id").isNotNull())
+
+def shared_lines(occurrences: DataFrame, min_docs: int = 3) -> DataFrame:
+    """(hash, holder) of every line found in at least ``min_docs`` documents; ``holder`` is the largest doc_id with
+    it. Rows of one doc_id are one document."""
     # Cutting by (hash, document) lets the count per document run inside the tasks, however common a line is; only
     # one row per hash and task then meets its like.
     streamed = (
-        rows.repartitionByRange(F.col("hash"), F.col("doc_id").desc())
+        occurrences.select("hash", "doc_id", "position")
+        .repartitionByRange(F.col("hash"), F.col("doc_id").desc())
         .sortWithinPartitions(F.col("hash"), F.col("doc_id").desc(), F.col("position"))
     )
-    return (
-        streamed.groupBy("hash")
-        .agg(F.countDistinct("doc_id").alias("n_docs"), F.max("doc_id").alias("holder"))
-        .where(F.col("n_docs") >= min_docs)
-    )
+    found = streamed.groupBy("hash").agg(F.countDistinct("doc_id").alias("n_docs"), F.max("doc_id").alias("holder"))
+    return written(found.where(F.col("n_docs") >= min_docs).select("hash", "holder"), "shared-lines")
 
 
 def keep_bitmaps(docs: DataFrame, min_chars: int = 20, min_docs: int = 3) -> DataFrame:
     """(doc_id, text_hash, n_lines, n_dropped, kept_runs) of the documents that lose lines.
 
-    ``kept_runs`` lists the runs of lines to keep as (first, length), in order. ``text_hash`` tells rows of one doc_id
-    with different texts apart. A document keeps all lines of which it is the holder.
+    ``kept_runs`` lists the runs of lines to keep as (first, length), in order. A document keeps all lines of which it
+    is the holder.
     """
-    shared = shared_lines(docs, min_chars, min_docs)
-    lines = _occurrences(docs, min_chars, F.col("doc_id"), F.unhex(F.md5("text")).alias("text_hash"),
-                         F.size(lines_of(F.col("text"))).alias("n_lines"))
-    lost = lines.join(shared, "hash").where(F.col("doc_id") != F.col("holder"))
+    lines = line_occurrences(docs, min_chars)
+    lost = lines.join(shared_lines(lines, min_docs), "hash").where(F.col("doc_id") != F.col("holder"))
     dropped = lost.groupBy("doc_id", "text_hash", "n_lines").agg(
         F.sort_array(F.collect_set("position")).alias("dropped")
     )
@@ -95,11 +102,11 @@ def without_shared_lines(docs: DataFrame, min_chars: int = 20, min_docs: int = 3
     keyed = docs.join(
         bitmaps, (docs["doc_id"] == bitmaps[own]) & (F.unhex(F.md5(docs["text"])) == bitmaps[at]), "left"
     )
-    lines = lines_of(F.col("text"))
+    lines, whole = lines_of(F.col("text")), F.coalesce("text", F.lit(""))
     kept = F.flatten(F.transform(F.col(f"{bitmap}.kept_runs"), lambda run: F.slice(lines, run.first + 1, run.length)))
     text = F.when(F.col(bitmap).isNull(), F.col("text")).otherwise(F.array_join(kept, "\n"))
     return keyed.select(
         *[(text if c == "text" else F.col(c)).alias(c) for c in docs.columns],
-        F.size(lines).cast("long").alias(n_lines),
+        (F.length(whole) - F.length(F.replace(whole, F.lit("\n"), F.lit(""))) + 1).cast("long").alias(n_lines),
         F.coalesce(F.col(f"{bitmap}.n_dropped"), F.lit(0)).cast("long").alias(n_dropped),
     )
