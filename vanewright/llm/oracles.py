@@ -22,7 +22,84 @@ _LINES = """
     )
 """
 
+_STEP = """
+    CASE WHEN len(own) < {n} THEN NULL
+         WHEN regexp_matches(own[{n}], '[0-9]') OR length(own[{n}]) >= 24 THEN NULL ELSE own[{n}] END
+"""
+
+
+def _levels() -> str:
+    """The three levels of the path templates."""
+    parts = []
+    for n in (1, 2, 3):
+        step = _STEP.format(n=n)
+        parts.append(f"""
+    wide{n} AS (SELECT host, template FROM (SELECT host, template, {step} AS named FROM tree{n - 1})
+                WHERE named IS NOT NULL GROUP BY ALL HAVING count(DISTINCT named) > 16),
+    tree{n} AS (SELECT t.host, t.path, t.own, t.blocked, t.labels,
+        CASE WHEN len(t.own) < {n} THEN t.template
+             WHEN {step} IS NULL OR w.host IS NOT NULL THEN list_concat(t.template, ['*'])
+             ELSE list_concat(t.template, [t.own[{n}]]) END AS template
+        FROM tree{n - 1} t LEFT JOIN wide{n} w ON t.host = w.host AND t.template = w.template)""")
+    return ",".join(parts)
+
+
+def _pools() -> str:
+    parts = ["""
+    pool0 AS (SELECT host, template, sum(blocked) OVER (PARTITION BY host) AS b, sum(labels) OVER (PARTITION BY host)
+        AS n FROM branches)"""]
+    for k in (1, 2, 3):
+        parts.append(f"""
+    own{k} AS (SELECT host, template, sum(blocked) OVER w AS b, sum(labels) OVER w AS n FROM branches
+        WINDOW w AS (PARTITION BY host, template[1:{k}])),
+    pool{k} AS (SELECT host, template, CASE WHEN differs THEN ob ELSE b END AS b, CASE WHEN differs THEN own ELSE n END
+        AS n FROM (SELECT p.host, p.template, p.b, p.n, o.b AS ob, o.n AS own,
+            o.n = 0 OR (o.n >= 5 AND abs(o.b / greatest(o.n, 1) - p.b / greatest(p.n, 1))
+                > 2.0 * sqrt((p.b / greatest(p.n, 1)) * (1 - p.b / greatest(p.n, 1)) / greatest(o.n, 1))) AS differs
+            FROM pool{k - 1} p JOIN own{k} o ON p.host = o.host AND p.template = o.template))""")
+    return ",".join(parts)
+
+
 ORACLES: dict[str, str] = {
+    "op1_url_filter": f"""
+        WITH parsed AS (
+            SELECT page_id,
+                translate(regexp_extract(coalesce(url, ''), '^(?s:.*?)://([^/?#]*)', 1),
+                    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+                regexp_extract(coalesce(url, ''), '^(?s:.*?)://[^/?#]*([^?#]*)', 1) AS path
+            FROM pages
+        ),
+        ruled AS (
+            SELECT *, CASE
+                WHEN (host = 'www.example.com' OR ends_with(host, '.www.example.com')) AND starts_with(path, '/en/')
+                    THEN 'www.example.com/en/'
+                WHEN (host = 'example.com' OR ends_with(host, '.example.com')) AND starts_with(path, '/en/')
+                    THEN 'example.com/en/'
+                WHEN (host = 'net' OR ends_with(host, '.net')) AND starts_with(path, '/es/') THEN 'net/es/'
+                WHEN (host = 'net' OR ends_with(host, '.net')) AND starts_with(path, '/fr/') THEN 'net/fr/'
+                WHEN (host = 'com' OR ends_with(host, '.com')) AND starts_with(path, '/') THEN 'com/'
+            END AS rule FROM parsed
+        ),
+        labelled AS (
+            SELECT *, CASE WHEN rule IN ('com/', 'www.example.com/en/') THEN 'allow' WHEN rule IS NOT NULL THEN 'block'
+                END AS ruling FROM ruled
+        ),
+        tree0 AS (
+            SELECT host, path, list_filter(string_split(path, '/'), lambda s: s <> '')[1:3] AS own,
+                count(*) FILTER (WHERE ruling = 'block') AS blocked, count(ruling) AS labels,
+                []::VARCHAR[] AS template
+            FROM labelled GROUP BY host, path
+        ),
+        {_levels()},
+        branches AS (SELECT host, template, sum(blocked) AS blocked, sum(labels) AS labels FROM tree3 GROUP BY ALL),
+        {_pools()},
+        overall AS (SELECT coalesce(avg(CASE ruling WHEN 'block' THEN 1.0 WHEN 'allow' THEN 0.0 END), 0) AS share
+            FROM labelled)
+        SELECT l.page_id, l.host, l.path, l.rule, coalesce(l.ruling,
+            CASE WHEN (p.b + 4.0 * o.share) / (p.n + 4.0) >= 0.5 THEN 'block' ELSE 'allow' END) AS verdict
+        FROM labelled l JOIN tree3 t ON l.host = t.host AND l.path = t.path
+        JOIN pool3 p ON t.host = p.host AND t.template = p.template, overall o
+    """,
     "op5_line_dedup": f"""
         WITH {_LINES}
         SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE dropped) AS n_dropped,

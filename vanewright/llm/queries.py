@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vanewright.llm import langid, linededup, packing, quality, toxicity, winnowing
+from vanewright.llm import langid, linededup, packing, quality, toxicity, urlfilter, winnowing
 from vanewright.llm.common import bounded_batches, held_out, read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -20,6 +20,19 @@ def tokenizer_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+#: The rules of op1.
+URL_RULES = [
+    ("com/", "allow"), ("example.com/en/", "block"), ("www.example.com/en/", "allow"), ("net/es/", "block"),
+    ("net/fr/", "block"),
+]
+
+
+def op1_url_filter(spark: SparkSession, folder: str) -> DataFrame:
+    return urlfilter.judge_urls(read(spark, folder, "pages").select("page_id", "url"), URL_RULES).select(
+        "page_id", "host", "path", "rule", "verdict"
+    )
+
+
 def op3_language_id(spark: SparkSession, folder: str) -> DataFrame:
     docs = read(spark, folder, "documents")
     model = langid.fit_languages(docs.select("doc_id", "text", "lang"))
@@ -64,6 +77,7 @@ def op10_quality(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_url_filter": op1_url_filter,
     "op3_language_id": op3_language_id,
     "op4_packing": op4_packing,
     "op5_line_dedup": op5_line_dedup,
