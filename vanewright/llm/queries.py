@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vanewright.llm import langid, linededup, packing, quality, toxicity, urlfilter, winnowing
+from vanewright.llm import langid, linededup, packing, quality, sentencepiece, toxicity, urlfilter, winnowing
 from vanewright.llm.common import bounded_batches, held_out, read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -33,6 +33,18 @@ def op1_url_filter(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op2_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
+    """Every text encoded, and decoded again from its ids alone."""
+    model = tokenizer_path("piece_bpe_32k.model")
+    encoded = sentencepiece.encode(read(spark, folder, "documents"), model)
+    decoded = sentencepiece.decode(encoded.select(F.struct("doc_id", "ids", "score").alias("doc_id"), "ids"), model)
+    return decoded.select(
+        "doc_id.doc_id", (F.octet_length("doc_id.ids") / 4).cast("long").alias("n_ids"),
+        F.crc32("doc_id.ids").alias("ids_crc32"), F.round("doc_id.score", 3).alias("score"),
+        F.sha2("text", 256).alias("decoded_sha256"),
+    )
+
+
 def op3_language_id(spark: SparkSession, folder: str) -> DataFrame:
     docs = read(spark, folder, "documents")
     model = langid.fit_languages(docs.select("doc_id", "text", "lang"))
@@ -78,6 +90,7 @@ def op10_quality(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_url_filter": op1_url_filter,
+    "op2_sentencepiece": op2_sentencepiece,
     "op3_language_id": op3_language_id,
     "op4_packing": op4_packing,
     "op5_line_dedup": op5_line_dedup,
