@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vanewright.llm import langid, linededup, packing, quality, sentencepiece, toxicity, urlfilter, winnowing
+from vanewright.llm import jaccard, langid, linededup, packing, quality, sentencepiece, toxicity, urlfilter, winnowing
 from vanewright.llm.common import bounded_batches, held_out, read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -64,6 +64,10 @@ def op5_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op6_ngram_jaccard(spark: SparkSession, folder: str) -> DataFrame:
+    return jaccard.near_duplicates(read(spark, folder, "documents"), words=4, similar=85)
+
+
 def op7_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     docs = read(spark, folder, "documents").select("doc_id", "text")
     model = toxicity.fit_toxicity(docs, read(spark, folder, "labels"))
@@ -94,6 +98,7 @@ QUERIES: dict[str, Query] = {
     "op3_language_id": op3_language_id,
     "op4_packing": op4_packing,
     "op5_line_dedup": op5_line_dedup,
+    "op6_ngram_jaccard": op6_ngram_jaccard,
     "op7_toxicity": op7_toxicity,
     "op9_fingerprints": op9_fingerprints,
     "op10_quality": op10_quality,
