@@ -261,8 +261,8 @@ def _candidate_sets(docs: DataFrame, words: int, similar: int, frequent: np.ndar
     sets = _docs(docs).mapInArrow(
         made, "t1 long, t2 long, tokens binary, second array<long>, third array<long>"
     )
-    found = sets.join(wanted, (F.col("t1") == F.col("s1")) & (F.col("t2") == F.col("s2")))
-    return written(found.select("id", "tokens", "second", "third").dropDuplicates(["id"]), "candidate-sets")
+    found = sets.dropDuplicates(["t1", "t2"]).join(wanted, (F.col("t1") == F.col("s1")) & (F.col("t2") == F.col("s2")))
+    return written(found.select("id", "tokens", "second", "third"), "candidate-sets")
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, similar: int) -> DataFrame:
@@ -372,7 +372,8 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, similar: int = SIMILAR)
 
     A-Z are lower-cased; words are runs without ASCII white space; a text of fewer words is one shingle. Null, empty
     and blank texts have an empty set and link with nothing. A row without doc_id links with nothing and has a null
-    component. Rows of one doc_id with different texts are one node for each text. Whole texts count, however long.
+    component. Rows of one doc_id are one document: the links of all
+    its texts are its links. Whole texts count, however long.
     An empty table gives no rows; other columns are not read.
     """
     bounded_batches(docs.sparkSession)

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vanewright.llm import jaccard, langid, linededup, packing, quality, sentencepiece, toxicity, urlfilter, winnowing
+from vanewright.llm import jaccard, langid, linededup, packing, quality, sentencepiece, toxicity, urlfilter, vectors, winnowing
 from vanewright.llm.common import bounded_batches, held_out, read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -78,6 +78,10 @@ def op7_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op8_embedding_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return vectors.near_vectors(read(spark, folder, "embeddings"))
+
+
 def op9_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
     return winnowing.edit_likeness(read(spark, folder, "documents"))
 
@@ -100,6 +104,7 @@ QUERIES: dict[str, Query] = {
     "op5_line_dedup": op5_line_dedup,
     "op6_ngram_jaccard": op6_ngram_jaccard,
     "op7_toxicity": op7_toxicity,
+    "op8_embedding_dedup": op8_embedding_dedup,
     "op9_fingerprints": op9_fingerprints,
     "op10_quality": op10_quality,
 }
