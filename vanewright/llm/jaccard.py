@@ -162,10 +162,11 @@ def frequent_tokens(surveyed: DataFrame) -> np.ndarray:
 
 
 def _postings(docs: DataFrame, words: int, similar: int, frequent: np.ndarray) -> DataFrame:
-    """(token, salt, s1, s2, n, at): the prefix of every class under the first order, once a task."""
+    """(token, salt, s1, n, at): the prefix of every class under the first order, once a task. Half of the signature
+    is enough to find candidates."""
 
     def listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["token", "salt", "s1", "s2", "n", "at"]
+        names = ["token", "salt", "s1", "n", "at"]
         seen: set[tuple[int, int]] = set()
         held: list[tuple] = []
         size = 0
@@ -179,10 +180,10 @@ def _postings(docs: DataFrame, words: int, similar: int, frequent: np.ndarray) -
                 salts[frequent[at] != tokens] = 0
             else:
                 salts[:] = 0
-            columns = [np.repeat(np.array([h[1][i] for h in held], np.int64), lengths) for i in range(2)]
+            nodes = np.repeat(np.array([h[1][0] for h in held], np.int64), lengths)
             n = np.repeat(np.array([h[2] for h in held], np.int32), lengths)
             places = np.concatenate([np.arange(k, dtype=np.int32) for k in lengths] or [np.empty(0, np.int32)])
-            return _batch(names, [tokens.view(np.int64), salts.astype(np.int32), *columns, n.astype(np.int32), places])
+            return _batch(names, [tokens.view(np.int64), salts.astype(np.int32), nodes, n.astype(np.int32), places])
 
         for doc_id, text in _rows(batches):
             tokens = shingle_set(text, words)
@@ -200,7 +201,7 @@ def _postings(docs: DataFrame, words: int, similar: int, frequent: np.ndarray) -
                 held, size = [], 0
         yield flush()
 
-    return _docs(docs).mapInArrow(listed, "token long, salt int, s1 long, s2 long, n int, at int")
+    return _docs(docs).mapInArrow(listed, "token long, salt int, s1 long, n int, at int")
 
 
 def _may_link(similar: int, n: Column, at: Column, m: Column, other_at: Column) -> Column:
@@ -225,8 +226,8 @@ def _candidate_filter(classes: DataFrame) -> np.ndarray:
 
 
 def _candidate_sets(docs: DataFrame, words: int, similar: int, frequent: np.ndarray, wanted: DataFrame) -> DataFrame:
-    """(id, tokens, second, third) of the wanted classes (id, s1, s2): the whole set, and its prefixes under the other
-    orders."""
+    """(t1, t2, tokens, second, third) of the wanted classes (s1), and of a few others: signature, whole set at 48 bits
+    a token, and 32 bits of its prefix tokens under the other orders. A class can come from several tasks."""
     bitmap = _candidate_filter(wanted)
 
     def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -235,7 +236,7 @@ def _candidate_sets(docs: DataFrame, words: int, similar: int, frequent: np.ndar
 
         def flush() -> pa.RecordBatch:
             columns = list(zip(*rows)) or [[]] * 5
-            kinds = [pa.int64(), pa.int64(), pa.binary(), pa.list_(pa.int64()), pa.list_(pa.int64())]
+            kinds = [pa.int64(), pa.int64(), pa.binary(), pa.list_(pa.int32()), pa.list_(pa.int32())]
             return pa.RecordBatch.from_arrays(
                 [pa.array(c, k) for c, k in zip(columns, kinds)], names=["t1", "t2", "tokens", "second", "third"]
             )
@@ -243,62 +244,86 @@ def _candidate_sets(docs: DataFrame, words: int, similar: int, frequent: np.ndar
         for doc_id, text in _rows(batches):
             tokens = shingle_set(text, words)
             mark = signature(tokens)
-            bit = mark[0] % (1 << FILTER_BITS)
-            if not int(bitmap[bit >> 6]) >> (bit & 63) & 1 or mark in seen or doc_id is None:
+            if doc_id is None or mark in seen or not _in_filter(bitmap, mark[0]):
                 continue
             if len(seen) >= 1_000_000:
                 seen.clear()
             seen.add(mark)
             length = prefix_length(len(tokens), similar)
-            rows.append((*mark, tokens.tobytes(), *(
-                ordered_prefix(tokens, frequent, k, length).view(np.int64) for k in (1, 2)
+            rows.append((*mark, packed(tokens), *(
+                ordered_prefix(tokens, frequent, k, length).astype(np.uint32).view(np.int32) for k in (1, 2)
             )))
-            if len(rows) >= 2000:
+            if len(rows) >= 1000:
                 yield flush()
                 rows = []
         yield flush()
 
-    sets = _docs(docs).mapInArrow(
-        made, "t1 long, t2 long, tokens binary, second array<long>, third array<long>"
-    )
-    found = sets.dropDuplicates(["t1", "t2"]).join(wanted, (F.col("t1") == F.col("s1")) & (F.col("t2") == F.col("s2")))
-    return written(found.select("id", "tokens", "second", "third"), "candidate-sets")
+    return written(_docs(docs).mapInArrow(
+        made, "t1 long, t2 long, tokens binary, second array<int>, third array<int>"
+    ), "candidate-sets")
 
 
-def _verified(pairs: DataFrame, sets: DataFrame, similar: int) -> DataFrame:
-    """The pairs (a, b) that share prefix tokens under the other orders too, and are similar: (a, b)."""
+def _in_filter(bitmap: np.ndarray, value: int) -> bool:
+    bit = value % (1 << FILTER_BITS)
+    return bool(int(bitmap[bit >> 6]) >> (bit & 63) & 1)
 
-    def side(name: str, *columns: str) -> DataFrame:
-        return sets.select(F.col("id").alias(name), *[F.col(c).alias(f"{name}_{c}") for c in columns])
 
-    passed = (
-        pairs.join(side("a", "second", "third"), "a").join(side("b", "second", "third"), "b")
-        .where(F.arrays_overlap("a_second", "b_second") & F.arrays_overlap("a_third", "b_third")).select("a", "b")
-    )
-    passed = written(passed, "candidate-pairs")
+def packed(tokens: np.ndarray) -> bytes:
+    """The upper 48 bits of each token: two tokens of one pair of sets agree in them by chance once in 10**14."""
+    return tokens.astype("<u8").view(np.uint8).reshape(-1, 8)[:, 2:].tobytes()
 
-    @F.pandas_udf("boolean")
-    def similar_enough(one: pd.Series, other: pd.Series) -> pd.Series:
-        out = []
-        for a, b in zip(one, other):
-            x, y = np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64)
-            both = np.concatenate([x, y])
-            both.sort(kind="stable")
-            shared = int(np.count_nonzero(both[1:] == both[:-1]))
-            out.append(100 * shared >= similar * (len(both) - shared))
-        return pd.Series(out, dtype=bool)
 
-    whole = passed.join(side("a", "tokens"), "a").join(side("b", "tokens"), "b")
-    return written(whole.where(similar_enough("a_tokens", "b_tokens")).select("a", "b"), "similar-pairs")
+def shared_tokens(one: bytes, other: bytes) -> tuple[int, int]:
+    """(shared, united) of two packed sets."""
+    both = np.zeros(((len(one) + len(other)) // 6, 8), np.uint8)
+    both[:, 2:] = np.frombuffer(one + other, np.uint8).reshape(-1, 6)
+    tokens = both.reshape(-1).view("<u8")
+    tokens.sort(kind="stable")
+    shared = int(np.count_nonzero(tokens[1:] == tokens[:-1]))
+    return shared, len(tokens) - shared
+
+
+def _is(s1: str, s2: str, t1: str, t2: str) -> Column:
+    return (F.col(s1) == F.col(t1)) & (F.col(s2) == F.col(t2))
+
 
+def _prefixes(sets: DataFrame) -> DataFrame:
+    return written(sets.select("t1", "t2", "second", "third").dropDuplicates(["t1", "t2"]), "other-prefixes")
 
-def _ordered(one: Column, other: Column) -> list[Column]:
-    return [F.least(one, other).alias("a"), F.greatest(one, other).alias("b")]
 
+def _verified(pairs: DataFrame, sets: DataFrame, prefixes: DataFrame, similar: int) -> DataFrame:
+    """The pairs of classes (a1, a2, b1, b2, a, b) that share prefix tokens under the other orders too, and are
+    similar: (a, b)."""
 
-def posting_lists(docs: DataFrame, classes: DataFrame, words: int, similar: int, frequent: np.ndarray) -> DataFrame:
-    """(token, salt, id, s1, s2, n, at, leader, leader_n, leader_at) of the prefix tokens that a class shares with
-    another of similar size, or that are frequent. The leader has the fewest tokens before the shared one."""
+    def beside(left: DataFrame, right: DataFrame, name: str) -> DataFrame:
+        side = right.select(*[F.col(c).alias(f"{name}_{c}") for c in right.columns])
+        return left.join(side, _is(f"{name}1", f"{name}2", f"{name}_t1", f"{name}_t2"))
+
+    both = beside(beside(pairs, prefixes, "a"), prefixes, "b")
+    overlap = F.arrays_overlap("a_second", "b_second") & F.arrays_overlap("a_third", "b_third")
+    passed = written(both.where(overlap).select(*pairs.columns), "candidate-pairs")
+
+    ends = passed.select(F.col("a1").alias("s1")).union(passed.select("b1"))
+    bitmap = _candidate_filter(ends)  # of fixed size: only sets that are needed are shuffled
+
+    @F.pandas_udf("boolean")
+    def needed(signature: pd.Series) -> pd.Series:
+        bits = signature.to_numpy(np.int64) % (1 << FILTER_BITS)
+        return pd.Series(bitmap[bits >> 6] >> (bits & 63).astype(np.uint64) & np.uint64(1) == 1)
+
+    @F.pandas_udf("boolean")
+    def similar_enough(one: pd.Series, other: pd.Series) -> pd.Series:
+        counts = [shared_tokens(a, b) for a, b in zip(one, other)]
+        return pd.Series([100 * shared >= similar * united for shared, united in counts], dtype=bool)
+
+    whole = sets.where(needed("t1")).select("t1", "t2", "tokens").dropDuplicates(["t1", "t2"])
+    compared = beside(beside(passed, whole, "a"), whole, "b")
+    return written(compared.where(similar_enough("a_tokens", "b_tokens")).select("a", "b"), "similar-pairs")
+
+
+def posting_lists(docs: DataFrame, words: int, similar: int, frequent: np.ndarray) -> DataFrame:
+    """(token, salt, s1, n, at, first, length) of the prefix tokens that a class shares with another of similar
+    size, or that are frequent. ``first`` is the list's leader: it has the fewest tokens before the shared one."""
     one_list = Window.partitionBy("token", "salt")
     postings = _postings(docs, words, similar, frequent).repartition("token", "salt").dropDuplicates()
     shared = postings.withColumn("length", F.count("*").over(one_list)).where("length > 1 OR salt > 0")
@@ -306,63 +331,83 @@ def posting_lists(docs: DataFrame, classes: DataFrame, words: int, similar: int,
     size = (F.log("n") * 1e6).cast("long")
     sized = Window.partitionBy("token", "salt").orderBy(size).rangeBetween(-reach, reach)
     shared = shared.withColumn("sized", F.count("*").over(sized)).where("sized > 1 OR salt > 0")
-    first = F.min(F.struct("at", "n", "s1", "s2")).over(one_list)
-    shared = shared.withColumn("first", first).select("token", "salt", "s1", "s2", "n", "at", "first")
-    ids = classes.select("id", "s1", "s2")
-    leaders = ids.select(F.col("id").alias("leader"), F.col("s1").alias("f1"), F.col("s2").alias("f2"))
-    named = shared.join(ids, ["s1", "s2"]).join(
-        leaders, (F.col("first.s1") == F.col("f1")) & (F.col("first.s2") == F.col("f2"))
-    )
-    return written(named.select(
-        "token", "salt", "id", "s1", "s2", "n", "at", "leader", F.col("first.n").alias("leader_n"),
-        F.col("first.at").alias("leader_at"),
+    first = F.min(F.struct("at", "n", "s1")).over(one_list)
+    return written(shared.select(
+        "token", "salt", "s1", "n", "at", first.alias("first"), F.count("*").over(one_list).alias("length"),
     ), "posting-lists")
 
 
-def _star_pairs(lists: DataFrame, similar: int) -> DataFrame:
+def _of_classes(pairs: DataFrame, classes: DataFrame) -> DataFrame:
+    """Distinct pairs of classes (a1, a2, b1, b2, a, b), a the smaller id, from pairs of half signatures (s1, f1)."""
+    distinct = pairs.where("s1 <> f1").select(
+        F.least("s1", "f1").alias("s1"), F.greatest("s1", "f1").alias("f1")
+    ).distinct()
+    one = classes.select(F.struct("id", "s1", "s2").alias("one"), F.col("s1").alias("c1"))
+    other = classes.select(F.struct("id", "s1", "s2").alias("other"), F.col("s1").alias("d1"))
+    named = distinct.join(one, F.col("s1") == F.col("c1")).join(other, F.col("f1") == F.col("d1"))
+    low, high = F.least("one", "other"), F.greatest("one", "other")
+    return named.where("one.id <> other.id").select(
+        low.s1.alias("a1"), low.s2.alias("a2"), high.s1.alias("b1"), high.s2.alias("b2"), low.id.alias("a"),
+        high.id.alias("b"),
+    )
+
+
+def _star_pairs(lists: DataFrame, classes: DataFrame, similar: int) -> DataFrame:
     """Every class beside its list's leader, and the leaders of a split list beside the first of them."""
-    own = lists.where(
-        (F.col("id") != F.col("leader"))
-        & _may_link(similar, F.col("n"), F.col("at"), F.col("leader_n"), F.col("leader_at"))
-    ).select(*_ordered(F.col("id"), F.col("leader")))
-    split = lists.where("salt > 0").select("token", "leader", "leader_n", "leader_at").distinct()
-    tops = split.groupBy("token").agg(F.min(F.struct("leader_at", "leader_n", "leader")).alias("top"))
-    among = split.join(tops, "token").where(
-        (F.col("leader") != F.col("top.leader"))
-        & _may_link(similar, F.col("leader_n"), F.col("leader_at"), F.col("top.leader_n"), F.col("top.leader_at"))
-    ).select(*_ordered(F.col("leader"), F.col("top.leader")))
-    return own.union(among).distinct()
-
-
-def _rest_pairs(lists: DataFrame, components: DataFrame, similar: int) -> DataFrame:
+    f, top = F.col("first"), F.col("top")
+    own = lists.where(_may_link(similar, F.col("n"), F.col("at"), f.n, f.at)).select("s1", f.s1.alias("f1"))
+    split = lists.where("salt > 0").select("token", "first").distinct()
+    tops = split.groupBy("token").agg(F.min("first").alias("top"))
+    among = split.join(tops, "token").where(_may_link(similar, f.n, f.at, top.n, top.at)).select(
+        f.s1.alias("s1"), top.s1.alias("f1")
+    )
+    return written(_of_classes(own.union(among), classes), "star-pairs")
+
+
+def _longer(lists: DataFrame) -> DataFrame:
+    """Lists that may hold pairs beyond those with their leader."""
+    return lists.where("length > 2 OR salt > 0")
+
+
+def _rest_pairs(lists: DataFrame, classes: DataFrame, components: DataFrame, similar: int) -> DataFrame:
     """Pairs of different components in one list. One of them is not of the component most of the list belongs to, its
     leader's, so only such classes are set against the whole list."""
-    placed = lists.select("token", "id", "n", "at").join(
-        components.select(F.col("node").alias("id"), "component"), "id", "left"
-    ).withColumn("component", F.coalesce("component", "id"))
-    placed = written(placed, "placed-lists")
-    mixed = written(placed.groupBy("token").agg(
+    known = classes.join(components, F.col("id") == F.col("node")).select(
+        F.col("s1").alias("c1"), F.struct(F.lit(True).alias("linked"), F.col("component").alias("x")).alias("component")
+    )
+    placed = _longer(lists).select("token", "s1", "n", "at").join(known, F.col("s1") == F.col("c1"), "left")
+    alone = F.struct(F.lit(False).alias("linked"), F.col("s1").alias("x"))
+    placed = written(placed.select(
+        "token", "s1", "n", "at", F.coalesce("component", alone).alias("component")
+    ), "placed-lists")
+    mixed = placed.groupBy("token").agg(
         F.min("component").alias("low"), F.max("component").alias("high"),
-        F.min(F.struct("at", "n", "id", "component")).alias("first"),
-    ).where("low <> high").select("token", F.col("first.component").alias("main")), "mixed-lists")
-    whole = placed.join(mixed, "token")
+        F.min(F.struct("at", "n", "s1", "component")).alias("first"),
+    ).where("low <> high").select("token", F.col("first.component").alias("main"))
+    whole = written(placed.join(written(mixed, "mixed-lists"), "token"), "mixed-rows")
     others = whole.where(F.col("component") != F.col("main")).select(
-        "token", *[F.col(c).alias(f"o_{c}") for c in ("id", "n", "at", "component")]
+        "token", F.col("s1").alias("f1"), F.col("n").alias("m"), F.col("at").alias("place"),
+        F.col("component").alias("its"),
     )
-    return others.join(placed, "token").where(
-        (F.col("component") != F.col("o_component"))
-        & _may_link(similar, F.col("n"), F.col("at"), F.col("o_n"), F.col("o_at"))
-    ).select(*_ordered(F.col("id"), F.col("o_id"))).distinct()
+    pairs = others.join(whole, "token").where(
+        (F.col("component") != F.col("its")) & _may_link(similar, F.col("n"), F.col("at"), F.col("m"), F.col("place"))
+    ).select("s1", "f1")
+    return _of_classes(pairs, classes)
 
 
 def similar_classes(docs: DataFrame, classes: DataFrame, words: int, similar: int, frequent: np.ndarray) -> DataFrame:
     """(node, component) over the classes (id, s1, s2) that are linked with another."""
-    lists = posting_lists(docs, classes, words, similar, frequent)
-    sets = _candidate_sets(docs, words, similar, frequent, lists.select("id", "s1", "s2").distinct())
-    star = written(_star_pairs(lists, similar), "star-pairs")
-    links = _verified(star, sets, similar)
-    rest = _rest_pairs(lists, connected_components(links), similar).join(star, ["a", "b"], "left_anti")
-    more = _verified(rest, sets, similar)
+    lists = posting_lists(docs, words, similar, frequent)
+    star = _star_pairs(lists, classes, similar)
+    in_stars = star.select(F.col("a1").alias("s1")).union(star.select("b1"))
+    wanted = in_stars.union(_longer(lists).select("s1"))
+    sets = _candidate_sets(docs, words, similar, frequent, wanted)
+    prefixes = _prefixes(sets)
+    links = _verified(star, sets, prefixes, similar)
+    seen = star.select(*[F.col(c).alias(f"seen_{c}") for c in ("a1", "a2", "b1", "b2")])
+    rest = _rest_pairs(lists, classes, connected_components(links), similar)
+    rest = rest.join(seen, _is("a1", "a2", "seen_a1", "seen_a2") & _is("b1", "b2", "seen_b1", "seen_b2"), "left_anti")
+    more = _verified(written(rest, "rest-pairs"), sets, prefixes, similar)
     return connected_components(links.union(more))
 
 
