@@ -22,10 +22,22 @@ def by_value(module: str) -> None:
 by_value(__name__)
 
 
+#: Caches a worker process keeps: those of the operators it ran last.
+_CACHES = 3
+
+
 def process_cache(name: str) -> dict:
-    """A dict that lives as long as the worker process: models are loaded and words looked up once, not once a task."""
-    holder = sys.modules.setdefault("_vanewright_worker", ModuleType("_vanewright_worker"))
-    return holder.__dict__.setdefault(f"cache_{name}", {})
+    """A dict that outlives the task: models are loaded and words looked up once a worker process, not once a task.
+    Only the caches used last are kept."""
+    holder = sys.modules.setdefault("_vanewright_worker", ModuleType("_vanewright_worker")).__dict__
+    caches = holder.setdefault("caches", {})
+    cache = caches.pop(name, None)
+    if cache is None:
+        cache = {}
+        while len(caches) >= _CACHES:
+            del caches[next(iter(caches))]
+    caches[name] = cache  # the last used comes last
+    return cache
 
 
 def bounded_batches(spark: SparkSession) -> None:

@@ -30,7 +30,9 @@ FIT_ROWS, FIT_WORDS = 12_000, 20_000
 UNKNOWN = "und"
 _TRIPLES = 1 << 15
 _BARRED = -20.0
-_CACHE_WORDS = 500_000
+_CACHE_WORDS = 300_000
+#: Characters of texts that are scored at a time.
+_AT_A_TIME = 1_000_000
 
 #: The first code points of Unicode's script blocks, and which script begins there.
 SCRIPT_STARTS = {
@@ -273,7 +275,14 @@ def with_language(docs: DataFrame, model: LanguageModel, text: str = "text") ->
 
     @F.pandas_udf(kind)
     def labelled(column: pd.Series) -> pd.DataFrame:
-        found = label_texts([t or "" for t in column], model)
+        found, part, size = [], [], 0
+        for value in column:
+            part.append(value or "")
+            size += len(part[-1])
+            if size >= _AT_A_TIME:
+                found += label_texts(part, model)
+                part, size = [], 0
+        found += label_texts(part, model)
         return pd.DataFrame({
             "lang_pred": objects(f[0] for f in found), "score": [f[1] for f in found],
             "spans": objects([{"lang": a, "first": b, "words": c} for a, b, c in f[2]] for f in found),
