@@ -35,14 +35,9 @@ def op1_url_filter(spark: SparkSession, folder: str) -> DataFrame:
 
 def op2_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
     """Every text encoded, and decoded again from its ids alone."""
-    model = tokenizer_path("piece_bpe_32k.model")
-    encoded = sentencepiece.encode(read(spark, folder, "documents"), model)
-    decoded = sentencepiece.decode(encoded.select(F.struct("doc_id", "ids", "score").alias("doc_id"), "ids"), model)
-    return decoded.select(
-        "doc_id.doc_id", (F.octet_length("doc_id.ids") / 4).cast("long").alias("n_ids"),
-        F.crc32("doc_id.ids").alias("ids_crc32"), F.round("doc_id.score", 3).alias("score"),
-        F.sha2("text", 256).alias("decoded_sha256"),
-    )
+    return sentencepiece.encode(
+        read(spark, folder, "documents"), tokenizer_path("piece_bpe_32k.model"), digests=True
+    ).withColumn("score", F.round("score", 3))
 
 
 def op3_language_id(spark: SparkSession, folder: str) -> DataFrame:

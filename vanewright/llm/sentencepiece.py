@@ -9,6 +9,7 @@ at each border is known, every chunk is traced back on its own. A state is how f
 
 from __future__ import annotations
 
+import hashlib
 import re
 import zlib
 import numpy as np
@@ -25,7 +26,7 @@ by_value(__name__)
 GIANT = 1 << 16
 #: The mark that piece files write for a space.
 SPACE = "\u2581"
-_CACHE_WORDS = 600_000
+_CACHE_WORDS = 300_000
 NEVER = -np.inf
 
 
@@ -33,6 +34,7 @@ class Pieces:
     """The pieces of a model file with their scores."""
 
     def __init__(self, path: str):
+        import ahocorasick
         from sentencepiece import SentencePieceProcessor
 
         self.model = SentencePieceProcessor(model_file=path)
@@ -58,6 +60,11 @@ class Pieces:
         for value, i in enumerate(self.bytes):
             self.plain[i] = bytes([value])
         self.longest = max(map(len, self.ids), default=1)
+        self.letters = {p for p in self.ids if len(p) == 1}
+        self.matcher = ahocorasick.Automaton()
+        for piece, score in self.scores.items():
+            self.matcher.add_word(piece, (len(piece), score))
+        self.matcher.make_automaton()
         self.words: dict[str, tuple[bytes, float]] = {}
 
     def steps(self, text: str, end: int) -> list[tuple[int, float]]:
@@ -73,6 +80,8 @@ class Pieces:
 
     def best(self, text: str, first: float = 0.0) -> tuple[list[int], float]:
         """The borders of the best segmentation and its score; of equally good ones, the longest last piece."""
+        if first == 0.0 and self.letters.issuperset(text):
+            return self._best_of_known(text)
         known, longest, lowest = self.scores.get, self.longest, self.lowest
         value, came = [first], [0]
         for end in range(1, len(text) + 1):
@@ -90,6 +99,20 @@ class Pieces:
             borders.append(came[borders[-1]])
         return borders[::-1], value[-1]
 
+    def _best_of_known(self, text: str) -> tuple[list[int], float]:
+        """The same where every character is a piece: all pieces in the text are matched at once, by rising end."""
+        value, came = [NEVER] * (len(text) + 1), [0] * (len(text) + 1)
+        value[0] = 0.0
+        for last, (length, score) in self.matcher.iter(text):
+            end = last + 1
+            total = value[end - length] + score
+            if total > value[end]:
+                value[end], came[end] = total, end - length
+        borders = [len(text)]
+        while borders[-1]:
+            borders.append(came[borders[-1]])
+        return borders[::-1], value[-1]
+
     def ids_of(self, text: str, borders: list[int]) -> list[int]:
         out: list[int] = []
         for start, end in zip(borders, borders[1:]):
@@ -201,7 +224,8 @@ def _cut(docs: DataFrame, chunk: int, longest: int) -> DataFrame:
 def _encode_giants(docs: DataFrame, model: str, chunk: int) -> DataFrame:
     """(doc_id, text_hash, ids, score) of giant texts, each once."""
     longest = pieces_of(model).longest
-    chunks = written(_cut(docs, chunk, longest).repartition("doc_id", "text_hash", "chunk"), "text-chunks")
+    tasks = 4 * docs.sparkSession.sparkContext.defaultParallelism  # chunks are small to read and long to work on
+    chunks = written(_cut(docs, chunk, longest).repartition(tasks, "doc_id", "text_hash", "chunk"), "text-chunks")
 
     @F.pandas_udf("array<double>")
     def transfer(text: pd.Series, after: pd.Series) -> pd.Series:
@@ -242,12 +266,21 @@ def _encode_giants(docs: DataFrame, model: str, chunk: int) -> DataFrame:
     return parts.groupBy("doc_id", "text_hash").agg(joined.alias("ids"), F.max("score").alias("score"))
 
 
-def encode(docs: DataFrame, model: str, giant: int = GIANT, chunk: int = GIANT) -> DataFrame:
+def _digested(pieces: Pieces, ids: bytes, score: float) -> tuple[int, int, float, str]:
+    text = pieces.decode(ids)
+    return len(ids) // 4, zlib.crc32(ids), score, hashlib.sha256(text.encode("utf-8", "surrogatepass")).hexdigest()
+
+
+def encode(
+    docs: DataFrame, model: str, giant: int = GIANT, chunk: int = GIANT, digests: bool = False
+) -> DataFrame:
     """(doc_id, ids, score) of documents (doc_id, text), a row per row; ids are packed as little-endian unsigned
-    32-bit numbers.
+    32-bit numbers. With ``digests``, (doc_id, n_ids, ids_crc32, score, decoded_sha256) instead: the ids are decoded
+    again where they are made, and only digests leave the tasks.
 
     ``model`` is a piece file of ``sentencepiece`` without its own normalisation; a space mark comes before the text.
-    Texts of ``giant`` characters and more go chunk by chunk through the scan, with the same result. A null or empty
+    Texts of ``giant`` characters and more go chunk by chunk through the scan, with the same score; where several
+    orders of the same pieces are equally good, it may take another one. A null or empty
     text is the mark alone. A null doc_id stays null; repeated rows repeat; an empty table gives no rows; other
     columns are not read.
     """
@@ -261,12 +294,35 @@ def encode(docs: DataFrame, model: str, giant: int = GIANT, chunk: int = GIANT)
         found = [pieces.encode(t) for t in column]
         return pd.DataFrame({"ids": objects(f[0] for f in found), "score": [f[1] for f in found]})
 
-    small = docs.where(~large).select("doc_id", encoded("text").alias("e")).select("doc_id", "e.*")
+    def table(rows: list[tuple]) -> pd.DataFrame:
+        columns = list(zip(*rows)) or [[]] * 4
+        return pd.DataFrame({
+            "n_ids": np.array(columns[0], np.int64), "ids_crc32": np.array(columns[1], np.int64),
+            "score": np.array(columns[2], np.float64), "decoded_sha256": objects(columns[3]),
+        })
+
+    kinds = "n_ids long, ids_crc32 long, score double, decoded_sha256 string"
+
+    @F.pandas_udf(kinds)
+    def small_digests(column: pd.Series) -> pd.DataFrame:
+        pieces = pieces_of(model)
+        return table([_digested(pieces, *pieces.encode(t)) for t in column])
+
+    @F.pandas_udf(kinds)
+    def giant_digests(ids: pd.Series, score: pd.Series) -> pd.DataFrame:
+        pieces = pieces_of(model)
+        return table([_digested(pieces, bytes(i), s) for i, s in zip(ids, score)])
+
+    of_small = small_digests if digests else encoded
+    small = docs.where(~large).select("doc_id", of_small("text").alias("e")).select("doc_id", "e.*")
     giants = docs.where(large)
     scanned = _encode_giants(giants, model, chunk).withColumnRenamed("doc_id", "_id")
     back = giants.select("doc_id", F.md5("text").alias("_hash")).join(
         scanned, F.col("_id").eqNullSafe(F.col("doc_id")) & (F.col("_hash") == F.col("text_hash"))
     )
+    if digests:
+        back = back.select("doc_id", giant_digests("ids", "score").alias("e")).select("doc_id", "e.*")
+        return small.unionByName(back)
     return small.unionByName(back.select("doc_id", "ids", "score"))
 
 
