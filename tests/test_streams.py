@@ -136,6 +136,31 @@ def test_upserts_replays_and_compaction(spark, keyed):
     assert keyed.compact() == 1 and state() == {"a": 2, "b": 9, "c": 3}
 
 
+def test_a_new_checkpoint_loses_nothing(spark, keyed, folder):
+    """Batches of a stream that starts anew count from 0 again, after compaction and after a rebuild."""
+    def batch(*rows):
+        return spark.createDataFrame(rows, "k string, v int")
+
+    def state():
+        return {r.k: r.v for r in keyed.read().collect()}
+
+    first = keyed.stream_number(f"{folder}/one")
+    keyed.apply(batch(("a", 1), ("b", 1)), 0, stream=first)
+    keyed.apply(batch(("c", 1)), 1, stream=first)
+    keyed.compact()
+    second = keyed.stream_number(f"{folder}/two")
+    assert (first, second) == (1, 2) and keyed.stream_number(f"{folder}/one") == 1
+    for _ in range(2):  # a replay replaces itself
+        keyed.apply(batch(("a", 2), ("z", 9)), 0, stream=second)
+        assert state() == {"a": 2, "b": 1, "c": 1, "z": 9}
+    keyed.compact()
+    assert state() == {"a": 2, "b": 1, "c": 1, "z": 9}
+    keyed.rebuild(batch(("r", 1)))
+    third = keyed.stream_number(f"{folder}/three")
+    keyed.apply(batch(("r", 2), ("s", 1)), 0, stream=third)
+    assert third == 3 and state() == {"r": 2, "s": 1}
+
+
 def test_columns_added_later_are_null_in_old_rows(spark, folder):
     old = UpsertTable(spark, f"{folder}/keyed", ["k"], spark.createDataFrame([], "k string, v int").schema)
     old.apply(spark.createDataFrame([("a", 1), ("b", 1)], "k string, v int"), 0)

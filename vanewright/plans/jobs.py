@@ -22,7 +22,7 @@ from vanewright.operators.prepare import complete_rows
 from vanewright.operators.retrieval import report_corpus
 from vanewright.operators.split import stratified_split
 from vanewright.session import written
-from vanewright.sources.landing import read_merged, stream_files, table_path
+from vanewright.sources.landing import infer_schema, read_merged, stream_files, table_path
 from vanewright.sources.sinks import append_result
 from vanewright.sources.versions import VersionedTable
 from vanewright.streaming.hourly import stream_hourly_features, upsert_stream
@@ -54,11 +54,11 @@ def rebuild_hourly(spark: SparkSession, lake: str) -> int:
 
 def stream_hourly(
     spark: SparkSession, lake: str, checkpoints: str, drain: bool = False, every: str | None = None,
-    max_files: int | None = None,
+    max_files: int | None = 1_000,
 ) -> StreamingQuery:
-    """Keep the hourly table current with readings as they reach bronze."""
+    """Keep the hourly table current with readings as they reach bronze, a bounded number of files a micro-batch."""
     path = table_path(lake, "incoming_data")
-    readings = stream_files(spark, path, "parquet", spark.read.parquet(path).schema, max_files)
+    readings = stream_files(spark, path, "parquet", infer_schema(spark, path, "parquet"), max_files)
     features = stream_hourly_features(readings, [KEY])
     return upsert_stream(
         features, silver_hourly(spark, lake), f"{checkpoints}/silver_sensor_hourly", drain, every

@@ -123,12 +123,19 @@ categorical_drift AS (
     + CASE WHEN q > 0 THEN q * log2(2 * q / (p + q)) ELSE 0 END) / 2), 0)) AS js
   FROM text_shares GROUP BY column_name)"""
 
-_CORPUS = f"""WITH {_READINGS}, {_features('monthly', 'month')}, {_TURBINES}, corpus AS (
-  SELECT turbine_id || '/' || strftime(hourly_timestamp, '%Y-%m-%d %H:%M:%S') AS report_id,
+_PARTS = ", ".join(
+    f"coalesce(length({part}) || ':' || {part}, '-')"
+    for part in ("CAST(turbine_id AS VARCHAR)", "hour", "location", "model", "state", "text", "content")
+)
+_CORPUS = f"""WITH {_READINGS}, {_features('monthly', 'month')}, {_TURBINES}, reported AS (
+  SELECT turbine_id, strftime(hourly_timestamp, '%Y-%m-%d %H:%M:%S') AS hour,
     coalesce(CAST(CAST(round(std_sensor_k, 4) AS DECIMAL(18, 4)) AS VARCHAR), 'None') || ' ' ||
     coalesce(CAST(CAST(round(std_sensor_value, 4) AS DECIMAL(18, 4)) AS VARCHAR), 'None') AS content,
-    std_sensor_k, std_sensor_value, location, model, state, text AS maintenance_report
-  FROM monthly JOIN turbines USING (turbine_id) JOIN documents ON doc_id = turbine_id WHERE text IS NOT NULL)"""
+    std_sensor_k, std_sensor_value, location, model, state, text
+  FROM monthly JOIN turbines USING (turbine_id) JOIN documents ON doc_id IN (turbine_id, turbine_id + 1)
+  WHERE text IS NOT NULL),
+  corpus AS (SELECT DISTINCT turbine_id || '/' || hour || '#' || left(md5(concat_ws(';', {_PARTS})), 16) AS report_id,
+    content, std_sensor_k, std_sensor_value, location, model, state, text AS maintenance_report FROM reported)"""
 
 _INFERRED = {
     "json": (("energy", "double"), ("event_type", "string"), ("reading_id", "bigint"), ("sensor_k", "double"),

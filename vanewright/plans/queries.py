@@ -568,11 +568,25 @@ def stream_dedup(spark, folder):
     return spark.read.schema(stream.schema).parquet(f"{lake}/readings")
 
 
+def _landed_in_parts(spark, folder, parts: int = 4) -> DataFrame:
+    """The readings as a stream of files that follow each other in time, one file a micro-batch. The hours at the
+    borders are in two of them."""
+    path, rows = scratch_folder(spark, "landing"), readings(spark, folder)
+    borders = rows.agg(F.percentile_approx("timestamp", [i / parts for i in range(1, parts)])).first()[0]
+    place = sum((F.col("timestamp") > b).cast("int") for b in borders)
+    for part in range(parts):
+        rows.filter(place == part).write.mode("append").parquet(path)
+    return stream_files(spark, path, "parquet", rows.schema, 1)
+
+
 def stream_upsert(spark, folder):
-    """De-duplicated, aggregated, upserted, compacted: still the batch result."""
-    stream = dedup_readings(_delivered_twice(streamed_readings(spark, folder)), ["reading_id"])
-    silver = _hourly_table(spark, stream)
-    silver.compact()
+    """De-duplicated, aggregated, upserted file by file, compacted on the way and by the next stream, which has a new
+    checkpoint and meets all files again: still the batch result."""
+    root = scratch_folder(spark, "silver")
+    features = stream_hourly_features(dedup_readings(_delivered_twice(_landed_in_parts(spark, folder)), ["reading_id"]))
+    silver = UpsertTable(spark, root, ["hourly_timestamp", "turbine_id"], features.schema)
+    for checkpoint in ("first", "second"):
+        upsert_stream(features, silver, f"{root}/{checkpoint}", compact_every=3).awaitTermination()
     return _hourly_result(silver.read())
 
 

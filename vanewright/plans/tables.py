@@ -68,10 +68,12 @@ def hourly_training_set(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def monthly_reports(spark: SparkSession, folder: str) -> DataFrame:
-    """Features per turbine and month with the turbine's description and its report (the document of its number)."""
+    """Features per turbine and month with the turbine's description and its two reports: the document of its number and
+    the next one."""
     features = hourly_features(readings(spark, folder), grain="month")
     reports = table(spark, folder, "documents").select(
-        F.col("doc_id").alias("turbine_id"), F.col("text").alias("maintenance_report")
+        F.explode(F.array("doc_id", F.col("doc_id") - 1)).alias("turbine_id"),
+        F.col("text").alias("maintenance_report"),
     )
     return features.join(turbines(spark, folder), "turbine_id").join(reports, "turbine_id")
 

@@ -42,16 +42,25 @@ def stream_hourly_features(
 
 
 def upsert_stream(
-    features: DataFrame, table: UpsertTable, checkpoint: str, drain: bool = True, every: str | None = None
+    features: DataFrame, table: UpsertTable, checkpoint: str, drain: bool = True, every: str | None = None,
+    compact_every: int | None = 50,
 ) -> StreamingQuery:
     """Keep ``table`` up to date with a stream of changed rows (update mode).
 
-    Runs until all present input is in (``drain``), or on and on: at an interval (``every``) or back to back.
+    Runs until all present input is in (``drain``), or on and on: at an interval (``every``) or back to back. After
+    every ``compact_every`` micro-batches the changes are folded into a new version, so that reading stays cheap.
     """
+    stream = table.stream_number(checkpoint)
+
+    def upsert(batch: DataFrame, batch_id: int) -> None:
+        table.apply(batch, batch_id, stream=stream)
+        if compact_every and batch_id % compact_every == compact_every - 1:
+            table.compact()
+
     writer = (
         features.writeStream.outputMode("update")
         .option("checkpointLocation", checkpoint)
-        .foreachBatch(lambda batch, batch_id: table.apply(batch, batch_id))
+        .foreachBatch(upsert)
     )
     if drain:
         writer = writer.trigger(availableNow=True)

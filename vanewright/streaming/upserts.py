@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+import re
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
@@ -16,47 +18,69 @@ from vanewright.sources.versions import VersionedTable
 class UpsertTable:
     """Keyed rows as a compacted version plus one folder of changed rows per micro-batch.
 
-    Applying a batch writes only that batch's rows, into a folder named by the batch id, so a replayed batch replaces
-    itself. ``read`` lays the newest change of each key over the compacted version; ``compact`` makes that the next
-    version. Change folders are kept: readers of older versions stay valid.
+    Applying a batch writes only that batch's rows, into a folder named by the stream and the batch id, so a replayed
+    batch replaces itself. A stream that starts anew with a new checkpoint counts its batches from 0 again; it is
+    another stream here, with a larger number, and its changes are newer than those of all earlier streams. ``read``
+    lays the newest change of each key over the compacted version; ``compact`` makes that the next version and notes,
+    stream by stream, the last batch in it. Change folders are kept: readers of older versions stay valid.
     """
 
     def __init__(self, spark: SparkSession, root: str, keys: Sequence[str], schema: StructType):
         self.spark, self.root, self.keys, self.schema = spark, root.rstrip("/"), list(keys), schema
         self.base = VersionedTable(spark, f"{self.root}/compacted")
 
-    def apply(self, batch: DataFrame, batch_id: int, order: Sequence[Column] = ()) -> None:
+    def stream_number(self, checkpoint: str) -> int:
+        """The number of the stream that keeps this checkpoint. It is kept there, and a new checkpoint gets the next."""
+        path = f"{checkpoint.rstrip('/')}/upsert-stream"
+        try:
+            return int(self.spark.read.text(path).first()[0])
+        except AnalysisException as e:
+            if e.getCondition() != "PATH_NOT_FOUND":
+                raise
+        number = 1 + max([0, *self._last_batches(), *self._compacted()[1]])
+        self.spark.range(1).select(F.lit(str(number)).alias("value")).coalesce(1).write.text(path)
+        return number
+
+    def apply(self, batch: DataFrame, batch_id: int, order: Sequence[Column] = (), stream: int = 0) -> None:
         """Upsert a batch. Of several rows with one key the first in ``order`` is taken (without one: any)."""
         one_each = first_per_key(batch, self.keys, order) if order else batch.dropDuplicates(self.keys)
         one_each.select(*self.schema.names).write.mode("overwrite").parquet(
-            f"{self.root}/changes/batch_id={batch_id}"
+            f"{self.root}/changes/stream={stream}/batch_id={batch_id}"
         )
 
     def _changes(self) -> DataFrame:
-        with_batch = StructType(list(self.schema.fields)).add("batch_id", LongType())
+        placed = StructType(list(self.schema.fields)).add("stream", LongType()).add("batch_id", LongType())
         try:
-            return self.spark.read.schema(with_batch).parquet(f"{self.root}/changes")
+            return self.spark.read.schema(placed).parquet(f"{self.root}/changes")
         except AnalysisException as e:
             if e.getCondition() != "PATH_NOT_FOUND":
                 raise
-            return self.spark.createDataFrame([], with_batch)
+            return self.spark.createDataFrame([], placed)
 
-    def _compacted(self) -> tuple[int | None, int]:
-        """Latest compacted version and the last batch in it."""
+    def _compacted(self) -> tuple[int | None, dict[int, int]]:
+        """Latest compacted version and the last batch of each stream in it."""
         row = self.base.history().agg(F.max("version"), F.max_by("note", "version")).first()
-        return (None, -1) if row[0] is None else (row[0], int(row[1]))
+        return (None, {}) if row[0] is None else (row[0], {int(k): v for k, v in json.loads(row[1]).items()})
 
-    def _last_batch(self) -> int:
-        last = self._changes().agg(F.max("batch_id")).first()[0]
-        return -1 if last is None else last
+    def _last_batches(self) -> dict[int, int]:
+        """The last batch of each stream, from the names of the change files alone."""
+        last: dict[int, int] = {}
+        for name in self._changes().inputFiles():
+            stream, batch = map(int, re.search(r"/stream=(\d+)/batch_id=(\d+)/", name).groups())
+            last[stream] = max(batch, last.get(stream, -1))
+        return last
 
     def read(self, through: int | None = None) -> DataFrame:
         """Current rows; with ``through``, later batches left out. Compacted batches are pruned by folder."""
+        return self._merged(F.lit(True) if through is None else F.col("batch_id") <= through)
+
+    def _merged(self, wanted: Column) -> DataFrame:
         version, done = self._compacted()
-        changes = self._changes().filter(F.col("batch_id") > done)
-        if through is not None:
-            changes = changes.filter(F.col("batch_id") <= through)
-        newest = first_per_key(changes, self.keys, [F.col("batch_id").desc()]).drop("batch_id")
+        new = F.lit(True)
+        for stream, batch in done.items():
+            new = new & ((F.col("stream") != stream) | (F.col("batch_id") > batch))
+        changes = self._changes().filter(new & wanted)
+        newest = first_per_key(changes, self.keys, [F.struct("stream", "batch_id").desc()]).drop("stream", "batch_id")
         if version is None:
             return newest
         return merge_rows(self._aligned(self.base.read(version)), newest, self.keys)
@@ -69,11 +93,15 @@ class UpsertTable:
 
     def compact(self) -> int | None:
         """Fold all present batches into a new version; None if there is nothing new."""
-        last = self._last_batch()
-        if last <= self._compacted()[1]:
+        done, last = self._compacted()[1], self._last_batches()
+        if all(batch <= done.get(stream, -1) for stream, batch in last.items()):
             return None
-        return self.base.write(self.read(through=last), note=str(last))
+        present = F.lit(False)
+        for stream, batch in last.items():
+            present = present | ((F.col("stream") == stream) & (F.col("batch_id") <= batch))
+        return self.base.write(self._merged(present), note=json.dumps({**done, **last}))
 
     def rebuild(self, df: DataFrame) -> int:
         """Replace all rows by ``df`` as a new version: batches applied so far no longer count."""
-        return self.base.write(df.select(*self.schema.names), note=str(self._last_batch()))
+        done = {**self._compacted()[1], **self._last_batches()}
+        return self.base.write(df.select(*self.schema.names), note=json.dumps(done))
