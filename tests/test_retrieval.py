@@ -75,14 +75,14 @@ def test_corpus_and_similar_reports(spark):
         "turbine_id string, hour int, std_sensor_B double, std_sensor_A double, location string, maintenance_report string",
     )
     corpus = report_corpus(training, "maintenance_report", ["location"], ["turbine_id", "hour"])
-    rows = {r.report_id: r for r in corpus.collect()}
+    rows = {r.report_id.split("#")[0]: r for r in corpus.collect()}
     assert set(rows) == {"t1/1", "t1/2"}
     assert (rows["t1/1"].content, rows["t1/1"].vector) == ("1.5 0.5", [1.5, 0.5])
     assert rows["t1/2"].content == "None 0.6"
-    whole = corpus.filter(F.col("report_id") == "t1/1")
+    whole = corpus.filter(F.col("report_id").startswith("t1/1#"))
     asked = spark.createDataFrame([(1, "near 1.4 0.6"), (2, "no numbers 7"), (3, "1.0 2.0 3.0")], "query_id int, request string")
     got = {r.query_id: r for r in similar_reports(whole, asked, "request").collect()}
-    assert (got[1].status, got[1].report_id, got[1].maintenance_report) == ("ok", "t1/1", "report one")
+    assert (got[1].status, got[1].report_id, got[1].maintenance_report) == ("ok", rows["t1/1"].report_id, "report one")
     assert {(got[i].status, got[i].report_id) for i in (2, 3)} == {("invalid", None)}
     assert parse_readings(asked, "request").filter("query_id = 1").first().vector == [1.4, 0.6]
 

@@ -51,14 +51,26 @@ def joined_values(columns: Sequence[Column]) -> Column:
 def parse_requests(df: DataFrame, column: str) -> DataFrame:
     """Turn list texts such as ``['2024-01-01 00:00:00', 1.5, ...]`` into typed rows with a ``status``.
 
-    ``status`` is ``ok``, or ``invalid`` where the text is no list, is empty or has the wrong number of items;
-    the fields of an invalid request are null.
+    A list or tuple counts, a comma before its end too, and ``None`` outside quotes is a missing value. ``status`` is
+    ``ok``, or ``invalid`` where the text is neither, goes on behind it, is empty, has the wrong number of items or an
+    item that is no number where one belongs; the fields of an invalid request are null.
     """
-    as_json = F.regexp_replace(F.col(column), r"([\[,]\s*)None(?=\s*[,\]])", "$1null")
-    # Parsing plain text would fail by exception, row by row; what does not begin like a list is not parsed.
-    items = F.from_json(F.when(F.ltrim(F.col(column)).startswith("["), as_json), "array<string>")
+    bare = F.trim(F.col(column))
+    inner = F.regexp_replace(F.substring(bare, F.lit(2), F.length(bare) - 2), r",\s*$", "")
+    closed = (bare.startswith("[") & bare.endswith("]")) | (bare.startswith("(") & bare.endswith(")"))
+    # Each match goes on where the last one ended and swallows quoted texts whole, so it ends at a bare word.
+    bare_none = r"""\G((?:[^'"N]|'(?:[^'\\]|\\.)*+'|"(?:[^"\\]|\\.)*+"|N(?!one\b))*+)None\b"""
+    as_json = F.concat(F.lit("["), F.regexp_replace(inner, bare_none, "$1null"), F.lit("]"))
+    # A text with a bare bracket inside is no flat list; what does not look like one is not parsed.
+    flat = ~F.regexp_replace(inner, r"""'(?:[^'\\]|\\.)*+'|"(?:[^"\\]|\\.)*+\"""", "").rlike(r"[\[\](){}]")
+    items = F.from_json(F.when(closed & flat, as_json), "array<string>")
     parsed = df.withColumn("_items", items)
-    valid = F.coalesce(F.size("_items") == len(REQUEST_FIELDS), F.lit(False))
+    valid = F.size("_items") == len(REQUEST_FIELDS)
+    for i, (_, kind) in enumerate(REQUEST_FIELDS):
+        item = F.get("_items", F.lit(i))
+        if kind != "string":
+            valid = valid & (item.isNull() | item.try_cast(kind).isNotNull())
+    valid = F.coalesce(valid, F.lit(False))
     fields = {
         name: F.when(valid, F.get("_items", F.lit(i))).try_cast(kind)
         for i, (name, kind) in enumerate(REQUEST_FIELDS)

@@ -8,10 +8,12 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from vanewright.operators.bounded import join_small
-from vanewright.operators.quantiles import EXACT_ROWS, exact_quantiles
+from vanewright.operators.quantiles import EXACT_ROWS, exact_quantiles, is_present, present
 from vanewright.session import written
 
 # A column has drifted from this distance on, a table from this share of drifted columns on.
+# The histogram of a drift run is cut into parts of about so many distinct values.
+VALUES_PER_PART = 500_000
 COLUMN_THRESHOLD = 0.1
 TABLE_THRESHOLD = 0.5
 
@@ -38,9 +40,10 @@ def numeric_drift(
     running totals of a partition then need only the totals of earlier partitions, one row each, so no column is
     ever sorted in one task.
     """
-    counts = _value_counts(reference, current, columns, "double")
+    counts = written(_value_counts(reference, current, columns, "double"), "value-counts")
+    size = max(1, -(-counts.count() // VALUES_PER_PART))
     histogram = written(
-        counts.repartitionByRange("column_name", "value").withColumn("part", F.spark_partition_id()), "histogram"
+        counts.repartitionByRange(size, "column_name", "value").withColumn("part", F.spark_partition_id()), "histogram"
     )
     parts = histogram.groupBy("column_name", "part").agg(
         F.sum("n_ref").alias("part_ref"), F.sum("n_cur").alias("part_cur"), F.min("value").alias("part_start")
@@ -83,7 +86,7 @@ def categorical_drift(
     reference: DataFrame, current: DataFrame, columns: Sequence[str], threshold: float = COLUMN_THRESHOLD
 ) -> DataFrame:
     """Per column: Jensen-Shannon distance (base 2) between the category shares of the two sides."""
-    counts = _value_counts(reference, current, columns, "string")
+    counts = written(_value_counts(reference, current, columns, "string"), "category-counts")
     totals = counts.groupBy("column_name").agg(F.sum("n_ref").alias("all_ref"), F.sum("n_cur").alias("all_cur"))
     shares = join_small(counts, totals, ["column_name"]).select(
         "column_name",
@@ -117,17 +120,17 @@ def summarize(
     shares: Sequence[float] = (0.25, 0.5, 0.75),
     exact_rows: int = EXACT_ROWS,
 ) -> DataFrame:
-    """One row per numeric column: rows, nulls, distinct values, range, mean, population deviation, quantiles.
+    """One row per numeric column: rows, missing ones (null or not-a-number), distinct values, range, mean, population deviation, quantiles.
 
     The moments take one pass. Distinct values are counted after de-duplicating (column, value) pairs across the
     cluster, and quantiles are found by narrowing, so nothing grows with the table in one task.
     """
     stats = []
     for i, c in enumerate(columns):
-        value = F.col(c).cast("double")
+        value = present(df, c).cast("double")
         stats += [
             F.count("*").alias(f"rows_{i}"),
-            F.count_if(F.col(c).isNull()).alias(f"nulls_{i}"),
+            F.count_if(~is_present(df, c)).alias(f"nulls_{i}"),
             F.min(value).alias(f"low_{i}"),
             F.max(value).alias(f"high_{i}"),
             F.avg(value).alias(f"mean_{i}"),

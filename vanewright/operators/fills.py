@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType
@@ -11,19 +12,24 @@ from pyspark.sql.types import NumericType
 ROWS_PER_CHUNK = 2_000_000
 
 
-def _time_chunk(df: DataFrame, time: str, rows_per_chunk: int) -> Column:
-    """Number of the slice of time a row lies in; all slices are as long, and hold ``rows_per_chunk`` rows on average.
+def _with_chunk(df: DataFrame, time: str, rows_per_chunk: int) -> DataFrame:
+    """``_chunk``: the number of the slice of time a row lies in. Slices are cut at quantiles of time, so each holds
+    about ``rows_per_chunk`` rows of all entities however uneven the times are; a missing time has no slice.
 
-    Takes one pass for the number of rows and the range, which parquet footers can answer.
+    Takes one pass for the count and one for the borders, whose number is that of the chunks.
     """
     place = F.col(time)
     if not isinstance(df.schema[time].dataType, NumericType):
         place = F.unix_micros(place.cast("timestamp"))
-    rows, low, high = df.agg(F.count(time), F.min(place), F.max(place)).first()
-    if not rows or high == low:
-        return F.lit(0)
-    width = (high - low) * min(rows_per_chunk / rows, 1.0)
-    return F.floor((place - F.lit(low)) / F.lit(width))
+    placed = df.withColumn("_place", place.cast("double"))
+    chunks = -(-df.agg(F.count(time)).first()[0] // rows_per_chunk)
+    if chunks <= 1:
+        return placed.withColumn("_chunk", F.lit(0.0)).drop("_place")
+    shares = [i / chunks for i in range(1, chunks)]
+    borders = placed.agg(F.percentile_approx("_place", shares, max(10_000, 20 * chunks))).first()[0]
+    splits = [float("-inf"), *sorted(set(borders)), float("inf")]
+    cut = Bucketizer(splits=splits, inputCol="_place", outputCol="_chunk", handleInvalid="keep")
+    return cut.transform(placed).drop("_place")
 
 
 def fill_along_time(
@@ -38,7 +44,8 @@ def fill_along_time(
     """Replace nulls by the entity's last (``forward``) or next (``backward``) value in time order.
 
     All histories are cut at the same times into chunks of about ``rows_per_chunk`` rows, so even an entity that holds
-    most rows is spread over many tasks. A chunk of an entity is filled from its own rows, and where it has none yet,
+    most rows is spread over many tasks, with stray times and bursts as well. Only rows of one and the same time cannot
+    be cut apart. A chunk of an entity is filled from its own rows, and where it has none yet,
     from the nearest earlier (later) chunk with a value; that value comes from one row per entity and chunk,
     aggregated before the shuffle. ``ties`` settle the order of equal times.
     """
@@ -46,9 +53,9 @@ def fill_along_time(
         raise ValueError(f"unknown direction {direction!r}")
     forward = direction == "forward"
     # As one struct, a null key equals itself, and the join and the window share a partitioning.
-    slot = F.struct(F.struct(*keys).alias("entity"), _time_chunk(df, time, rows_per_chunk).alias("chunk"))
+    slot = F.struct(F.struct(*keys).alias("entity"), F.col("_chunk").alias("chunk"))
     order = F.struct(time, *ties)
-    rows = df.withColumn("_slot", slot)
+    rows = _with_chunk(df, time, rows_per_chunk).withColumn("_slot", slot)
 
     pick = F.max_by if forward else F.min_by
     ends = rows.groupBy("_slot").agg(*[

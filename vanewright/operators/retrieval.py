@@ -14,6 +14,7 @@ from vanewright.functions.columns import columns_named
 from vanewright.functions.text import decimals_in, joined_values
 from vanewright.operators.bounded import join_small, rows_if_small
 from vanewright.operators.topk import Nearest, as_matrix
+from vanewright.session import written
 
 # A block of queries is held by every task: 2,048 vectors of 1,024 doubles are 16 MB.
 QUERY_BLOCK = 2_048
@@ -25,18 +26,24 @@ def report_corpus(
 ) -> DataFrame:
     """Rows that have a report: the ``std_`` readings, sorted by name, as vector and as text, with the metadata.
 
-    ``report_id`` is made from the row's own key, so it does not change from run to run. ``text_of`` turns a reading
-    into text (a plain cast by default).
+    ``report_id`` is made from the row's own key, so it does not change from run to run: the ids, then a hash of all
+    that the corpus has of the row, so that several reports of one unit and hour stay apart. Rows alike in all of it
+    are one report. ``text_of`` turns a reading into text (a plain cast by default).
     """
     readings = columns_named(training, prefix="std_")
     as_text = text_of or (lambda c: c.cast("string"))
+    # Each part is written with its length, and a missing one as nothing at all: no two rows read alike.
+    own = [F.col(c).cast("string") for c in dict.fromkeys([*ids, *metadata, report])]
+    own.append(joined_values([as_text(F.col(c)) for c in readings]))
+    whole = F.concat_ws(";", *[F.coalesce(F.concat(F.length(p).cast("string"), F.lit(":"), p), F.lit("-")) for p in own])
+    key = F.concat_ws("/", *[F.coalesce(F.col(c).cast("string"), F.lit("None")) for c in ids])
     return training.filter(F.col(report).isNotNull()).select(
-        F.concat_ws("/", *[F.col(c).cast("string") for c in ids]).alias("report_id"),
+        F.concat(key, F.lit("#"), F.left(F.md5(whole), F.lit(16))).alias("report_id"),
         joined_values([as_text(F.col(c)) for c in readings]).alias("content"),
         F.array(*[F.col(c).cast("double") for c in readings]).alias("vector"),
         *metadata,
         report,
-    )
+    ).dropDuplicates(["report_id"])
 
 
 def parse_readings(requests: DataFrame, text: str, width: int | None = None) -> DataFrame:
@@ -131,8 +138,8 @@ def similar_reports(corpus: DataFrame, requests: DataFrame, text: str, k: int =
     Requests without as many numbers as a report has readings come back as one row with ``status`` invalid. The k found rows per request are
     broadcast (while they pass the size check) to pick up their details, so the report texts are not shuffled.
     """
-    first = corpus.select(F.size("vector")).first()
+    first = corpus.where(F.col("vector").isNotNull()).select(F.size("vector")).first()
     parsed = parse_readings(requests, text, first and first[0]).select(query_id, "vector", "status")
-    found = nearest(corpus, parsed, k, "report_id", query_id)
+    found = written(nearest(corpus, parsed, k, "report_id", query_id), "nearest-reports")
     details = join_small(corpus.drop("vector"), found, ["report_id"])
     return parsed.drop("vector").join(details, query_id, "left")

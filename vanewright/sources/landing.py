@@ -25,11 +25,12 @@ TABLE_SCHEMAS = {
 
 
 def infer_schema(spark: SparkSession, path: str, fmt: str, sampling_ratio: float = 1.0) -> StructType:
-    """Schema of JSON or parquet files. JSON is read through; a ``sampling_ratio`` below 1 reads that share."""
+    """Schema of JSON or parquet files, with the columns of all of them. JSON is read through (a ``sampling_ratio``
+    below 1 reads that share), of parquet every footer."""
     if fmt == "json":
         return spark.read.option("samplingRatio", sampling_ratio).json(path).schema
     if fmt == "parquet":
-        return spark.read.parquet(path).schema
+        return spark.read.option("mergeSchema", "true").parquet(path).schema
     raise ValueError(f"cannot infer a schema from {fmt!r} files")
 
 
@@ -82,7 +83,7 @@ class LandingTable:
     max_files: int | None = 1_000
 
 
-# The tables a deployment ingests, in order. The JSON ones are small; of parquet, inference reads one footer.
+# The tables a deployment ingests, in order. The JSON ones are small; of parquet, inference reads the footers.
 LANDING_TABLES = (
     LandingTable("turbine", "json"),
     LandingTable("parts", "json"),
@@ -114,6 +115,12 @@ def ingest_all(
     fmt: str = "parquet",
 ) -> None:
     """Ingest tables side by side and wait for all of them."""
-    running = [ingest(spark, t, landing, lake, checkpoints, fmt) for t in tables]
-    for query in running:
-        query.awaitTermination()
+    running: list[StreamingQuery] = []
+    try:
+        for table in tables:
+            running.append(ingest(spark, table, landing, lake, checkpoints, fmt))
+        for query in running:
+            query.awaitTermination()
+    finally:  # when one fails, none is left running
+        for query in running:
+            query.stop()
