@@ -49,11 +49,11 @@ def line_occurrences(docs: DataFrame, min_chars: int = 20) -> DataFrame:
     n_lines = F.length(text) - F.length(F.replace(text, F.lit("\n"), F.lit(""))) + 1
     lines = docs.where(F.col("doc_id").isNotNull()).select(
         "doc_id", F.unhex(F.md5("text")).alias("text_hash"), n_lines.alias("n_lines"),
-        # Exploding the bare lines makes them a column of its own: nothing later cuts them again.
-        F.posexplode(F.transform(lines_of(F.col("text")), bare_line)).alias("position", "line"),
+        F.posexplode(lines_of(F.col("text"))).alias("position", "line"),
     )
-    key = F.unhex(F.md5(line_key(F.col("line"))))
-    return written(lines.where(F.length("line") >= min_chars).withColumn("hash", key).drop("line"), "lines")
+    bare = bare_line(F.col("line"))
+    hashed = lines.where(F.length(bare) >= min_chars).withColumn("hash", F.unhex(F.md5(line_key(bare))))
+    return written(hashed.drop("line"), "lines")
 
 
 def shared_lines(occurrences: DataFrame, min_docs: int = 3) -> DataFrame:
