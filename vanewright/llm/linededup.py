@@ -47,9 +47,12 @@ def line_occurrences(docs: DataFrame, min_chars: int = 20) -> DataFrame:
     """
     text = F.coalesce("text", F.lit(""))
     n_lines = F.length(text) - F.length(F.replace(text, F.lit("\n"), F.lit(""))) + 1
-    lines = docs.where(F.col("doc_id").isNotNull()).select(
-        "doc_id", F.unhex(F.md5("text")).alias("text_hash"), n_lines.alias("n_lines"),
-        F.posexplode(lines_of(F.col("text"))).alias("position", "line"),
+    # Selected before the explosion: beside it, they would be worked out once a line.
+    whole = docs.where(F.col("doc_id").isNotNull()).select(
+        "doc_id", F.unhex(F.md5("text")).alias("text_hash"), n_lines.alias("n_lines"), "text"
+    )
+    lines = whole.select(
+        "doc_id", "text_hash", "n_lines", F.posexplode(lines_of(F.col("text"))).alias("position", "line")
     )
     bare = bare_line(F.col("line"))
     hashed = lines.where(F.length(bare) >= min_chars).withColumn("hash", F.unhex(F.md5(line_key(bare))))
