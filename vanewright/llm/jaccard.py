@@ -13,6 +13,7 @@ change nothing.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
@@ -30,45 +31,76 @@ by_value(__name__)
 WORDS, SIMILAR = 5, 80
 #: Tokens counted at a time for frequency, and how often one must come up there to be noted as frequent. The list of
 #: frequent ones that travels to the tasks is bounded. It shapes the orders, never the result.
-COUNT_AT, NOTED, FREQUENT = 2_000_000, 4, 200_000
-#: Lists of frequent tokens are split in so many.
-SALT = 32
+COUNT_AT, NOTED, FREQUENT = 2_000_000, 2, 400_000
+#: Lists of tokens of at least this power of frequency are split in so many.
+SPLIT, SALT = 8, 32
 #: Bits of the fixed-size filter for sets that have candidates. False positives cost time only.
 FILTER_BITS = 25
-_CACHE_WORDS = 700_000
+#: Bytes of a text that are hashed at a time.
+SEGMENT = 1 << 18
+_SPACES = [bytes([c]) for c in b" \t\n\x0b\x0c\r"]
+_IS_SPACE = np.isin(np.arange(256), list(b" \t\n\x0b\x0c\r"))
 _ORDERS = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)
 
 
-class _WordHashes(dict):
-    def __missing__(self, word: bytes) -> int:
-        import xxhash
-
-        if len(self) >= _CACHE_WORDS:
-            self.clear()
-        value = self[word] = xxhash.xxh3_64_intdigest(word)
-        return value
-
-
 def _mixed(values: np.ndarray) -> np.ndarray:
     values = (values ^ values >> np.uint64(33)) * np.uint64(0xFF51AFD7ED558CCD)
     values = (values ^ values >> np.uint64(33)) * np.uint64(0xC4CEB9FE1A85EC53)
     return values ^ values >> np.uint64(33)
 
 
+def _powers(size: int) -> tuple[np.ndarray, np.ndarray]:
+    """Powers of an odd base and their inverses, modulo 2**64."""
+    cache = process_cache("shingle-powers")
+    if len(cache.get("up", ())) < size:
+        base = 0x9DDFEA08EB382D69
+        for name, factor in (("up", base), ("down", pow(base, -1, 1 << 64))):
+            row = np.full(size, factor, np.uint64)
+            row[0] = 1
+            cache[name] = np.multiply.accumulate(row)
+    return cache["up"], cache["down"]
+
+
+def _word_hashes(text: bytes) -> np.ndarray:
+    """A hash of each word: a polynomial of its bytes, from one running sum over the whole text."""
+    found = []
+    at = 0
+    while at < len(text):
+        cut = at + SEGMENT
+        if cut < len(text):  # a segment ends where a word does
+            cut = max(text.rfind(space, at, cut) for space in _SPACES) + 1
+            if not cut:
+                cut = min((p for p in (text.find(space, at) for space in _SPACES) if p >= 0), default=len(text) - 1) + 1
+        part = np.frombuffer(text[at:cut], np.uint8)
+        at = cut
+        inside = np.zeros(len(part) + 2, np.int8)
+        inside[1:-1] = ~_IS_SPACE[part]
+        change = np.diff(inside)
+        starts, ends = np.flatnonzero(change == 1), np.flatnonzero(change == -1)
+        up, down = _powers(max(SEGMENT + 1, len(part)))
+        sums = np.zeros(len(part) + 1, np.uint64)
+        np.cumsum((part.astype(np.uint64) + np.uint64(1)) * up[:len(part)], out=sums[1:])
+        lengths = (ends - starts).astype(np.uint64)
+        found.append(_mixed((sums[ends] - sums[starts]) * down[starts] + lengths * np.uint64(0xC2B2AE3D27D4EB4F)))
+    return np.concatenate(found) if found else np.empty(0, np.uint64)
+
+
 def shingle_set(text: str, words: int) -> np.ndarray:
     """The sorted distinct 64-bit tokens of a text: one per ``words`` words in a row, or one for all of fewer words."""
-    cache = process_cache("shingle-words")
-    if "hashes" not in cache:
-        cache["hashes"] = _WordHashes()
-    split = text.encode("utf-8", "surrogatepass").lower().split()  # bytes: ASCII letters and white space only
-    if not split:
-        return np.empty(0, np.uint64)
-    hashes = np.fromiter(map(cache["hashes"].__getitem__, split), np.uint64, len(split))
-    rolled = hashes
-    for _ in range(1, min(words, len(split))):
-        rolled = rolled[:-1] * np.uint64(0x9DDFEA08EB382D69) + hashes[len(hashes) - len(rolled) + 1:]
-        rolled = _mixed(rolled)
-    return np.unique(rolled + np.uint64(len(split) if len(split) < words else 0))
+    hashes = _word_hashes(text.encode("utf-8", "surrogatepass").lower())  # bytes: ASCII letters only
+    if not len(hashes):
+        return hashes
+    count = min(words, len(hashes))
+    rolled = hashes[:len(hashes) - count + 1].copy()
+    for i in range(1, count):
+        rolled *= np.uint64(0xD6E8FEB86659FD93)
+        rolled += hashes[i:len(hashes) - count + 1 + i]
+    rolled = _mixed(rolled + np.uint64(count))
+    rolled.sort()
+    new = np.empty(len(rolled), bool)
+    new[0] = True
+    np.not_equal(rolled[1:], rolled[:-1], out=new[1:])
+    return rolled[new]
 
 
 def signature(tokens: np.ndarray) -> tuple[int, int]:
@@ -85,12 +117,24 @@ def prefix_length(size: int, similar: int) -> int:
     return size - -(-similar * size // 100) + 1 if size else 0
 
 
-def ordered_prefix(tokens: np.ndarray, frequent: np.ndarray, order: int, length: int) -> np.ndarray:
-    """The first tokens under one global order: rare before frequent, then by the order's hash."""
-    keys = tokens * np.uint64(_ORDERS[order]) >> np.uint64(1)
-    if len(frequent):
-        at = np.minimum(np.searchsorted(frequent, tokens), len(frequent) - 1)
-        keys |= (frequent[at] == tokens).astype(np.uint64) << np.uint64(63)
+@dataclass
+class Frequent:
+    """Frequent tokens, sorted, with the power of two of how often they come up, from 1 on."""
+
+    tokens: np.ndarray
+    powers: np.ndarray
+
+    def of(self, tokens: np.ndarray) -> np.ndarray:
+        """The powers of tokens; 0 for those that are not frequent."""
+        if not len(self.tokens):
+            return np.zeros(len(tokens), np.uint64)
+        at = np.minimum(np.searchsorted(self.tokens, tokens), len(self.tokens) - 1)
+        return np.where(self.tokens[at] == tokens, self.powers[at], np.uint64(0))
+
+
+def ordered_prefix(tokens: np.ndarray, powers: np.ndarray, order: int, length: int) -> np.ndarray:
+    """The first tokens under one global order: by their power of frequency, then by the order's hash."""
+    keys = tokens * np.uint64(_ORDERS[order]) >> np.uint64(6) | powers << np.uint64(58)
     return tokens[np.argsort(keys, kind="stable")[:length]]
 
 
@@ -154,14 +198,17 @@ def survey(docs: DataFrame, words: int) -> DataFrame:
     )
 
 
-def frequent_tokens(surveyed: DataFrame) -> np.ndarray:
-    """The tokens noted most often over all documents, at most ``FREQUENT``, sorted."""
+def frequent_tokens(surveyed: DataFrame) -> Frequent:
+    """The tokens noted most often over all documents, at most ``FREQUENT``."""
     counts = surveyed.where(F.col("token").isNotNull()).groupBy("token").agg(F.sum("often").alias("often"))
-    kept = counts.orderBy(F.desc("often"), "token").limit(FREQUENT).select("token").toPandas()["token"]
-    return np.sort(kept.to_numpy(np.int64).view(np.uint64))
+    kept = counts.orderBy(F.desc("often"), "token").limit(FREQUENT).toPandas()
+    tokens = kept["token"].to_numpy(np.int64).view(np.uint64)
+    order = np.argsort(tokens)
+    powers = np.log2(np.maximum(kept["often"].to_numpy(np.float64), 2.0)).astype(np.uint64)
+    return Frequent(tokens[order], powers[order])
 
 
-def _postings(docs: DataFrame, words: int, similar: int, frequent: np.ndarray) -> DataFrame:
+def _postings(docs: DataFrame, words: int, similar: int, frequent: Frequent) -> DataFrame:
     """(token, salt, s1, n, at): the prefix of every class under the first order, once a task. Half of the signature
     is enough to find candidates."""
 
@@ -175,11 +222,7 @@ def _postings(docs: DataFrame, words: int, similar: int, frequent: np.ndarray) -
             lengths = [len(h[0]) for h in held]
             tokens = np.concatenate([h[0] for h in held] or [np.empty(0, np.uint64)])
             salts = np.repeat(np.array([1 + h[1][0] % SALT for h in held], np.int32), lengths)
-            if len(frequent):
-                at = np.minimum(np.searchsorted(frequent, tokens), len(frequent) - 1)
-                salts[frequent[at] != tokens] = 0
-            else:
-                salts[:] = 0
+            salts[frequent.of(tokens) < SPLIT] = 0
             nodes = np.repeat(np.array([h[1][0] for h in held], np.int64), lengths)
             n = np.repeat(np.array([h[2] for h in held], np.int32), lengths)
             places = np.concatenate([np.arange(k, dtype=np.int32) for k in lengths] or [np.empty(0, np.int32)])
@@ -193,7 +236,7 @@ def _postings(docs: DataFrame, words: int, similar: int, frequent: np.ndarray) -
             if len(seen) >= 1_000_000:
                 seen.clear()
             seen.add(mark)
-            prefix = ordered_prefix(tokens, frequent, 0, prefix_length(len(tokens), similar))
+            prefix = ordered_prefix(tokens, frequent.of(tokens), 0, prefix_length(len(tokens), similar))
             held.append((prefix, mark, len(tokens)))
             size += len(prefix)
             if size >= 200_000:
@@ -225,7 +268,7 @@ def _candidate_filter(classes: DataFrame) -> np.ndarray:
     return bitmap.view(np.uint64)
 
 
-def _candidate_sets(docs: DataFrame, words: int, similar: int, frequent: np.ndarray, wanted: DataFrame) -> DataFrame:
+def _candidate_sets(docs: DataFrame, words: int, similar: int, frequent: Frequent, wanted: DataFrame) -> DataFrame:
     """(t1, t2, tokens, second, third) of the wanted classes (s1), and of a few others: signature, whole set at 48 bits
     a token, and 32 bits of its prefix tokens under the other orders. A class can come from several tasks."""
     bitmap = _candidate_filter(wanted)
@@ -249,9 +292,9 @@ def _candidate_sets(docs: DataFrame, words: int, similar: int, frequent: np.ndar
             if len(seen) >= 1_000_000:
                 seen.clear()
             seen.add(mark)
-            length = prefix_length(len(tokens), similar)
+            length, powers = prefix_length(len(tokens), similar), frequent.of(tokens)
             rows.append((*mark, packed(tokens), *(
-                ordered_prefix(tokens, frequent, k, length).astype(np.uint32).view(np.int32) for k in (1, 2)
+                ordered_prefix(tokens, powers, k, length).astype(np.uint32).view(np.int32) for k in (1, 2)
             )))
             if len(rows) >= 1000:
                 yield flush()
@@ -321,7 +364,7 @@ def _verified(pairs: DataFrame, sets: DataFrame, prefixes: DataFrame, similar: i
     return written(compared.where(similar_enough("a_tokens", "b_tokens")).select("a", "b"), "similar-pairs")
 
 
-def posting_lists(docs: DataFrame, words: int, similar: int, frequent: np.ndarray) -> DataFrame:
+def posting_lists(docs: DataFrame, words: int, similar: int, frequent: Frequent) -> DataFrame:
     """(token, salt, s1, n, at, first, length) of the prefix tokens that a class shares with another of similar
     size, or that are frequent. ``first`` is the list's leader: it has the fewest tokens before the shared one."""
     one_list = Window.partitionBy("token", "salt")
@@ -395,7 +438,7 @@ def _rest_pairs(lists: DataFrame, classes: DataFrame, components: DataFrame, sim
     return _of_classes(pairs, classes)
 
 
-def similar_classes(docs: DataFrame, classes: DataFrame, words: int, similar: int, frequent: np.ndarray) -> DataFrame:
+def similar_classes(docs: DataFrame, classes: DataFrame, words: int, similar: int, frequent: Frequent) -> DataFrame:
     """(node, component) over the classes (id, s1, s2) that are linked with another."""
     lists = posting_lists(docs, words, similar, frequent)
     star = _star_pairs(lists, classes, similar)

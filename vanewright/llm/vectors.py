@@ -309,6 +309,10 @@ def audit_recall(
     """The share of the links of rows whose id is divisible by ``every`` that ``found`` counts, by brute force in
     blocks: each task holds all those queries against the rows it reads."""
     rows = nodes_of(vectors, id_col, vector_col).where("usable")
+    width = rows.groupBy(F.octet_length("unit").alias("width")).count().orderBy(F.desc("count"), "width").first()
+    if not width:
+        return 1.0
+    rows = rows.where(F.octet_length("unit") == width["width"])  # vectors of the usual length
     queries = rows.where(F.col("vec_id") % every == 0).select("vec_id", "unit").toPandas()
     if not len(queries):
         return 1.0
