@@ -321,6 +321,16 @@ ORACLES: dict[str, str] = {
         CASE WHEN ok THEN CAST(l_partkey AS DOUBLE) END AS std_sensor_F,
         CASE WHEN ok THEN l_returnflag END AS location, CASE WHEN ok THEN l_linestatus END AS model,
         CASE WHEN ok AND l_linenumber <> 4 THEN 'North' END AS state FROM fine""",
+    "q_rows_of_list": "SELECT * FROM orders WHERE o_custkey IN (1, 7, 11, 13, 14)",
+    "q_ingest_list": """SELECT 'parts' AS name, p_partkey AS key, p_brand || ', ' || p_type AS value FROM part
+      UNION ALL SELECT 'suppliers', s_suppkey, s_name FROM supplier""",
+    "q_narrowed_medians": """WITH kept AS (
+        SELECT l_quantity, l_extendedprice, l_discount FROM lineitem WHERE l_orderkey % 7 > 0 AND l_orderkey % 11 > 0),
+      long AS (SELECT 'l_quantity' AS column_name, CAST(l_quantity AS DOUBLE) AS v FROM kept UNION ALL
+        SELECT 'l_extendedprice', l_extendedprice FROM kept UNION ALL SELECT 'l_discount', l_discount FROM kept),
+      medians AS (SELECT column_name, median(v) AS median FROM long GROUP BY 1)
+      SELECT column_name, median, count(*) FILTER (WHERE v < median) AS n_below
+      FROM long JOIN medians USING (column_name) GROUP BY ALL""",
     "q_ingest_stream": "SELECT * FROM events",
     "q_ingest_json": f"WITH {_READINGS} SELECT {_READING_COLUMNS} FROM readings",
     "q_merge_schema": """SELECT * REPLACE (CASE WHEN ts >= TIMESTAMP '2024-01-16' THEN props END AS props)

@@ -17,8 +17,15 @@ from vanewright.operators import drift, metrics, models, retrieval
 from vanewright.operators.cells import VectorCells
 from vanewright.operators.features import hourly_features, split_percentiles
 from vanewright.operators.fills import fill_along_time
-from vanewright.operators.keyed import first_per_key, latest_per_key, latest_specifications, merge_rows
+from vanewright.operators.keyed import (
+    first_per_key,
+    latest_per_key,
+    latest_specifications,
+    merge_rows,
+    rows_of,
+)
 from vanewright.operators.prepare import MedianFill, ModeFill, Scale, TimeFill, complete_rows
+from vanewright.operators.quantiles import exact_medians
 from vanewright.operators.split import label_codes, one_hot, stratified_split
 from vanewright.plans.tables import (
     hourly_training_set,
@@ -31,7 +38,15 @@ from vanewright.plans.tables import (
     turbines,
 )
 from vanewright.session import scratch_folder, written
-from vanewright.sources.landing import append_stream, infer_schema, read_merged, stream_files
+from vanewright.sources.landing import (
+    LandingTable,
+    append_stream,
+    infer_schema,
+    ingest_all,
+    read_merged,
+    stream_files,
+    table_path,
+)
 from vanewright.sources.sinks import append_result, read_csv, write_csv
 from vanewright.sources.versions import VersionedTable
 from vanewright.streaming.hourly import dedup_readings, stream_hourly_features, upsert_stream
@@ -168,7 +183,12 @@ def specifications(spark, folder):
         "turbine_id", "hourly_timestamp", "avg_energy", "std_sensor_k", "std_sensor_value", "location", "model",
         "state", "sensor_status",
     ]
-    return _hourly_result(latest_specifications(hourly_training_set(spark, folder), wanted, columns))
+    return _hourly_result(latest_specifications(hourly_training_set(spark, folder, wanted), wanted, columns))
+
+
+def rows_of_list(spark, folder):
+    """A short list of customers: the filter reaches the scan."""
+    return rows_of(table(spark, folder, "orders"), "o_custkey", [1, 7, 11, 13, 14])
 
 
 def _order_batches(spark, folder):
@@ -263,6 +283,24 @@ def ingest_json(spark, folder):
     return spark.read.schema(rows.schema).parquet(f"{lake}/readings")
 
 
+def ingest_list(spark, folder):
+    """Two tables ingested side by side, parts as JSON with an array column. One more file of parts follows; the second
+    run takes in that one and nothing twice."""
+    landing, lake, checkpoints = (scratch_folder(spark, name) for name in ("landing", "bronze", "checkpoints"))
+    parts = table(spark, folder, "part").select("p_partkey", "p_size", F.array("p_brand", "p_type").alias("sensors"))
+    old = F.col("p_partkey") % 3 > 0
+    parts.filter(old).write.json(f"{landing}/parts")
+    table(spark, folder, "supplier").write.parquet(f"{landing}/suppliers")
+    tables = [LandingTable("parts", "json", schema=parts.schema, max_files=1), LandingTable("suppliers", "parquet")]
+    ingest_all(spark, landing, lake, checkpoints, tables)
+    parts.filter(~old).write.mode("append").json(f"{landing}/parts")
+    ingest_all(spark, landing, lake, checkpoints, tables)
+    suppliers = spark.read.parquet(table_path(lake, "suppliers"))
+    return spark.read.parquet(table_path(lake, "parts")).select(
+        F.lit("parts").alias("name"), F.col("p_partkey").alias("key"), F.array_join("sensors", ", ").alias("value")
+    ).union(suppliers.select(F.lit("suppliers"), "s_suppkey", "s_name"))
+
+
 def merge_schema(spark, folder):
     """Bronze files of two ages: the older ones lack the properties."""
     events = table(spark, folder, "events")
@@ -316,6 +354,19 @@ def impute_median(spark, folder):
     return _rounded(MedianFill(columns=numbers).fit(rows).transform(rows), 6, numbers)
 
 
+def narrowed_medians(spark, folder):
+    """Medians of columns with missing and not-a-number values, found by narrowing at any size."""
+    numbers = ["l_quantity", "l_extendedprice", "l_discount"]
+    rows = table(spark, folder, "lineitem").select(*[
+        F.when(F.col("l_orderkey") % 7 == 0, F.lit(float("nan"))).when(F.col("l_orderkey") % 11 > 0, F.col(c)).alias(c)
+        for c in numbers
+    ])
+    medians = exact_medians(rows, numbers, exact_rows=1000)
+    return rows.agg(*[F.count_if(F.col(c) < medians[c]).alias(c) for c in numbers]).unpivot(
+        [], numbers, "column_name", "n_below"
+    ).withColumn("median", F.element_at(F.create_map(*[F.lit(x) for c in numbers for x in (c, medians[c])]), F.col("column_name")))
+
+
 def impute_mode(spark, folder):
     texts = ["l_returnflag", "l_linestatus"]
     rows = _gappy_lineitem(spark, folder).select("l_orderkey", "l_linenumber", *texts)
@@ -654,6 +705,9 @@ QUERIES: dict[str, Query] = {
     "q_ffill": ffill,
     "q_bfill": bfill,
     "q_standardize": standardize,
+    "q_narrowed_medians": narrowed_medians,
+    "q_rows_of_list": rows_of_list,
+    "q_ingest_list": ingest_list,
     "q_date_parts": date_parts,
     "q_stratified_split": split,
     "q_label_encode": label_encode,

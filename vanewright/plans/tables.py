@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from vanewright.functions.times import epoch_seconds
 from vanewright.operators.features import hourly_features, training_set
-from vanewright.operators.keyed import latest_per_key
+from vanewright.operators.keyed import latest_per_key, rows_of
 from vanewright.sources.landing import stream_files
 
 
@@ -51,20 +51,23 @@ def turbines(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def status(spark: SparkSession, folder: str) -> DataFrame:
-    """One status per turbine: its last event; an error means an abnormal sensor."""
+def status(rows: DataFrame) -> DataFrame:
+    """One status per turbine of the readings: its last event; an error means an abnormal sensor."""
     last = latest_per_key(
-        readings(spark, folder).select("turbine_id", "timestamp", "reading_id", "event_type"),
+        rows.select("turbine_id", "timestamp", "reading_id", "event_type"),
         ["turbine_id"], "timestamp", ["reading_id"],
     )
     abnormal = F.when(F.col("event_type") == "error", "sensor_value").otherwise("ok")
     return last.select("turbine_id", abnormal.alias("abnormal_sensor"))
 
 
-def hourly_training_set(spark: SparkSession, folder: str) -> DataFrame:
-    return training_set(
-        hourly_features(readings(spark, folder)), turbines(spark, folder), status(spark, folder)
-    )
+def hourly_training_set(spark: SparkSession, folder: str, wanted: DataFrame | None = None) -> DataFrame:
+    """Hourly features with description and status of all turbines, or of the wanted ones: their readings alone are
+    then aggregated."""
+    rows, units = readings(spark, folder), turbines(spark, folder)
+    if wanted is not None:
+        rows, units = rows_of(rows, "turbine_id", wanted), rows_of(units, "turbine_id", wanted)
+    return training_set(hourly_features(rows), units, status(rows))
 
 
 def monthly_reports(spark: SparkSession, folder: str) -> DataFrame:
