@@ -28,6 +28,7 @@ from vanewright.sources.versions import VersionedTable
 from vanewright.streaming.hourly import stream_hourly_features, upsert_stream
 from vanewright.streaming.upserts import UpsertTable
 
+# The columns of the hourly table and the name models are registered by.
 KEY = "turbine_id"
 HOUR = "hourly_timestamp"
 MODEL = "turbine_hourly"

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
-# Schemas of the known landing tables. Declaring one (``LandingTable.schema``) spares the pass over all JSON files that
+# Schemas of the known landing tables. Declaring one (``LandingTable.schema``) spares the pass over all JSON files that
 # inference takes, but leaves out columns that are added later.
 TABLE_SCHEMAS = {
     "incoming_data": "timestamp bigint, sensor_A double, sensor_B double, sensor_C double, sensor_D double, "
@@ -92,6 +92,7 @@ LANDING_TABLES = (
 )
 
 
+# Fixed value: where a table of some quality lies in the lake.
 def table_path(lake: str, name: str, quality: str = "bronze") -> str:
     return f"{lake}/{quality}/{quality}_{name}"
 
