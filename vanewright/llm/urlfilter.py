@@ -80,9 +80,7 @@ def template_verdicts(urls: DataFrame) -> DataFrame:
     of all labels decides.
     """
     counts = written(_template_counts(urls), "url-templates")
-    total = urls.agg(
-        F.avg(F.when(F.col("verdict").isNotNull(), (F.col("verdict") == BLOCK).cast("int"))).alias("overall")
-    )
+    overall = counts.agg(F.sum("blocked") / F.greatest(F.sum("labels"), F.lit(1))).first()[0] or 0.0
     # A tree is small however many urls its host has: what varies became a wildcard.
     pooled = counts.groupBy("host", "template").agg(
         F.sum("blocked").alias("blocked"), F.sum("labels").alias("labels")
@@ -105,11 +103,8 @@ def template_verdicts(urls: DataFrame) -> DataFrame:
             "pool_blocked": F.when(differs, F.col("node_blocked")).otherwise(F.col("pool_blocked")),
             "pool_labels": F.when(differs, F.col("node_labels")).otherwise(F.col("pool_labels")),
         })
-    overall = F.coalesce(F.col("overall"), F.lit(0.0))
     smoothed = (F.col("pool_blocked") + PRIOR * overall) / (F.col("pool_labels") + PRIOR)
-    shares = pooled.join(F.broadcast(total)).select(  # one row
-        "host", "template", smoothed.alias("share"), (smoothed >= REJECT).alias("rejected")
-    )
+    shares = pooled.select("host", "template", smoothed.alias("share"), (smoothed >= REJECT).alias("rejected"))
     return counts.select("host", "path", "template").join(shares, ["host", "template"])
 
 
