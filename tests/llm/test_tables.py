@@ -55,6 +55,26 @@ def test_vectors_against_brute_force(spark, monkeypatch):
     assert vectors.near_vectors(table.limit(0)).count() == 0
 
 
+def groups_in_range(size, others=1000):
+    """Two dense groups of 64 dimensions about 0.965 apart, and other vectors."""
+    rng = np.random.default_rng(2)
+    one, other, *_ = np.linalg.qr(rng.normal(size=(64, 64)))[0]
+    groups = [base + 0.003 * rng.normal(size=(size, 64)) for base in (one, 0.966 * one + np.sqrt(1 - 0.966**2) * other)]
+    units = np.concatenate([*groups, rng.normal(size=(others, 64))])
+    return units / np.linalg.norm(units, axis=1)[:, None]
+
+
+@pytest.mark.parametrize("size", [20, 30, 60, 200, 500])
+def test_search_finds_dense_groups_in_range_of_each_other(size):
+    units = groups_in_range(size)
+    lists = [np.array(found, np.int64) for found in vectors.build_graph(units)]
+    found = vectors.Block(units, lists).search_all(units, vectors.SIMILAR, lists)
+    near = units @ units.T >= vectors.SIMILAR
+    assert near[:size, size:2 * size].sum() > size * size / 2  # the groups do link
+    assert sum(len(f) for f in found) >= 0.999 * near.sum()
+    assert all(near[at, f].all() for at, f in enumerate(found))
+
+
 def test_pruning_leaves_out_shadowed_neighbours():
     units = np.array([[1, 0], [0.99, 0.14], [0.98, 0.2], [0, 1]], np.float64)
     units /= np.linalg.norm(units, axis=1)[:, None]

@@ -3,8 +3,9 @@
 Equal vectors are one node. Nodes go to the shards of their nearest centres, more than one each, so that shards overlap.
 Every shard's block builds a graph whose neighbour lists are pruned as in DiskANN: a neighbour is left out if a kept one
 is much nearer to it. The lists of a node from all its shards are united. Then each block is searched: greedily from
-its medoid towards the query, and from there as far as members lie within range. Every pair found is verified by its
-cosine in double precision. Pairs are counted where they are found, in one shard each, and never written out.
+its medoid towards the query, and from there as far as members lie within range. Dense groups keep their edges to
+themselves: a query whose beam fills with members in range is compared with its whole block by one matrix product. Every
+pair found is verified by its cosine in double precision. Pairs are counted where they are found, in one shard each, and never written out.
 """
 
 from __future__ import annotations
@@ -163,6 +164,15 @@ class Block:
             inside[edge] = True
         return np.flatnonzero(inside)
 
+    def search_all(self, queries: np.ndarray, similar: float, known: list[np.ndarray]) -> list[np.ndarray]:
+        """The members within range of each query. A full beam says nothing about groups that no edge in range leads
+        to: its query is compared with all members, as a block is small enough for that."""
+        near = [self.search(query, similar, own) for query, own in zip(queries, known)]
+        full = [at for at, found in enumerate(near) if len(found) >= BEAM]
+        for at, values in zip(full, queries[full] @ self.units.T):
+            near[at] = np.union1d(near[at], np.flatnonzero(values >= similar))
+        return near
+
 
 def _stacked(column: pd.Series) -> np.ndarray:
     return np.stack([np.frombuffer(u, np.float64) for u in column])
@@ -232,8 +242,8 @@ def _links(searched: DataFrame, similar: float) -> DataFrame:
                 x = parent[x]
             return x
 
-        for q in queries:
-            found = members[block.search(units[q], similar, lists[q])]
+        for q, found in zip(queries, block.search_all(units[queries], similar, [lists[q] for q in queries])):
+            found = members[found]
             found = found[found != q]
             if not len(found):
                 continue
