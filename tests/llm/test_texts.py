@@ -10,6 +10,7 @@ import numpy as np
 import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
+from tokenizers import Tokenizer
 
 from tests.llm.conftest import TEXTS
 from vanewright.llm import jaccard, langid, linededup, packing, quality, sentencepiece, toxicity, winnowing
@@ -34,6 +35,13 @@ def test_words_encode_as_whole_texts():
         assert np.frombuffer(words.encode(text), "<u4").tolist() == ids, text
 
 
+def test_added_tokens_in_texts_encode_as_by_the_library():
+    words, library = packing.WordCachedEncoder(BPE), Tokenizer.from_file(BPE)
+    for text in ["<|endoftext|>", "a <|endoftext|> b", "a<|endoftext|>b\nc", "  <|endoftext|>\n\nx", "<|endoftext"]:
+        ids = library.encode(text, add_special_tokens=False).ids
+        assert np.frombuffer(words.encode(text), "<u4").tolist() == ids and (50256 in ids) == ("|>" in text), text
+
+
 def test_every_id_lies_in_one_gapless_piece(odd_docs):
     rows = packing.pack(odd_docs, BPE, capacity=64, piece=16, block=8, with_ids=True).collect()
     words = packing.WordCachedEncoder(BPE)

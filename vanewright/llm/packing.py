@@ -58,7 +58,8 @@ class WordCachedEncoder:
     """Encode texts with a byte-level BPE file of ``tokenizers``, each distinct word only once.
 
     The pre-tokenizer always ends a token before a space or line break that follows the text of a word, so a text is
-    the sum of its words. Texts with deeper white space go through the library whole. Where the file's ids rise with
+    the sum of its words. Texts with deeper white space, or with the string of an added token, go through the library
+    whole, which gives that string the token's id. Where the file's ids rise with
     the order of its merges, ``tiktoken`` merges the words by the same ranks, some ten times as fast; the ids are the
     same.
     """
@@ -68,7 +69,7 @@ class WordCachedEncoder:
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        self.added = [token.content for token in self.tokenizer.get_added_tokens_decoder().values()]
         self.ranks = self._ranked()
         self.words = Words(self.word)
 
@@ -98,7 +99,7 @@ class WordCachedEncoder:
 
     def encode(self, text: str) -> bytes:
         """The ids of ``text``, packed as little-endian unsigned 32-bit numbers."""
-        if not _plain(text) and _UNEVEN.search(text):
+        if (not _plain(text) and _UNEVEN.search(text)) or any(token in text for token in self.added):
             return self._whole(text)
         first, *words = text.replace("\n", " \n").split(" ")
         return (self.word(first) if first else b"") + b"".join(map(self.words.__getitem__, words))
