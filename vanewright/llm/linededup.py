@@ -1,8 +1,8 @@
 """Lines that several documents share are kept in one of them only.
 
 Texts are cut into lines once. Every line's 128-bit hash is range-partitioned together with its document, largest first, and sorted by hash, document
-and position; a line that a third of all documents hold is thus cut over many tasks. Each task streams its sorted rows
-and passes on one row per hash. What comes back to the documents is no text but the runs of lines to keep: a run-length
+and position; a line that a third of all documents hold is thus cut over many tasks. A hash
+aggregation then counts the documents of a hash and takes the largest; it does not use the order of the rows. What comes back to the documents is no text but the runs of lines to keep: a run-length
 compressed bitmap per document that loses lines.
 """
 
