@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vanewright.llm import jaccard, langid, linededup, packing, quality, sentencepiece, toxicity, urlfilter, vectors, winnowing
+from vanewright.llm import (
+    jaccard, langid, linededup, packing, periodic, quality, sentencepiece, toxicity, urlfilter, vectors, winnowing,
+)
 from vanewright.llm.common import bounded_batches, held_out, read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -91,6 +93,18 @@ def op10_quality(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op11_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
+    docs = periodic.with_planted_repeats(read(spark, folder, "documents").select("doc_id", "text"))
+    best, runs = F.col("periodic.strongest"), F.col("periodic.runs")
+    lines = F.transform(runs, lambda r: F.concat_ws(",", r.start, r.length, r.period))
+    return periodic.with_runs(docs).select(
+        "doc_id", F.size(runs).cast("long").alias("n_runs"), best.start.alias("start"), best.length.alias("length"),
+        best.period.alias("period"), F.expr("1000 * periodic.strongest.length div periodic.strongest.period").alias("exponent_milli"),
+        F.sha2(F.concat_ws("", F.transform(lines, lambda line: F.concat(line, F.lit("\n")))), 256).alias("runs_sha256"),
+        F.sha2(F.col("periodic.collapsed"), 256).alias("collapsed_sha256"),
+    )
+
+
 QUERIES: dict[str, Query] = {
     "op1_url_filter": op1_url_filter,
     "op2_sentencepiece": op2_sentencepiece,
@@ -102,4 +116,5 @@ QUERIES: dict[str, Query] = {
     "op8_embedding_dedup": op8_embedding_dedup,
     "op9_fingerprints": op9_fingerprints,
     "op10_quality": op10_quality,
+    "op11_periodic_runs": op11_periodic_runs,
 }
