@@ -8,9 +8,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vanewright.llm import (
-    jaccard, langid, linededup, packing, periodic, quality, sentencepiece, toxicity, urlfilter, vectors, winnowing,
+    jaccard, langid, linededup, packing, periodic, quality, sentencepiece, tokenfiles, toxicity, urlfilter, vectors,
+    winnowing,
 )
 from vanewright.llm.common import bounded_batches, held_out, read
+from vanewright.session import scratch_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -105,6 +107,15 @@ def op11_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op12_token_files(spark: SparkSession, folder: str) -> DataFrame:
+    """Every text encoded into files, and what is read back from them."""
+    docs, files = read(spark, folder, "documents"), scratch_folder(spark, "token-files")
+    tokenfiles.write_tokens(docs, files, tokenizer_path("word_bpe_49k.json"), end=1)
+    return tokenfiles.read_documents(spark, files).select(
+        "doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32")
+    )
+
+
 QUERIES: dict[str, Query] = {
     "op1_url_filter": op1_url_filter,
     "op2_sentencepiece": op2_sentencepiece,
@@ -117,4 +128,5 @@ QUERIES: dict[str, Query] = {
     "op9_fingerprints": op9_fingerprints,
     "op10_quality": op10_quality,
     "op11_periodic_runs": op11_periodic_runs,
+    "op12_token_files": op12_token_files,
 }
