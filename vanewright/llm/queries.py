@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vanewright.llm import (
-    jaccard, langid, linededup, packing, periodic, quality, sentencepiece, tokenfiles, toxicity, urlfilter, vectors,
-    winnowing,
+    jaccard, langid, linededup, packing, periodic, quality, sentencepiece, tokenfiles, toxicity, urlfilter,
+    vectorcodes, vectors, winnowing,
 )
 from vanewright.llm.common import bounded_batches, held_out, read
 from vanewright.session import scratch_folder
@@ -116,6 +116,14 @@ def op12_token_files(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op13_vector_codes(spark: SparkSession, folder: str) -> DataFrame:
+    codes, codebooks = vectorcodes.vector_codes(read(spark, folder, "embeddings"), carry=["label"])
+    return vectorcodes.with_label_errors(codes).select(
+        "vec_id", F.lower(F.hex("code")).alias("code"), "error", "label_error",
+        F.lit(codebooks.sha256()).alias("codebooks_sha256"),
+    )
+
+
 QUERIES: dict[str, Query] = {
     "op1_url_filter": op1_url_filter,
     "op2_sentencepiece": op2_sentencepiece,
@@ -129,4 +137,5 @@ QUERIES: dict[str, Query] = {
     "op10_quality": op10_quality,
     "op11_periodic_runs": op11_periodic_runs,
     "op12_token_files": op12_token_files,
+    "op13_vector_codes": op13_vector_codes,
 }
