@@ -348,7 +348,7 @@ def read_documents(spark: SparkSession, folder: str) -> DataFrame:
     """(doc_id, start, n_tokens, ids) of every document of a folder: ``start`` counts the ids of all documents before
     it, ``ids`` are little-endian unsigned 32-bit numbers. A task reads the files it is given, a part of one at a time."""
     files = manifest(spark, folder).select("file", "start")
-    most = READ_TOKENS
+    count, most = spark.read.parquet(f"{folder.rstrip('/')}/manifest").count(), READ_TOKENS
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -358,7 +358,9 @@ def read_documents(spark: SparkSession, folder: str) -> DataFrame:
                     yield from _documents(TokenFile(source), before, most)
 
     bounded_batches(spark)
-    return files.repartition("file").mapInArrow(task, "doc_id bigint, start bigint, n_tokens bigint, ids binary")
+    # a number of tasks by the number of files: the few bytes of a manifest must not become one task
+    parts = max(1, min(count, spark.sparkContext.defaultParallelism + count // 4))
+    return files.repartition(parts).mapInArrow(task, "doc_id bigint, start bigint, n_tokens bigint, ids binary")
 
 
 def _documents(file: TokenFile, before: int, most: int) -> Iterator[pa.RecordBatch]:
