@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from vanewright.operators.features import hourly_features
+from vanewright.sources import files
 from vanewright.sources.landing import append_stream, stream_files
 from vanewright.streaming.hourly import dedup_readings, stream_hourly_features, upsert_stream
 from vanewright.streaming.upserts import UpsertTable
@@ -161,6 +162,102 @@ def test_a_new_checkpoint_loses_nothing(spark, keyed, folder):
     assert third == 3 and state() == {"r": 2, "s": 1}
 
 
+def rows(spark, **pairs):
+    return spark.createDataFrame(list(pairs.items()), "k string, v int")
+
+
+def values(table):
+    return {r.k: r.v for r in table.read().collect()}
+
+
+@pytest.mark.parametrize("order", [(1, 2), (2, 1)])
+def test_checkpoints_from_before_the_first_batch_lose_nothing(spark, keyed, folder, order):
+    """Two streams that start over an empty folder get numbers of their own, whoever writes first."""
+    numbers = {1: keyed.stream_number(f"{folder}/one"), 2: keyed.stream_number(f"{folder}/two")}
+    assert numbers == {1: 1, 2: 2}
+    batches = {1: rows(spark, z=3), 2: rows(spark, x=1, y=2)}
+    for turn in order + order:  # and each comes again
+        keyed.apply(batches[turn], 0, stream=numbers[turn])
+    assert values(keyed) == {"x": 1, "y": 2, "z": 3}
+    keyed.compact()
+    for turn in order:
+        keyed.apply(batches[turn], 0, stream=numbers[turn])
+    assert values(keyed) == {"x": 1, "y": 2, "z": 3} and keyed.compact() is None
+
+
+def test_a_number_is_claimed_once(spark, folder):
+    from concurrent.futures import ThreadPoolExecutor
+
+    with ThreadPoolExecutor(8) as pool:
+        claimed = list(pool.map(lambda _: files.claim_next(spark, f"{folder}/n", "number=", 0), range(24)))
+    assert sorted(claimed) == list(range(1, 25))
+    assert not files.claim(spark, f"{folder}/n/number=3") and files.numbers(spark, f"{folder}/n", "number=") == sorted(claimed)
+    files.write_text(spark, f"{folder}/n/note", "text é\n")
+    assert files.read_text(spark, f"{folder}/n/note") == "text é\n" and files.read_text(spark, f"{folder}/none") is None
+
+
+@pytest.mark.parametrize("compactions", [(), (0,), (1,), (0, 1, 2)])
+def test_streams_that_write_in_turn_do_not_depend_on_compaction(spark, keyed, folder, compactions):
+    """The larger stream number wins a key, folded in or not."""
+    first, second = keyed.stream_number(f"{folder}/one"), keyed.stream_number(f"{folder}/two")
+    steps = [(rows(spark, a=1, b=1), 0, first), (rows(spark, a=2), 0, second), (rows(spark, a=3, b=3, c=3), 1, first)]
+    for at, (batch, number, stream) in enumerate(steps):
+        keyed.apply(batch, number, stream=stream)
+        if at in compactions:
+            keyed.compact()
+    assert values(keyed) == {"a": 2, "b": 3, "c": 3}
+    keyed.compact()
+    assert values(keyed) == {"a": 2, "b": 3, "c": 3}
+
+
+def stored_files(folder):
+    return {
+        os.path.relpath(os.path.join(at, f), folder)
+        for at, _, found in os.walk(f"{folder}/base") for f in found if f.endswith(".parquet")
+    }
+
+
+def test_a_days_changes_rewrite_that_day(spark, folder):
+    schema = "day date, k int, v int"
+    table = UpsertTable(spark, f"{folder}/t", ["day", "k"], spark.createDataFrame([], schema).schema, bucket=F.col("day"))
+    days = spark.range(40).selectExpr("date_add(DATE'2024-01-01', cast(id % 8 AS int)) AS day", "cast(id AS int) AS k", "0 AS v")
+    table.rebuild(days)
+    before = stored_files(f"{folder}/t")
+    assert len({f.split("/")[2] for f in before}) == 8
+    table.apply(days.where("day = DATE'2024-01-03'").withColumn("v", F.lit(1)).limit(2), 0, stream=1)
+    assert table.compact() == 1
+    added = stored_files(f"{folder}/t") - before
+    assert {f.split("/")[2] for f in added} == {"bucket=2024-01-03"} and before < stored_files(f"{folder}/t")
+    assert table.read().count() == 40 and table.read().where("v = 1").count() == 2
+    for batch in range(1, 4):  # what only older manifests need goes
+        table.apply(days.where("k = 7").withColumn("v", F.lit(batch)), batch, stream=1)
+        table.compact()
+    assert files.numbers(spark, f"{folder}/t/manifests", "version=") == [3, 4]
+    assert files.numbers(spark, f"{folder}/t/changes/_stream=1", "_batch=") == [3]
+    assert {f.split("/")[2] for f in stored_files(f"{folder}/t") & before} == {f"bucket=2024-01-0{d}" for d in (1, 2, 4, 5, 6, 7)}
+    assert {(r.k, r.v) for r in table.read().collect() if r.v} == {(2, 1), (10, 1), (7, 3)}
+
+
+def test_an_unfinished_batch_does_not_count(spark, keyed, folder):
+    keyed.apply(rows(spark, a=1), 0)
+    keyed.apply(rows(spark, a=2), 1)
+    os.remove(f"{folder}/keyed/changes/_stream=0/_batch=1/_SUCCESS")
+    assert values(keyed) == {"a": 1} and keyed.compact() == 0
+    keyed.apply(rows(spark, a=2), 1)  # it comes again
+    assert values(keyed) == {"a": 2}
+
+
+def test_a_version_without_manifest_is_not_read(spark, keyed, folder, monkeypatch):
+    keyed.apply(rows(spark, a=1), 0)
+    keyed.compact()
+    keyed.apply(rows(spark, a=2), 1)
+    with monkeypatch.context() as m:
+        m.setattr(files, "write_text", lambda *a: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            keyed.compact()
+    assert values(keyed) == {"a": 2} and keyed.compact() == 2 and values(keyed) == {"a": 2}
+
+
 def test_columns_added_later_are_null_in_old_rows(spark, folder):
     old = UpsertTable(spark, f"{folder}/keyed", ["k"], spark.createDataFrame([], "k string, v int").schema)
     old.apply(spark.createDataFrame([("a", 1), ("b", 1)], "k string, v int"), 0)

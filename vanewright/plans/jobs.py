@@ -39,9 +39,10 @@ def bronze(spark: SparkSession, lake: str, name: str) -> DataFrame:
 
 
 def silver_hourly(spark: SparkSession, lake: str) -> UpsertTable:
-    """The hourly table, which the batch job rebuilds and the stream upserts into."""
+    """The hourly table, which the batch job rebuilds and the stream upserts into: a day's changes rewrite that day."""
     schema = hourly_features(bronze(spark, lake, "incoming_data"), [KEY]).schema
-    return UpsertTable(spark, table_path(lake, "sensor_hourly", "silver"), [HOUR, KEY], schema)
+    path = table_path(lake, "sensor_hourly", "silver")
+    return UpsertTable(spark, path, [HOUR, KEY], schema, bucket=F.to_date(HOUR))
 
 
 def training_table(spark: SparkSession, lake: str) -> VersionedTable:

@@ -635,7 +635,8 @@ def stream_upsert(spark, folder):
     checkpoint and meets all files again: still the batch result."""
     root = scratch_folder(spark, "silver")
     features = stream_hourly_features(dedup_readings(_delivered_twice(_landed_in_parts(spark, folder)), ["reading_id"]))
-    silver = UpsertTable(spark, root, ["hourly_timestamp", "turbine_id"], features.schema)
+    day = F.to_date("hourly_timestamp")
+    silver = UpsertTable(spark, root, ["hourly_timestamp", "turbine_id"], features.schema, bucket=day)
     for checkpoint in ("first", "second"):
         upsert_stream(features, silver, f"{root}/{checkpoint}", compact_every=3).awaitTermination()
     return _hourly_result(silver.read())

@@ -3,105 +3,187 @@
 from __future__ import annotations
 
 import json
-import re
 from collections.abc import Sequence
+from dataclasses import dataclass, field
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructType
 
 from vanewright.operators.keyed import first_per_key, merge_rows
-from vanewright.sources.versions import VersionedTable
+from vanewright.sources import files
+
+#: The columns that say which batch of which stream a row comes from; rows of a rebuild are older than all batches.
+_STREAM, _BATCH = "_stream", "_batch"
+
+
+@dataclass
+class Manifest:
+    """A version of the table: where each bucket's rows lie, and the last batch of each stream folded into them."""
+
+    version: int | None = None
+    buckets: dict[str, int] = field(default_factory=dict)
+    done: dict[int, int] = field(default_factory=dict)
+
+    def text(self) -> str:
+        return json.dumps({"buckets": self.buckets, "done": self.done})
+
+    @staticmethod
+    def of(version: int, text: str) -> "Manifest":
+        known = json.loads(text)
+        return Manifest(version, known["buckets"], {int(k): v for k, v in known["done"].items()})
 
 
 class UpsertTable:
-    """Keyed rows as a compacted version plus one folder of changed rows per micro-batch.
+    """Keyed rows in buckets, plus one folder of changed rows per micro-batch.
 
     Applying a batch writes only that batch's rows, into a folder named by the stream and the batch id, so a replayed
-    batch replaces itself. A stream that starts anew with a new checkpoint counts its batches from 0 again; it is
-    another stream here, with a larger number, and its changes are newer than those of all earlier streams. ``read``
-    lays the newest change of each key over the compacted version; ``compact`` makes that the next version and notes,
-    stream by stream, the last batch in it. Change folders are kept: readers of older versions stay valid.
+    batch replaces itself, and one that is folded in already is left alone. Each checkpoint is a stream with a number of
+    its own, claimed by creating a file that must not exist; changes of a larger number are newer. Every stored row
+    carries the stream and batch it comes from, so the newest change of a key wins whenever and however often
+    ``compact`` runs, and whatever order several streams write in.
+
+    ``compact`` folds finished batches in: only the buckets they touch are written again, under the next version, and a
+    manifest says for every bucket which version holds it. ``bucket`` is an expression over key columns alone; with the
+    date of a time key, a day's changes rewrite that day. A version counts once its manifest is there. The last ``keep``
+    manifests stay readable; what only older ones need, change folders and buckets, is removed.
     """
 
-    def __init__(self, spark: SparkSession, root: str, keys: Sequence[str], schema: StructType):
-        self.spark, self.root, self.keys, self.schema = spark, root.rstrip("/"), list(keys), schema
-        self.base = VersionedTable(spark, f"{self.root}/compacted")
+    def __init__(
+        self, spark: SparkSession, root: str, keys: Sequence[str], schema: StructType, bucket: Column | None = None,
+        buckets: int = 16, keep: int = 2,
+    ):
+        self.spark, self.root, self.keys, self.schema, self.keep = spark, root.rstrip("/"), list(keys), schema, keep
+        hashed = F.pmod(F.xxhash64(*[F.col(k) for k in self.keys]), F.lit(buckets))
+        named = F.coalesce((hashed if bucket is None else bucket).cast("string"), F.lit("none"))
+        self.bucket = F.regexp_replace(named, "[^0-9A-Za-z.-]", "-")  # also a folder's name
+
+    # streams and their batches
 
     def stream_number(self, checkpoint: str) -> int:
-        """The number of the stream that keeps this checkpoint. It is kept there, and a new checkpoint gets the next."""
+        """The number of the stream that keeps this checkpoint. It is noted there; a new checkpoint claims the next."""
         path = f"{checkpoint.rstrip('/')}/upsert-stream"
-        try:
-            return int(self.spark.read.text(path).first()[0])
-        except AnalysisException as e:
-            if e.getCondition() != "PATH_NOT_FOUND":
-                raise
-        number = 1 + max([0, *self._last_batches(), *self._compacted()[1]])
-        self.spark.range(1).select(F.lit(str(number)).alias("value")).coalesce(1).write.text(path)
+        noted = files.read_text(self.spark, path)
+        if noted is not None:
+            return int(noted)
+        number = files.claim_next(self.spark, f"{self.root}/streams", "number=", after=0)
+        files.write_text(self.spark, path, str(number))
         return number
 
     def apply(self, batch: DataFrame, batch_id: int, order: Sequence[Column] = (), stream: int = 0) -> None:
-        """Upsert a batch. Of several rows with one key the first in ``order`` is taken (without one: any)."""
+        """Upsert a batch. Of several rows with one key the first in ``order`` is taken (without one: any).
+
+        The batches of a stream come in order; the last one may come again."""
+        if batch_id <= self._manifest().done.get(stream, -1):
+            return
         one_each = first_per_key(batch, self.keys, order) if order else batch.dropDuplicates(self.keys)
-        one_each.select(*self.schema.names).write.mode("overwrite").parquet(
-            f"{self.root}/changes/stream={stream}/batch_id={batch_id}"
-        )
-
-    def _changes(self) -> DataFrame:
-        placed = StructType(list(self.schema.fields)).add("stream", LongType()).add("batch_id", LongType())
-        try:
-            return self.spark.read.schema(placed).parquet(f"{self.root}/changes")
-        except AnalysisException as e:
-            if e.getCondition() != "PATH_NOT_FOUND":
-                raise
-            return self.spark.createDataFrame([], placed)
-
-    def _compacted(self) -> tuple[int | None, dict[int, int]]:
-        """Latest compacted version and the last batch of each stream in it."""
-        row = self.base.history().agg(F.max("version"), F.max_by("note", "version")).first()
-        return (None, {}) if row[0] is None else (row[0], {int(k): v for k, v in json.loads(row[1]).items()})
-
-    def _last_batches(self) -> dict[int, int]:
-        """The last batch of each stream, from the names of the change files alone."""
-        last: dict[int, int] = {}
-        for name in self._changes().inputFiles():
-            stream, batch = map(int, re.search(r"/stream=(\d+)/batch_id=(\d+)/", name).groups())
-            last[stream] = max(batch, last.get(stream, -1))
-        return last
+        one_each.select(*self.schema.names).write.mode("overwrite").parquet(self._change(stream, batch_id))
+
+    def _change(self, stream: int, batch: int) -> str:
+        return f"{self.root}/changes/{_STREAM}={stream}/{_BATCH}={batch}"
+
+    def _unfolded(self, done: dict[int, int]) -> list[tuple[int, int]]:
+        """(stream, batch) of the finished batches that are not folded in, in their order."""
+        return [
+            (stream, batch)
+            for stream in files.numbers(self.spark, f"{self.root}/changes", f"{_STREAM}=")
+            for batch in files.numbers(self.spark, f"{self.root}/changes/{_STREAM}={stream}", f"{_BATCH}=")
+            if batch > done.get(stream, -1) and "_SUCCESS" in files.names(self.spark, self._change(stream, batch))
+        ]
+
+    # versions
+
+    def _versions(self) -> list[int]:
+        return files.numbers(self.spark, f"{self.root}/manifests", "version=")
+
+    def _manifest(self, version: int | None = None) -> Manifest:
+        versions = self._versions()
+        if version is None and not versions:
+            return Manifest()
+        version = versions[-1] if version is None else version
+        text = files.read_text(self.spark, f"{self.root}/manifests/version={version}")
+        if text is None:
+            raise FileNotFoundError(f"no version {version} of {self.root}")
+        return Manifest.of(version, text)
+
+    def _base(self, manifest: Manifest, buckets: Sequence[str]) -> DataFrame:
+        """The stored rows of some buckets with the columns of today; columns they lacked are null."""
+        tagged = self._tagged()
+        paths = [f"{self.root}/base/version={manifest.buckets[b]}/bucket={b}" for b in buckets]
+        if not paths:
+            return self.spark.createDataFrame([], tagged)
+        return self.spark.read.schema(tagged).parquet(*paths)
+
+    def _tagged(self) -> StructType:
+        return StructType(list(self.schema.fields)).add(_STREAM, LongType()).add(_BATCH, LongType())
+
+    # reading
 
     def read(self, through: int | None = None) -> DataFrame:
-        """Current rows; with ``through``, later batches left out. Compacted batches are pruned by folder."""
-        return self._merged(F.lit(True) if through is None else F.col("batch_id") <= through)
-
-    def _merged(self, wanted: Column) -> DataFrame:
-        version, done = self._compacted()
-        new = F.lit(True)
-        for stream, batch in done.items():
-            new = new & ((F.col("stream") != stream) | (F.col("batch_id") > batch))
-        changes = self._changes().filter(new & wanted)
-        newest = first_per_key(changes, self.keys, [F.struct("stream", "batch_id").desc()]).drop("stream", "batch_id")
-        if version is None:
-            return newest
-        return merge_rows(self._aligned(self.base.read(version)), newest, self.keys)
-
-    def _aligned(self, df: DataFrame) -> DataFrame:
-        """Rows of an older version with the columns of today; columns it lacked are null."""
-        return df.select(*[
-            F.col(f.name) if f.name in df.columns else F.lit(None).cast(f.dataType).alias(f.name) for f in self.schema
-        ])
+        """Current rows; with ``through``, later batches left out."""
+        manifest = self._manifest()
+        new = [(s, b) for s, b in self._unfolded(manifest.done) if through is None or b <= through]
+        return self._state(manifest, new, list(manifest.buckets)).select(*self.schema.names)
+
+    def _changes(self, batches: Sequence[tuple[int, int]]) -> DataFrame:
+        paths = [self._change(*b) for b in batches]
+        if not paths:
+            return self.spark.createDataFrame([], self._tagged())
+        return self.spark.read.schema(self._tagged()).option("basePath", f"{self.root}/changes").parquet(*paths)
+
+    def _state(self, manifest: Manifest, batches: Sequence[tuple[int, int]], buckets: Sequence[str]) -> DataFrame:
+        """Stored rows of some buckets with the newest change of each key laid over them."""
+        base = self._base(manifest, buckets)
+        newest = first_per_key(self._changes(batches), self.keys, [F.struct(_STREAM, _BATCH).desc()])
+        if batches and manifest.done and batches[0][0] < max(manifest.done):
+            # an earlier stream goes on after a later one was folded in: what that one wrote is newer
+            stored = base.select(*self.keys, F.struct(_STREAM, _BATCH).alias("_stored"))
+            older = newest.join(stored, self.keys).where(F.col("_stored") > F.struct(_STREAM, _BATCH))
+            newest = newest.join(older.select(*self.keys), self.keys, "left_anti")
+        return merge_rows(base, newest, self.keys) if buckets else newest
+
+    # folding in
 
     def compact(self) -> int | None:
-        """Fold all present batches into a new version; None if there is nothing new."""
-        done, last = self._compacted()[1], self._last_batches()
-        if all(batch <= done.get(stream, -1) for stream, batch in last.items()):
+        """Fold all finished batches into a new version; None if there is nothing new."""
+        manifest = self._manifest()
+        batches = self._unfolded(manifest.done)
+        if not batches:
             return None
-        present = F.lit(False)
-        for stream, batch in last.items():
-            present = present | ((F.col("stream") == stream) & (F.col("batch_id") <= batch))
-        return self.base.write(self._merged(present), note=json.dumps({**done, **last}))
+        touched = [r[0] for r in self._changes(batches).select(self.bucket.alias("bucket")).distinct().collect()]
+        state = self._state(manifest, batches, [b for b in touched if b in manifest.buckets])
+        return self._commit(state, manifest.buckets, {**manifest.done, **dict(batches)})
 
     def rebuild(self, df: DataFrame) -> int:
         """Replace all rows by ``df`` as a new version: batches applied so far no longer count."""
-        done = {**self._compacted()[1], **self._last_batches()}
-        return self.base.write(df.select(*self.schema.names), note=json.dumps(done))
+        done = self._manifest().done
+        rows = df.select(*self.schema.names, *(F.lit(-1).cast("long").alias(c) for c in (_STREAM, _BATCH)))
+        return self._commit(rows, {}, {**done, **dict(self._unfolded(done))})
+
+    def _commit(self, rows: DataFrame, others: dict[str, int], done: dict[int, int]) -> int:
+        """Write ``rows`` as the buckets they fall in, beside the ``others``; adaptive execution cuts large buckets into
+        several files and gathers small ones."""
+        latest = max([-1, *self._versions()])
+        version = files.claim_next(self.spark, f"{self.root}/claims", "version=", after=latest)
+        folder = f"{self.root}/base/version={version}"
+        dealt = rows.withColumn("bucket", self.bucket).hint("rebalance", "bucket")
+        dealt.write.partitionBy("bucket").mode("overwrite").parquet(folder)
+        written = [n[len("bucket="):] for n in files.names(self.spark, folder) if n.startswith("bucket=")]
+        manifest = Manifest(version, {**others, **dict.fromkeys(written, version)}, done)
+        files.write_text(self.spark, f"{self.root}/manifests/version={version}", manifest.text())
+        self._retire()
+        return version
+
+    def _retire(self) -> None:
+        """Remove what only manifests before the last ``keep`` need. Versions without a manifest are left alone: another
+        compaction may be writing them."""
+        versions = self._versions()
+        kept = [self._manifest(v) for v in versions[-self.keep:]]
+        needed = {(b, v) for m in kept for b, v in m.buckets.items()}
+        for version in versions[:-self.keep]:
+            old = self._manifest(version)
+            gone = [f"{self.root}/base/version={v}/bucket={b}" for b, v in old.buckets.items() if (b, v) not in needed]
+            files.remove(self.spark, [*gone, f"{self.root}/manifests/version={version}", f"{self.root}/claims/version={version}"])
+        for stream, last in kept[0].done.items() if len(kept) == self.keep else ():
+            present = files.numbers(self.spark, f"{self.root}/changes/{_STREAM}={stream}", f"{_BATCH}=")
+            files.remove(self.spark, [self._change(stream, b) for b in present if b <= last])
