@@ -99,6 +99,11 @@ def test_everything(spark, lake):
                                  "query_id string, text string")
     best = similar_reports(corpus, text, "text").orderBy("rank").collect()
     assert len(best) == 5 and best[0].distance == pytest.approx(0.0)
+    for _ in range(2):  # a version that is in the index already adds nothing
+        index = jobs.refresh_reports(spark, root)
+        assert index.rows().count() == 4 * 7
+    indexed = similar_reports(corpus, text, "text", search=jobs.report_index(spark, root).search)
+    assert indexed.orderBy("rank").select("report_id", "distance").collect() == [(r.report_id, r.distance) for r in best]
 
 
 def test_stream_runs_until_stopped(spark, lake):

@@ -7,6 +7,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from vanewright.operators import cells, topk
 from vanewright.operators.cells import VectorCells
 from vanewright.operators.retrieval import nearest, parse_readings, report_corpus, similar_reports
 
@@ -48,15 +49,79 @@ def test_nearest_equals_brute_force(spark, points, query_block, corpus_block):
     assert first.distance == pytest.approx(((points[0][first.report_id] - points[1][0]) ** 2).sum())
 
 
-def test_cells_find_the_same(spark, points, folder):
+@pytest.mark.parametrize("travelling", [cells.TRAVELLING_BYTES, 0])
+def test_cells_find_the_same(spark, points, folder, monkeypatch, travelling):
+    monkeypatch.setattr(cells, "TRAVELLING_BYTES", travelling)
+    monkeypatch.setattr(cells, "ROWS_BLOCK", 30)
+    monkeypatch.setattr(cells, "QUERIES_BLOCK", 3)
     corpus, queries = vectors(spark, points[0], "report_id"), vectors(spark, points[1], "query_id")
     index = VectorCells(spark, f"{folder}/index")
-    index.build(corpus, cells=12, sample_share=0.8)
+    index.build(corpus, cells=12)
     assert index.rows().count() == len(points[0])
     assert found(index.search(queries, 5)) == brute(*points, 5)
+    assert found(index.search(queries, 400)) == brute(*points, 400)  # more than there are
     only_copy = queries.filter("query_id = 12")
     assert found(index.search(only_copy, 5))[12] == [200, 201, 202, 203, 204]
-    assert len(index._cells_for(points[1][12:], 5)) < 12  # the rest is not read
+
+
+def clustered(rng, clusters=20, each=40):
+    centres = 50 * rng.normal(size=(clusters, 8))
+    return (centres[:, None] + rng.normal(size=(clusters, each, 8))).reshape(-1, 8), centres + 0.5
+
+
+def test_searches_read_few_cells(spark, folder, monkeypatch):
+    """Queries in all clusters, yet each is compared with a few cells alone, and cells without a query are not read."""
+    corpus, queries = clustered(np.random.default_rng(5))
+    index = VectorCells(spark, f"{folder}/index")
+    index.build(vectors(spark, corpus, "report_id"), cells=20)
+    met, read = [], []
+    compared, rows = index._compared, index._rows
+    monkeypatch.setattr(index, "_compared", lambda pairs, *rest: (met.append(pairs.count()), compared(pairs, *rest))[1])
+    monkeypatch.setattr(index, "_rows", lambda cells: (read.append(len(cells)), rows(cells))[1])
+    assert found(index.search(vectors(spark, queries[:4], "query_id"), 5)) == brute(corpus, queries[:4], 5)
+    assert sum(met) < 4 * 20 / 2 and max(read[1:]) < 20 / 2
+
+
+def test_an_index_grown_in_steps_finds_the_same(spark, points, folder):
+    """Small cells are split on the way, replays and repeated rows count once, an empty batch is fine."""
+    rows = vectors(spark, points[0], "report_id").withColumn("note", F.lit("kept"))
+    index = VectorCells(spark, f"{folder}/index", cell_rows=25, cell_folders=2)
+    queries = vectors(spark, points[1], "query_id")
+    assert found(index.search(queries, 5)) == {}
+    steps = [rows.where("report_id < 90"), rows.where("report_id >= 80 AND report_id < 210"), rows.limit(0), rows.where("report_id >= 210")]
+    for turn in (0, 1, 1, 2, 3, 0):
+        index.add(steps[turn], turn, cells=2, known_apart=False)
+    stored = index.rows()
+    assert stored.count() == stored.select("report_id").distinct().count() == len(points[0])
+    assert {r[0] for r in stored.select("note").distinct().collect()} == {"kept"}
+    listed = index._latest()[1]
+    assert len(listed) > 8 and sum(c["n_rows"] for c in listed) == len(points[0])
+    assert all(c["n_rows"] <= 25 or not c["splits"] or not c["radius"] for c in listed)
+    assert all(len(c["folders"]) <= 2 for c in listed)
+    assert found(index.search(queries, 5)) == brute(*points, 5)
+
+
+def test_an_index_follows_a_stream(spark, points, folder):
+    schema = "report_id bigint, vector array<double>"
+    rows = vectors(spark, points[0], "report_id")
+    index = VectorCells(spark, f"{folder}/index", cell_rows=60)
+    for low, high in ((0, 100), (100, 300)):
+        rows.where(f"report_id >= {low} AND report_id < {high}").coalesce(1).write.mode("append").parquet(f"{folder}/in")
+        stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(f"{folder}/in")
+        index.follow(stream, f"{folder}/checkpoint").awaitTermination(120)
+    assert found(index.search(vectors(spark, points[1], "query_id"), 5)) == brute(*points, 5)
+
+
+def test_matrix_product_and_exact_distances_agree():
+    rng = np.random.default_rng(9)
+    rows = np.concatenate([1e6 + 1e-3 * rng.normal(size=(400, 5)), np.tile(1e6, (60, 5))])
+    asked = np.concatenate([rows[:5], 1e6 + 1e-3 * rng.normal(size=(5, 5))])
+    best = topk.Nearest(range(10), asked, 7)
+    for at in range(0, 460, 50):
+        best.see(np.arange(at, min(at + 50, 460)).astype(object), rows[at:at + 50])
+    for q, (distance, ids) in enumerate(best.kept):
+        exact = ((rows - asked[q]) ** 2).sum(axis=1)
+        assert ids.tolist() == np.lexsort([np.arange(460), exact])[:7].tolist()
 
 
 def test_fewer_rows_than_asked_for_and_null_vectors(spark):

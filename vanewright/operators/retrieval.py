@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pandas as pd
@@ -92,8 +92,13 @@ def nearest(
         partial = _nearest_to_block(vectors, block, k, corpus_id, query_id, schema)
     else:
         partial = _nearest_by_blocks(vectors, asked, k, corpus_id, query_id, schema, query_block, corpus_block)
+    return best_of(partial, k, query_id, corpus_id)
+
+
+def best_of(found: DataFrame, k: int, query_id: str, corpus_id: str) -> DataFrame:
+    """The k nearest of the rows found for each query, ranked; ties go to the smaller id."""
     order = Window.partitionBy(query_id).orderBy("distance", corpus_id)
-    return partial.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
+    return found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
 
 
 def _nearest_to_block(vectors, block, k, corpus_id, query_id, schema) -> DataFrame:
@@ -132,14 +137,19 @@ def _nearest_by_blocks(vectors, asked, k, corpus_id, query_id, schema, query_blo
     return left.groupBy("qb", "cb").cogroup(right.groupBy("qb", "cb")).applyInPandas(compare, schema)
 
 
-def similar_reports(corpus: DataFrame, requests: DataFrame, text: str, k: int = 5, query_id: str = "query_id"):
+def similar_reports(
+    corpus: DataFrame, requests: DataFrame, text: str, k: int = 5, query_id: str = "query_id",
+    search: Callable[[DataFrame, int], DataFrame] | None = None,
+) -> DataFrame:
     """The k reports most like the readings in each request text, with their content and metadata.
 
-    Requests without as many numbers as a report has readings come back as one row with ``status`` invalid. The k found rows per request are
+    ``search`` looks for the k nearest of the parsed readings in a stored index of the corpus; without it the corpus is
+    compared as a whole. Requests without as many numbers as a report has readings come back as one row with ``status`` invalid. The k found rows per request are
     broadcast (while they pass the size check) to pick up their details, so the report texts are not shuffled.
     """
     first = corpus.where(F.col("vector").isNotNull()).select(F.size("vector")).first()
     parsed = parse_readings(requests, text, first and first[0]).select(query_id, "vector", "status")
-    found = written(nearest(corpus, parsed, k, "report_id", query_id), "nearest-reports")
+    near = search(parsed, k) if search else nearest(corpus, parsed, k, "report_id", query_id)
+    found = written(near, "nearest-reports")
     details = join_small(corpus.drop("vector"), found, ["report_id"])
     return parsed.drop("vector").join(details, query_id, "left")

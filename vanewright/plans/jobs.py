@@ -15,6 +15,7 @@ from pyspark.sql.streaming import StreamingQuery
 from vanewright.functions.columns import columns_named, numeric_columns
 from vanewright.functions.text import REQUEST_FIELDS, parse_requests
 from vanewright.operators import drift, models
+from vanewright.operators.cells import VectorCells
 from vanewright.operators.features import hourly_features, training_set
 from vanewright.operators.keyed import latest_specifications
 from vanewright.operators.metrics import binary_metrics, deploy_gate
@@ -148,6 +149,19 @@ def corpus(spark: SparkSession, lake: str) -> DataFrame:
     )
 
 
+def report_index(spark: SparkSession, lake: str) -> VectorCells:
+    """The stored index of reports, to search with ``retrieval.similar_reports``."""
+    return VectorCells(spark, table_path(lake, "report_cells", "silver"))
+
+
+def refresh_reports(spark: SparkSession, lake: str) -> VectorCells:
+    """Add the reports of the latest training set that the index does not have yet; a version already in it adds
+    nothing."""
+    index = report_index(spark, lake)
+    index.add(corpus(spark, lake), training_table(spark, lake).latest_version(), known_apart=False)
+    return index
+
+
 def summary(spark: SparkSession, lake: str) -> DataFrame:
     """Summary of the numbers in the latest training set."""
     rows = training_table(spark, lake).read()

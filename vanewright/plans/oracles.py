@@ -346,3 +346,4 @@ ORACLES: dict[str, str] = {
     "q_stream_dedup": f"WITH {_READINGS} SELECT {_READING_COLUMNS} FROM readings",
     "q_stream_upsert": _HOURLY_RESULT,
 }
+ORACLES["q_similar_reports_grown"] = ORACLES["q_similar_reports"]

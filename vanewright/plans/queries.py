@@ -551,16 +551,34 @@ def report_corpus(spark, folder):
     return _corpus(spark, folder).drop("vector")
 
 
-def similar_reports(spark, folder):
+def _requests(spark, folder) -> DataFrame:
     """One request per state with its mean readings; one state sends none."""
     units = hourly_features(readings(spark, folder), grain="month").join(turbines(spark, folder), "turbine_id")
     means = [F.round(F.avg(c), 4).cast("decimal(18,4)").cast("string") for c in ("std_sensor_k", "std_sensor_value")]
     text = F.concat(F.lit("readings "), means[0], F.lit(" and "), means[1])
-    requests = units.groupBy(F.col("state").alias("query_id")).agg(text.alias("request")).withColumn(
+    return units.groupBy(F.col("state").alias("query_id")).agg(text.alias("request")).withColumn(
         "request", F.when(F.col("query_id") == "ASIA", "no readings, sorry").otherwise(F.col("request"))
     )
+
+
+def similar_reports(spark, folder):
+    stored = written(_corpus(spark, folder), "corpus")
+    found = retrieval.similar_reports(stored, _requests(spark, folder), "request")
+    return _rounded(found, 6, ["distance"])
+
+
+def similar_reports_grown(spark, folder):
+    """The same from an index that a stream fed in three steps, the last of which brings old reports again."""
+    landed = scratch_folder(spark, "reports")
     stored = written(_corpus(spark, folder), "corpus")
-    found = retrieval.similar_reports(stored, requests, "request")
+    part = F.pmod(F.xxhash64("report_id"), F.lit(3))
+    for step in (part == 0, part == 1, part != 0):
+        stored.where(step).coalesce(1).write.mode("append").parquet(landed)
+    index = VectorCells(spark, scratch_folder(spark, "report-cells"), cell_rows=500)
+    reports = spark.readStream.schema(stored.schema).option("maxFilesPerTrigger", 1).parquet(landed)
+    index.follow(reports, scratch_folder(spark, "report-checkpoint")).awaitTermination()
+    corpus = index.rows().drop("cell", "centre_distance")
+    found = retrieval.similar_reports(corpus, _requests(spark, folder), "request", search=index.search)
     return _rounded(found, 6, ["distance"])
 
 
@@ -728,6 +746,7 @@ QUERIES: dict[str, Query] = {
     "q_knn_cells": knn_cells,
     "q_report_corpus": report_corpus,
     "q_similar_reports": similar_reports,
+    "q_similar_reports_grown": similar_reports_grown,
     "q_extract_numbers": extract_numbers,
     "q_split_ids": split_ids,
     "q_parse_requests": requests_parsed,
