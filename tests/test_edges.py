@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from vanewright.functions.text import REQUEST_FIELDS, parse_requests
 from vanewright.operators.drift import summarize
-from vanewright.operators.fills import _with_chunk, fill_along_time
+from vanewright.operators.fills import fill_along_time
 from vanewright.operators.prepare import MedianFill, Scale
 from vanewright.operators.quantiles import exact_medians, exact_quantiles
 from vanewright.operators.retrieval import report_corpus, similar_reports
@@ -45,16 +45,14 @@ def test_split_is_exact_at_any_size(spark, rows):
     assert split.where("is_train").count() == math.ceil(0.75 * rows)
 
 
-def test_chunks_keep_their_size_with_stray_times_and_bursts(spark):
+def test_fills_with_stray_times_and_bursts(spark):
     times = F.when(F.col("id") == 0, F.lit(0)).when(F.col("id") < 60_000, F.col("id") % 500 + 5_000_000)
     df = spark.range(100_000).select(
         F.lit("u").alias("unit"), F.coalesce(times, F.lit(10_000_000) + F.col("id")).alias("t"), F.col("id").alias("n"),
         F.when(F.col("id") % 7 == 0, F.col("id")).alias("v"),
     )
-    sizes = [r["count"] for r in _with_chunk(df, "t", 1000).groupBy("_chunk").count().collect()]
-    assert max(sizes) <= 2000
     one, many = (
-        fill_along_time(df, ["unit"], "t", ["v"], ties=["n"], rows_per_chunk=size) for size in (1000, 1_000_000)
+        fill_along_time(df, ["unit"], "t", ["v"], ties=["n"], rows_per_part=size) for size in (1000, 1_000_000)
     )
     assert one.exceptAll(many).count() == 0
 
