@@ -78,8 +78,26 @@ def test_search_finds_dense_groups_in_range_of_each_other(size):
 def test_pruning_leaves_out_shadowed_neighbours():
     units = np.array([[1, 0], [0.99, 0.14], [0.98, 0.2], [0, 1]], np.float64)
     units /= np.linalg.norm(units, axis=1)[:, None]
-    kept = vectors.robust_prune(0, np.array([1, 2, 3]), units @ units.T)
-    assert kept[0] == 1 and 2 not in kept
+    near = units @ units.T
+    kept = vectors.robust_prune(near[:1, 1:], near[None, 1:, 1:])
+    assert kept.tolist() == [[True, False, True]]
+
+
+@pytest.mark.parametrize("size", [1, 2, 30, 1200])
+def test_pruning_together_is_pruning_one_by_one(size):
+    units = np.random.default_rng(size).normal(size=(size, 12))
+    units /= np.linalg.norm(units, axis=1)[:, None]
+    near = units @ units.T
+    lists = [set() for _ in units]
+    for own in range(size):
+        left = [int(o) for o in np.argsort(-near[own], kind="stable") if o != own][:vectors.CANDIDATES]
+        for _ in range(vectors.DEGREE):
+            if left:
+                best = left.pop(0)
+                lists[own].add(best)
+                lists[best].add(own)
+                left = [o for o in left if vectors.ALPHA * (1 - near[best, o]) > 1 - near[own, o]]
+    assert [set(found) for found in vectors.build_graph(units)] == lists
 
 
 # urls

@@ -27,11 +27,13 @@ by_value(__name__)
 SIMILAR = 0.95
 #: Centres are taken from so many vectors, the sample's bound; about so many nodes a shard; shards of a node; nodes of
 #: a block at most about.
-SAMPLE, SHARD, OVERLAP, BLOCK = 4096, 1000, 3, 1500
+SAMPLE, SHARD, OVERLAP, BLOCK = 4096, 1000, 3, 4096
 #: Candidates and kept neighbours of a node, and how much nearer a kept neighbour must be to shadow another.
 CANDIDATES, DEGREE, ALPHA = 48, 20, 1.2
 #: Nodes that the greedy search keeps in sight.
 BEAM = 12
+#: Rows of a block that are compared with all its members at a time.
+_ROWS = 512
 
 
 def as_units(vectors: pd.Series) -> tuple[np.ndarray, list[np.ndarray]]:
@@ -88,34 +90,44 @@ def chosen_centres(nodes: DataFrame, total: int, sample: int = SAMPLE, shard: in
     return {w: np.stack([c for c in centres if len(c) == w]) for w in widths}
 
 
-def robust_prune(own: int, order: np.ndarray, near: np.ndarray, degree: int = DEGREE, alpha: float = ALPHA) -> list[int]:
-    """Neighbours of node ``own`` from candidates in falling nearness; ``near`` has the cosines of all pairs. A
-    candidate goes when a kept neighbour is ``alpha`` times nearer to it than the node is."""
-    kept: list[int] = []
-    left = order
-    while len(left) and len(kept) < degree:
-        best = left[0]
-        kept.append(int(best))
-        left = left[1:]
-        left = left[alpha * (1.0 - near[best, left]) > 1.0 - near[own, left]]
+def robust_prune(to_own: np.ndarray, among: np.ndarray, degree: int = DEGREE, alpha: float = ALPHA) -> np.ndarray:
+    """Which candidates the nodes keep: (nodes, candidates), candidates in falling nearness. ``to_own`` has their cosines
+    to the node, ``among`` the cosines of the candidates of each node. A candidate goes when a kept neighbour is
+    ``alpha`` times nearer to it than the node is. All nodes are pruned step by step together."""
+    kept, left = np.zeros(to_own.shape, bool), np.ones(to_own.shape, bool)
+    rows = np.arange(len(to_own))
+    for _ in range(min(degree, to_own.shape[1])):
+        best = left.argmax(axis=1)  # the nearest that is left
+        some = left[rows, best]
+        kept[rows[some], best[some]] = True
+        left[rows, best] = False
+        left &= alpha * (1.0 - among[rows, best]) > 1.0 - to_own
+        if not left.any():
+            break
     return kept
 
 
 def build_graph(units: np.ndarray) -> list[list[int]]:
     """Pruned neighbour lists, made two-way, of one block."""
-    near = units @ units.T
-    np.fill_diagonal(near, -2.0)
     count = min(CANDIDATES, len(units) - 1)
-    lists: list[list[int]] = [[] for _ in units]
     if count < 1:
-        return lists
-    top = np.argpartition(-near, count - 1, axis=1)[:, :count]
-    for own, row in enumerate(top):
-        order = row[np.argsort(-near[own, row], kind="stable")]
-        for other in robust_prune(own, order, near):
-            lists[own].append(other)
-            lists[other].append(own)
-    return [sorted(set(found)) for found in lists]
+        return [[] for _ in units]
+    one, other = [], []
+    for start in range(0, len(units), _ROWS):
+        own = np.arange(start, min(start + _ROWS, len(units)))
+        near = units[own] @ units.T
+        near[own - start, own] = -2.0
+        top = np.argpartition(-near, count - 1, axis=1)[:, :count]
+        to_own = np.take_along_axis(near, top, 1)
+        order = np.argsort(-to_own, axis=1, kind="stable")
+        top, to_own = np.take_along_axis(top, order, 1), np.take_along_axis(to_own, order, 1)
+        candidates = units[top]
+        at, which = np.nonzero(robust_prune(to_own, candidates @ candidates.transpose(0, 2, 1)))
+        one.append(own[at])
+        other.append(top[at, which])
+    one, other = np.concatenate(one), np.concatenate(other)
+    pairs = np.unique(np.concatenate([one * len(units) + other, other * len(units) + one]))
+    return [part.tolist() for part in np.split(pairs % len(units), np.searchsorted(pairs, np.arange(1, len(units)) * len(units)))]
 
 
 class Block:
@@ -169,8 +181,10 @@ class Block:
         to: its query is compared with all members, as a block is small enough for that."""
         near = [self.search(query, similar, own) for query, own in zip(queries, known)]
         full = [at for at, found in enumerate(near) if len(found) >= BEAM]
-        for at, values in zip(full, queries[full] @ self.units.T):
-            near[at] = np.union1d(near[at], np.flatnonzero(values >= similar))
+        for start in range(0, len(full), _ROWS):
+            some = full[start:start + _ROWS]
+            for at, values in zip(some, queries[some] @ self.units.T):
+                near[at] = np.union1d(near[at], np.flatnonzero(values >= similar))
         return near
 
 
