@@ -1,5 +1,8 @@
 """Vectors, urls, the pipeline and the registered queries."""
 
+import re
+from collections import Counter, defaultdict
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -102,6 +105,50 @@ def test_pruning_together_is_pruning_one_by_one(size):
 
 # urls
 
+def plain_verdicts(pages, rules):
+    """(verdict, share) of every url (id, host, path, rule verdict), template by template."""
+    own = {(h, p): [s for s in p.split("/") if s] for _, h, p, _ in pages}
+    level = defaultdict(Counter)
+    for _, h, p, _ in pages:
+        for at, s in enumerate(own[h, p]):
+            level[h, at][s] += 1
+    def step(h, at, s):
+        named = not re.search("[0-9]", s) and len(s) < 24 and 20 * level[h, at][s] >= sum(level[h, at].values())
+        return s if named else "*"
+    template = {(h, p): tuple(step(h, at, s) for at, s in enumerate(segments)) for (h, p), segments in own.items()}
+    nodes = defaultdict(lambda: [0, 0])
+    for _, h, p, v in pages:
+        for k in range(len(template[h, p]) + 1):
+            nodes[h, template[h, p][:k]][0] += v == "block"
+            nodes[h, template[h, p][:k]][1] += v is not None
+    side, pools = {}, defaultdict(lambda: [0, 0])
+    for (h, node), (blocked, labels) in nodes.items():
+        if node and labels >= 5:
+            above = nodes[h, node[:-1]]
+            share = above[0] / above[1]
+            if abs(blocked / labels - share) > 2.0 * np.sqrt(share * (1 - share) / labels):
+                side[h, node] = (h, node[:-1], blocked / labels > share)
+                pools[side[h, node]][0] += blocked
+                pools[side[h, node]][1] += labels
+    overall = sum(v == "block" for *_, v in pages) / max(1, sum(v is not None for *_, v in pages))
+    out = {}
+    for i, h, p, v in pages:
+        deepest = [k for k in range(1, len(template[h, p]) + 1) if (h, template[h, p][:k]) in side]
+        blocked, labels = pools[side[h, template[h, p][:deepest[-1]]]] if deepest else nodes[h, ()]
+        rejected = labels and 2 * blocked >= labels and (blocked + 4 * overall) / (labels + 4) >= 0.5
+        out[i] = (v or ("block" if rejected else "allow"), "/".join(template[h, p]))
+    return out
+
+
+def judged_by_both(spark, urls, rules):
+    """The operator's (verdict, template) by page, and the plain version's."""
+    pages = spark.createDataFrame(urls, "page_id int, url string")
+    found = urlfilter.judge_urls(pages, rules).collect()
+    known = dict(rules)
+    plain = plain_verdicts([(r.page_id, r.host, r.path, known.get(r.rule)) for r in found], rules)
+    return {r.page_id: (r.verdict, r.template) for r in found}, plain
+
+
 def test_rules_hosts_and_paths(spark):
     urls = [
         (1, "HTTPS://WWW.Example.COM/en/a?x#y", "www.example.com", "/en/a", "www.example.com/en/", "allow"),
@@ -109,7 +156,7 @@ def test_rules_hosts_and_paths(spark):
         (3, "http://notexample.com/en/x", "notexample.com", "/en/x", "com/", "allow"),
         (4, "http://example.com", "example.com", "", None, "allow"),
         (5, "ftp://a.net/fr/b", "a.net", "/fr/b", "net/fr/", "block"),
-        (6, "http://a.net/FR/b", "a.net", "/FR/b", None, "allow"),
+        (6, "http://b.net/FR/b", "b.net", "/FR/b", None, "allow"),
         (7, None, "", "", None, "allow"), (8, "no scheme", "", "", None, "allow"), (9, "a\n://x.com/?q", "x.com", "/", "com/", "allow"),
         (9, "a\n://x.com/?q", "x.com", "/", "com/", "allow"), (10, "", "", "", None, "allow"),
     ]
@@ -122,11 +169,33 @@ def test_rules_hosts_and_paths(spark):
 
 
 def test_templates_judge_what_no_rule_fits(spark):
-    rows = [(i, f"http://shop.org/spam/{i}/x") for i in range(40)] + [(100 + i, f"http://shop.org/news/{i}") for i in range(40)]
+    """Blocked and allowed sections, a section like the blocked one, deep paths, and hosts without labels."""
+    urls = [(i, f"http://shop.org/spam/{i}/x") for i in range(40)] + [(100 + i, f"http://shop.org/news/{i}") for i in range(40)]
+    urls += [(200 + i, f"http://shop.org/a/b/c/{'good' if i % 2 else 'bad'}/{i}") for i in range(40)]
+    urls += [(300, "http://shop.org/else"), (301, "http://other.org/spam/1/x"), (302, "http://" + "deep.org" + "/d" * 300)]
     rules = [(f"shop.org/spam/{i}", "block") for i in range(10, 30)] + [(f"shop.org/news/{i}", "allow") for i in range(10, 30)]
-    pages = spark.createDataFrame(rows, "page_id int, url string")
-    judged = urlfilter.judge_urls(pages, rules).where("rule IS NULL").collect()
-    assert {(r.template, r.verdict) for r in judged} == {("spam/*/x", "block"), ("news/*", "allow")}
+    rules += [(f"shop.org/a/b/c/bad/{i}", "block") for i in range(10, 30, 2)] + [(f"shop.org/a/b/c/good/{i}", "allow") for i in range(11, 30, 2)]
+    got, plain = judged_by_both(spark, urls, rules)
+    assert got == plain
+    assert got[1] == ("block", "spam/*/x") and got[101] == ("allow", "news/*")
+    assert got[200] == ("block", "a/b/c/bad/*") and got[201] == ("allow", "a/b/c/good/*")
+    assert got[301][0] == got[302][0] == "allow" and got[302][1].count("d") == 300
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_templates_against_a_plain_version(spark, seed):
+    rng = np.random.default_rng(seed)
+    words = ["en", "fr", "shop", "blog", "x", "y1", "a" * 30, *(f"w{chr(97 + i)}" for i in range(26))]
+    urls, rules = [], set()
+    for i in range(1200):
+        host = f"h{rng.integers(4)}.org"
+        path = "".join("/" + words[min(int(rng.exponential(5)), len(words) - 1)] for _ in range(rng.integers(0, 6)))
+        urls.append((i, f"http://{host}{path}"))
+        if rng.random() < 0.05 and path and host != "h3.org":
+            rules.add((f"{host}{path}", "block" if ("shop" in path) ^ (rng.random() < 0.1) else "allow"))
+    rules = list(dict(sorted(rules)).items())
+    got, plain = judged_by_both(spark, urls, rules)
+    assert got == plain and len({v for v, _ in got.values()}) == 2
 
 
 # the registered queries and the pipeline
@@ -147,8 +216,8 @@ def test_pipeline_against_a_plain_version(spark):
     language = langid.fit_languages(docs)
     kept = {}
     for i, r in rows.items():
-        pred, score, _ = langid.label_texts([r.text or ""], language)[0]
-        if pred != "und" and score >= corpus_pipeline.LEAST_LANGUAGE:
+        pred, _, _, sure = langid.label_texts([r.text or ""], language)[0]
+        if pred != "und" and sure >= corpus_pipeline.LEAST_LANGUAGE:
             kept[i] = r.text
     stages = dict(corpus_pipeline.STAGES)
     first = stages["language"](spark, docs, FOLDER)

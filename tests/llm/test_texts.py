@@ -260,7 +260,7 @@ def test_languages_of_texts_and_spans(spark, corpus, odd_docs, no_docs):
     assert len(odd) == len(TEXTS) and all(r.language == "kept" for r in odd)
     assert {r.doc_id for r in odd if r.language_.lang_pred == "und"} == {3, 4, 5, 12}
     nothing = langid.fit_languages(no_docs.withColumn("lang", F.lit("en")))
-    assert langid.label_texts(["a b"], nothing) == [("und", 0.0, [])]
+    assert langid.label_texts(["a b"], nothing) == [("und", 0.0, [], 0.0)]
 
 
 def test_viterbi_against_all_paths():
@@ -310,3 +310,23 @@ def test_empty_tables(no_docs):
     assert winnowing.edit_likeness(no_docs, parts=2).count() == 0
     assert jaccard.near_duplicates(no_docs).count() == 0
     assert sentencepiece.encode(no_docs, PIECES).count() == 0
+
+
+def test_words_are_cut_alike_beside_other_planes():
+    """Combining marks belong to their words, whatever else a text holds."""
+    plain = "cafe\u0301 … E\u0302 x1y"
+    assert langid.words_of(plain) == ["cafe\u0301", "e\u0302", "x", "y"]
+    assert langid.words_of(plain + " \U0001F600") == langid.words_of(plain)
+    assert langid.words_of("\U0001F600ab\U00020000c \U00010400") == ["ab\U00020000c", "\U00010428"]
+    assert langid.words_of("") == langid.words_of("\U0001F600") == []
+
+
+def test_texts_of_three_languages_are_sure(spark):
+    own = {"en": "the house and the river with", "fr": "la maison et le fleuve avec", "de": "das haus und der fluss mit"}
+    rows = [(i, f"{own[lang]} " * 20, lang) for i, lang in enumerate(list(own) * 12)]
+    model = langid.fit_languages(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    mixed = " ".join(f"{own[lang]} " * n for lang, n in (("en", 38), ("fr", 32), ("de", 30)))
+    (lang, score, spans, sure), = langid.label_texts([mixed], model)
+    assert lang in own and {s[0] for s in spans} == set(own) and score < 0.5 < 0.95 < sure
+    (_, score, _, sure), = langid.label_texts([own["fr"] * 9], model)
+    assert score == sure > 0.95

@@ -7,7 +7,6 @@ penalty for each switch, labels the spans of mixed text.
 
 from __future__ import annotations
 
-import math
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -67,10 +66,12 @@ def words_of(text: str) -> list[str]:
         cache["table"] = _letters_table()
         cache["table"].setflags(write=False)
     codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4")
-    if len(codes) and codes.max() >= 1 << 16:
-        text = "".join(c.lower() if c.isalpha() else " " for c in text)
-        return text.split()
-    return cache["table"][codes].astype("<u4").tobytes().decode("utf-32-le").split()
+    letters = cache["table"][np.minimum(codes, (1 << 16) - 1)]
+    beyond = np.flatnonzero(codes >= 1 << 16)
+    for code in np.unique(codes[beyond]).tolist():
+        letter = chr(code)
+        letters[beyond[codes[beyond] == code]] = ord(letter.lower()) if letter.isalpha() else ord(" ")
+    return letters.astype("<u4").tobytes().decode("utf-32-le").split()
 
 
 @dataclass
@@ -219,10 +220,15 @@ def _unmixed(scores: np.ndarray, starts: np.ndarray, best: np.ndarray, counts: n
     return safe
 
 
-def label_texts(texts: list[str], model: LanguageModel) -> list[tuple[str, float, list[tuple[str, int, int]]]]:
-    """(language, score, spans) of each text; a span is (language, first word, words)."""
+def _odds(margin):
+    return 1.0 / (1.0 + np.exp(-np.clip(margin, -30.0, 30.0)))
+
+
+def label_texts(texts: list[str], model: LanguageModel) -> list[tuple[str, float, list[tuple[str, int, int]], float]]:
+    """(language, score, spans, sure) of each text; a span is (language, first word, words). ``sure`` is the share of
+    letters in surely labelled spans: each span counts by the odds of its language over the others within it."""
     if not model.languages:
-        return [(UNKNOWN, 0.0, [])] * len(texts)
+        return [(UNKNOWN, 0.0, [], 0.0)] * len(texts)
     cache = process_cache(f"languages-{model.key}")
     if not cache or len(cache["at"]) > _CACHE_WORDS:
         cache.update(at={}, scores=np.empty((0, len(model.languages)), np.float32))
@@ -233,7 +239,7 @@ def label_texts(texts: list[str], model: LanguageModel) -> list[tuple[str, float
     if new:
         at.update(zip(new, range(len(at), len(at) + len(new))))
         cache["scores"] = np.concatenate([cache["scores"], model.score(new).astype(np.float32)])
-    result: list = [(UNKNOWN, 0.0, [])] * len(texts)
+    result: list = [(UNKNOWN, 0.0, [], 0.0)] * len(texts)
     worded = [i for i, words in enumerate(split) if words]
     if not worded:
         return result
@@ -247,7 +253,7 @@ def label_texts(texts: list[str], model: LanguageModel) -> list[tuple[str, float
     for k, i in enumerate(worded):
         rows = slice(starts[k], starts[k] + counts[k])
         if plain[k]:
-            main, share, spans = int(best[k]), 1.0, [(model.languages[best[k]], 0, int(counts[k]))]
+            main, share, spans, known = int(best[k]), 1.0, [(model.languages[best[k]], 0, int(counts[k]))], None
         else:
             path = viterbi(scores[rows], model.switch)
             weight = np.bincount(path, weights=letters[rows], minlength=len(model.languages))
@@ -255,23 +261,32 @@ def label_texts(texts: list[str], model: LanguageModel) -> list[tuple[str, float
             share = float(weight[main] / weight.sum())
             borders = [0, *(np.flatnonzero(path[1:] != path[:-1]) + 1).tolist(), len(path)]
             spans = [(model.languages[path[a]], a, b - a) for a, b in zip(borders, borders[1:])]
+            own = path[borders[:-1]]
+            sums, at_own = np.add.reduceat(scores[rows], borders[:-1], axis=0), np.arange(len(own))
+            of_own = sums[at_own, own]
+            sums[at_own, own] = -np.inf
+            span_letters = np.add.reduceat(letters[rows], borders[:-1])
+            margins = of_own - sums.max(axis=1) if sums.shape[1] > 1 else np.full(len(own), 30.0)
+            known = float((span_letters * _odds(margins)).sum() / span_letters.sum())
         others = np.delete(totals[k], main)
         margin = float(totals[k, main] - others.max()) if len(others) else 30.0
-        sure = 1.0 / (1.0 + math.exp(-min(max(margin, -30.0), 30.0)))
-        result[i] = (model.languages[main], share * (sure if share == 1.0 else max(sure, 0.5)), spans)
+        sure = float(_odds(margin))
+        score = share * (sure if share == 1.0 else max(sure, 0.5))
+        result[i] = (model.languages[main], score, spans, sure if known is None else known)
     return result
 
 
 def with_language(docs: DataFrame, model: LanguageModel, text: str = "text") -> DataFrame:
-    """``docs`` with one more column, a struct (lang_pred, score, spans) named ``language``.
+    """``docs`` with one more column, a struct (lang_pred, score, spans, sure) named ``language``.
 
     ``spans`` lists (lang, first word, words) over the text's words, runs of letters. ``lang_pred`` has the most
-    letters, and score is its share of them times the odds over the runner-up. A null text and one without letters
+    letters, and score is its share of them times the odds over the runner-up; ``sure`` is the share of letters in spans
+    that surely are in their language, whichever it is, so a text of several languages may be as sure as one of one. A null text and one without letters
     are ``und`` with score 0 and no spans, and so is every text if the model has no language. Equal texts get equal
     results; all other columns stay as they are, and a clashing name gets a trailing underscore.
     """
     bounded_batches(docs.sparkSession)
-    kind = "lang_pred string, score double, spans array<struct<lang:string,first:int,words:int>>"
+    kind = "lang_pred string, score double, spans array<struct<lang:string,first:int,words:int>>, sure double"
 
     @F.pandas_udf(kind)
     def labelled(column: pd.Series) -> pd.DataFrame:
@@ -286,6 +301,7 @@ def with_language(docs: DataFrame, model: LanguageModel, text: str = "text") ->
         return pd.DataFrame({
             "lang_pred": objects(f[0] for f in found), "score": [f[1] for f in found],
             "spans": objects([{"lang": a, "first": b, "words": c} for a, b, c in f[2]] for f in found),
+            "sure": [f[3] for f in found],
         })
 
     return docs.withColumn(unused(docs, "language"), labelled(F.col(text)))

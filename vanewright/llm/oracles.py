@@ -22,44 +22,6 @@ _LINES = """
     )
 """
 
-_STEP = """
-    CASE WHEN len(own) < {n} THEN NULL
-         WHEN regexp_matches(own[{n}], '[0-9]') OR length(own[{n}]) >= 24 THEN NULL ELSE own[{n}] END
-"""
-
-
-def _levels() -> str:
-    """The three levels of the path templates."""
-    parts = []
-    for n in (1, 2, 3):
-        step = _STEP.format(n=n)
-        parts.append(f"""
-    wide{n} AS (SELECT host, template FROM (SELECT host, template, {step} AS named FROM tree{n - 1})
-                WHERE named IS NOT NULL GROUP BY ALL HAVING count(DISTINCT named) > 16),
-    tree{n} AS (SELECT t.host, t.path, t.own, t.blocked, t.labels,
-        CASE WHEN len(t.own) < {n} THEN t.template
-             WHEN {step} IS NULL OR w.host IS NOT NULL THEN list_concat(t.template, ['*'])
-             ELSE list_concat(t.template, [t.own[{n}]]) END AS template
-        FROM tree{n - 1} t LEFT JOIN wide{n} w ON t.host = w.host AND t.template = w.template)""")
-    return ",".join(parts)
-
-
-def _pools() -> str:
-    parts = ["""
-    pool0 AS (SELECT host, template, sum(blocked) OVER (PARTITION BY host) AS b, sum(labels) OVER (PARTITION BY host)
-        AS n FROM branches)"""]
-    for k in (1, 2, 3):
-        parts.append(f"""
-    own{k} AS (SELECT host, template, sum(blocked) OVER w AS b, sum(labels) OVER w AS n FROM branches
-        WINDOW w AS (PARTITION BY host, template[1:{k}])),
-    pool{k} AS (SELECT host, template, CASE WHEN differs THEN ob ELSE b END AS b, CASE WHEN differs THEN own ELSE n END
-        AS n FROM (SELECT p.host, p.template, p.b, p.n, o.b AS ob, o.n AS own,
-            o.n = 0 OR (o.n >= 5 AND abs(o.b / greatest(o.n, 1) - p.b / greatest(p.n, 1))
-                > 2.0 * sqrt((p.b / greatest(p.n, 1)) * (1 - p.b / greatest(p.n, 1)) / greatest(o.n, 1))) AS differs
-            FROM pool{k - 1} p JOIN own{k} o ON p.host = o.host AND p.template = o.template))""")
-    return ",".join(parts)
-
-
 ORACLES: dict[str, str] = {
     "op1_url_filter": f"""
         WITH parsed AS (
@@ -84,21 +46,57 @@ ORACLES: dict[str, str] = {
             SELECT *, CASE WHEN rule IN ('com/', 'www.example.com/en/') THEN 'allow' WHEN rule IS NOT NULL THEN 'block'
                 END AS ruling FROM ruled
         ),
-        tree0 AS (
-            SELECT host, path, list_filter(string_split(path, '/'), lambda s: s <> '')[1:3] AS own,
-                count(*) FILTER (WHERE ruling = 'block') AS blocked, count(ruling) AS labels,
-                []::VARCHAR[] AS template
+        paths AS (
+            SELECT host, path, list_filter(string_split(path, '/'), lambda s: s <> '') AS own, count(*) AS urls,
+                count(*) FILTER (WHERE ruling = 'block') AS blocked, count(ruling) AS labels
             FROM labelled GROUP BY host, path
         ),
-        {_levels()},
-        branches AS (SELECT host, template, sum(blocked) AS blocked, sum(labels) AS labels FROM tree3 GROUP BY ALL),
-        {_pools()},
+        segments AS (SELECT host, path, urls, unnest(own) AS segment, unnest(range(len(own))) AS level FROM paths),
+        counts AS (SELECT host, level, segment, sum(urls) AS n FROM segments GROUP BY ALL),
+        named AS (
+            SELECT host, level, segment FROM (SELECT *, sum(n) OVER (PARTITION BY host, level) AS total FROM counts)
+            WHERE NOT regexp_matches(segment, '[0-9]') AND length(segment) < 24 AND n * 20 >= total
+        ),
+        templates AS (
+            SELECT s.host, s.path, list(CASE WHEN n.host IS NULL THEN '*' ELSE s.segment END ORDER BY s.level) AS template
+            FROM segments s LEFT JOIN named n USING (host, level, segment) GROUP BY s.host, s.path
+        ),
+        tree AS (
+            SELECT p.host, p.path, p.blocked, p.labels, coalesce(t.template, []::VARCHAR[]) AS template
+            FROM paths p LEFT JOIN templates t USING (host, path)
+        ),
+        branches AS (
+            SELECT *, template[1:depth] AS node FROM (
+                SELECT host, template, sum(blocked) AS blocked, sum(labels) AS labels,
+                    unnest(range(len(template) + 1)) AS depth FROM tree GROUP BY host, template)
+        ),
+        nodes AS (SELECT host, node, depth, sum(blocked) AS b, sum(labels) AS n FROM branches GROUP BY ALL),
+        differing AS (
+            SELECT * FROM (
+                SELECT c.host, c.node, p.node AS parent, c.b, c.n, c.b / c.n AS share, p.b / p.n AS before
+                FROM nodes c JOIN nodes p ON c.host = p.host AND c.depth = p.depth + 1 AND c.node[1:c.depth - 1] = p.node
+                WHERE c.n >= 5)
+            WHERE abs(share - before) > 2.0 * sqrt(before * (1 - before) / n)
+        ),
+        pools AS (
+            SELECT host, parent, share > before AS above, sum(b) AS b, sum(n) AS n FROM differing GROUP BY ALL
+        ),
+        speaking AS (
+            SELECT d.host, d.node, p.b, p.n FROM differing d JOIN pools p
+            ON d.host = p.host AND d.parent = p.parent AND (d.share > d.before) = p.above
+            UNION ALL SELECT host, node, b, n FROM nodes WHERE depth = 0
+        ),
+        spoken AS (
+            SELECT r.host, r.template, arg_max(s.b, r.depth) AS b, arg_max(s.n, r.depth) AS n
+            FROM branches r JOIN speaking s ON r.host = s.host AND r.node = s.node GROUP BY r.host, r.template
+        ),
         overall AS (SELECT coalesce(avg(CASE ruling WHEN 'block' THEN 1.0 WHEN 'allow' THEN 0.0 END), 0) AS share
             FROM labelled)
         SELECT l.page_id, l.host, l.path, l.rule, coalesce(l.ruling,
-            CASE WHEN (p.b + 4.0 * o.share) / (p.n + 4.0) >= 0.5 THEN 'block' ELSE 'allow' END) AS verdict
-        FROM labelled l JOIN tree3 t ON l.host = t.host AND l.path = t.path
-        JOIN pool3 p ON t.host = p.host AND t.template = p.template, overall o
+            CASE WHEN s.n > 0 AND s.b >= 0.5 * s.n AND (s.b + 4.0 * o.share) / (s.n + 4.0) >= 0.5
+                THEN 'block' ELSE 'allow' END) AS verdict
+        FROM labelled l JOIN tree t ON l.host = t.host AND l.path = t.path
+        JOIN spoken s ON t.host = s.host AND t.template = s.template, overall o
     """,
     "op5_line_dedup": f"""
         WITH {_LINES}

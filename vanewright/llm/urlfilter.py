@@ -1,13 +1,14 @@
 """URL filters from rules and path templates.
 
-Each host has a tree of path templates: segments that vary become wildcards, branches whose labels look alike are
-merged with their parent, and a template is rejected by the smoothed share of blocked labels. The labels are what the
-rules decide; the templates judge the urls that no rule fits.
+Each host has a tree of path templates: segments that vary become wildcards, branches whose labels look like their
+parent's are merged with it, those that differ from it to the same side are merged with each other, and a template is
+rejected by the smoothed share of blocked labels. The labels are what the rules decide; the templates judge the urls
+that no rule fits.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vanewright.llm.common import unused
@@ -15,10 +16,10 @@ from vanewright.session import written
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 ALLOW, BLOCK = "allow", "block"
-#: A segment is a wildcard if it has a digit, is this long, or if its parent has more different segments than this.
-LONG_SEGMENT, CHILDREN = 24, 16
-#: Levels of a tree; labels a branch needs to speak for itself; how many deviations make it differ from its parent.
-LEVELS, LEAST_LABELS, DEVIATIONS = 3, 5, 2.0
+#: A segment is a wildcard if it has a digit, is this long, or is rarer than one in so many of its host and level.
+LONG_SEGMENT, RARE = 24, 20
+#: Labels a branch needs to speak for itself; how many deviations make it differ from its parent.
+LEAST_LABELS, DEVIATIONS = 5, 2.0
 #: Labels that the share of all labels counts for in a template's share; the share from which it is rejected.
 PRIOR, REJECT = 4.0, 0.5
 
@@ -44,76 +45,76 @@ def rule_of(host: Column, path: Column, rules: list[tuple[str, str]]) -> Column:
     return found
 
 
-def _segments(path: Column) -> Column:
-    return F.slice(F.filter(F.split(path, "/", -1), lambda s: s != ""), 1, LEVELS)
-
-
-def _template_counts(urls: DataFrame) -> DataFrame:
-    """(host, path, segments as a template, blocked, labels) per host and path: all that the trees need."""
+def _templates(urls: DataFrame) -> DataFrame:
+    """(host, path, template, blocked, labels) per host and path. All levels are looked at together, however many a
+    path has."""
     paths = urls.groupBy("host", "path").agg(
-        F.sum(F.when(F.col("verdict") == BLOCK, 1).otherwise(0)).alias("blocked"), F.count("verdict").alias("labels"),
-    ).withColumn("own", _segments(F.col("path"))).withColumn("template", F.array().cast("array<string>"))
-    for level in range(LEVELS):
-        segment = F.get("own", F.lit(level))
-        varying = segment.rlike("[0-9]") | (F.length(segment) >= LONG_SEGMENT)
-        named = F.when(~varying, segment)
-        paths = paths.withColumn("named", named)
-        # One row per (host, branch, segment) first: a host's urls meet only as the segments they differ in.
-        wide = paths.where(F.col("named").isNotNull()).groupBy("host", "template").agg(
-            F.countDistinct("named").alias("children")
-        ).where(F.col("children") > CHILDREN)
-        joined = paths.join(wide, ["host", "template"], "left")
-        step = F.when(segment.isNull(), F.lit(None)).when(F.col("named").isNull() | F.col("children").isNotNull(), "*")
-        step = step.otherwise(segment)
-        paths = joined.withColumn(
-            "template", F.when(segment.isNull(), F.col("template")).otherwise(F.concat("template", F.array(step)))
-        ).drop("named", "children")
-    return paths.select("host", "path", "template", "blocked", "labels")
+        F.count("*").alias("urls"), F.sum(F.when(F.col("verdict") == BLOCK, 1).otherwise(0)).alias("blocked"),
+        F.count("verdict").alias("labels"),
+    )
+    paths = written(paths.withColumn("own", F.filter(F.split("path", "/", -1), lambda s: s != "")), "url-paths")
+    segments = paths.select("host", "path", "urls", F.posexplode("own").alias("level", "segment"))
+    # One row per (host, level, segment) first: a host's urls meet only as the segments they differ in.
+    counts = segments.groupBy("host", "level", "segment").agg(F.sum("urls").alias("n"))
+    totals = counts.groupBy("host", "level").agg(F.sum("n").alias("total"))
+    varying = F.col("segment").rlike("[0-9]") | (F.length("segment") >= LONG_SEGMENT)
+    named = counts.join(totals, ["host", "level"]).where(~varying & (F.col("n") * RARE >= F.col("total")))
+    marked = segments.join(
+        named.select("host", "level", "segment", F.lit(True).alias("named")), ["host", "level", "segment"], "left"
+    )
+    kept = F.struct("level", F.when(F.col("named"), F.col("segment")).otherwise("*").alias("step"))
+    templates = marked.groupBy("host", "path").agg(F.sort_array(F.collect_list(kept)).alias("steps"))
+    template = F.coalesce(F.transform("steps", lambda s: s.step), F.array().cast("array<string>"))
+    return paths.join(templates, ["host", "path"], "left").select("host", "path", template.alias("template"), "blocked", "labels")
 
 
 def template_verdicts(urls: DataFrame) -> DataFrame:
     """(host, path, template, share, rejected) of urls given as (host, path, verdict or null).
 
-    From the root of a host's tree down, a branch has the pooled labels of its parent's branch until it has at least
-    ``LEAST_LABELS`` labels of its own and its share of blocked ones lies more than ``DEVIATIONS`` standard deviations
-    from the parent's. A branch without labels gets none from its parent: nothing is known against it, so the share
-    of all labels decides.
+    A branch of a host's tree speaks for itself if it has at least ``LEAST_LABELS`` labels and its share of blocked ones
+    lies more than ``DEVIATIONS`` standard deviations from its parent's; the children of one branch that lie to the same
+    side of it speak together. A template gets the labels of its deepest branch that speaks for itself, else those of its
+    host. It is rejected if most of these block, and do so as well with the share of all labels added as a few more; where
+    a host has no labels nothing is.
     """
-    counts = written(_template_counts(urls), "url-templates")
-    overall = counts.agg(F.sum("blocked") / F.greatest(F.sum("labels"), F.lit(1))).first()[0] or 0.0
+    paths = written(_templates(urls), "url-templates")
+    overall = paths.agg(F.sum("blocked") / F.greatest(F.sum("labels"), F.lit(1))).first()[0] or 0.0
     # A tree is small however many urls its host has: what varies became a wildcard.
-    pooled = counts.groupBy("host", "template").agg(
+    branches = paths.groupBy("host", "template").agg(F.sum("blocked").alias("blocked"), F.sum("labels").alias("labels"))
+    branches = written(branches.withColumn("depth", F.explode(F.sequence(F.lit(0), F.size("template")))).withColumn(
+        "node", F.slice("template", F.lit(1), F.col("depth"))
+    ), "url-branches")
+    nodes = written(branches.groupBy("host", "node", "depth").agg(
         F.sum("blocked").alias("blocked"), F.sum("labels").alias("labels")
-    ).repartition("host")
-    for level in range(LEVELS + 1):
-        node = Window.partitionBy("host", *[F.get("template", F.lit(i)) for i in range(level)])
-        pooled = pooled.withColumns({
-            "node_blocked": F.sum("blocked").over(node), "node_labels": F.sum("labels").over(node),
-        })
-        if level == 0:
-            pooled = pooled.withColumns({"pool_blocked": F.col("node_blocked"), "pool_labels": F.col("node_labels")})
-            continue
-        at_least_one = F.greatest(F.col("node_labels"), F.lit(1))
-        share = F.col("pool_blocked") / F.greatest(F.col("pool_labels"), F.lit(1))
-        gap = F.abs(F.col("node_blocked") / at_least_one - share)
-        differs = (F.col("node_labels") == 0) | (
-            (F.col("node_labels") >= LEAST_LABELS) & (gap > DEVIATIONS * F.sqrt(share * (1 - share) / at_least_one))
-        )
-        pooled = pooled.withColumns({
-            "pool_blocked": F.when(differs, F.col("node_blocked")).otherwise(F.col("pool_blocked")),
-            "pool_labels": F.when(differs, F.col("node_labels")).otherwise(F.col("pool_labels")),
-        })
-    smoothed = (F.col("pool_blocked") + PRIOR * overall) / (F.col("pool_labels") + PRIOR)
-    shares = pooled.select("host", "template", smoothed.alias("share"), (smoothed >= REJECT).alias("rejected"))
-    return counts.select("host", "path", "template").join(shares, ["host", "template"])
+    ), "url-nodes")
+    parents = nodes.select("host", F.col("node").alias("parent"), F.try_divide("blocked", "labels").alias("before"))
+    children = nodes.where((F.col("depth") > 0) & (F.col("labels") >= LEAST_LABELS)).withColumn(
+        "parent", F.slice("node", F.lit(1), F.col("depth") - 1)
+    )
+    share, before = F.try_divide("blocked", "labels"), F.col("before")
+    differing = children.join(parents.where(before.isNotNull()), ["host", "parent"]).where(
+        F.abs(share - before) > DEVIATIONS * F.sqrt(before * (1 - before) / F.col("labels"))
+    ).withColumn("above", share > before)
+    pools = differing.groupBy("host", "parent", "above").agg(F.sum("blocked").alias("b"), F.sum("labels").alias("n"))
+    own = differing.join(pools, ["host", "parent", "above"]).select("host", "node", "b", "n")
+    roots = nodes.where("depth = 0").select("host", "node", F.col("blocked").alias("b"), F.col("labels").alias("n"))
+    spoken = branches.join(own.unionByName(roots), ["host", "node"]).groupBy("host", "template").agg(
+        F.max_by(F.struct("b", "n"), "depth").alias("pool")
+    ).select("host", "template", "pool.*")
+    smoothed = (F.col("b") + PRIOR * overall) / (F.col("n") + PRIOR)
+    rejected = (F.col("n") > 0) & (F.col("b") >= REJECT * F.col("n")) & (smoothed >= REJECT)
+    shares = spoken.select("host", "template", smoothed.alias("share"), rejected.alias("rejected"))
+    return paths.select("host", "path", "template").join(shares, ["host", "template"])
 
 
 def judge_urls(pages: DataFrame, rules: list[tuple[str, str]], url: str = "url") -> DataFrame:
     """``pages`` with host, path, rule, verdict, template and share added, one row per page.
 
     Rules are (``host/path`` beginning, allow or block); the longest that fits decides. Other urls get the verdict of
-    their path template. A null url, and one without ``://``, has an empty host and path, on which the template of the
-    empty host decides. Repeated urls get equal verdicts. Other columns stay; clashing names get a trailing underscore.
+    their path template, and allow where their host has no labels. A null url, and one without ``://``, has an empty host
+    and path, on which the template of the empty host decides. Paths are looked at in all their segments, however many;
+    a branch as far from its parent as the bound does not differ. Repeated urls get equal verdicts, and each counts. An
+    empty table gives no rows. Other columns stay; clashing names get a trailing underscore.
     """
     names = {}
     for name in ("host", "path", "rule", "verdict", "template", "share"):
