@@ -54,7 +54,15 @@ def written(df, purpose: str):
     """``df`` written once to shared storage and read back: reused without recomputing, and it outlives executors."""
     path = scratch_folder(df.sparkSession, purpose)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    table = df.sparkSession.read.schema(df.schema).parquet(path)
+    table.scratch_path = path
+    return table
+
+
+def forget(*tables) -> None:
+    """Remove tables that ``written`` returned, when all that reads them has been written itself."""
+    for table in tables:
+        removed(table.sparkSession, table.scratch_path)
 
 
 def removed(spark: SparkSession, path: str) -> None:
