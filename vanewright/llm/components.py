@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vanewright.session import written
+from vanewright.session import forget, written
 
 
 def connected_components(links: DataFrame) -> DataFrame:
@@ -28,8 +28,9 @@ def connected_components(links: DataFrame) -> DataFrame:
         large = written(large, "large-star")
         small_least = large.groupBy("u").agg(F.min("v").alias("least"))
         small = large.join(small_least, "u")
-        edges = small.where(F.col("v") != F.col("least")).select(F.col("v").alias("u"), F.col("least").alias("v"))
-        edges = written(edges.union(small_least.select("u", "least")).distinct(), "small-star")
+        more = small.where(F.col("v") != F.col("least")).select(F.col("v").alias("u"), F.col("least").alias("v"))
+        old, edges = edges, written(more.union(small_least.select("u", "least")).distinct(), "small-star")
+        forget(old, large)
         state = edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if tuple(state) == before:
             break

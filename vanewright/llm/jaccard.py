@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from vanewright.llm.common import bounded_batches, by_value, process_cache
 from vanewright.llm.components import connected_components
-from vanewright.session import written
+from vanewright.session import forget, written
 
 by_value(__name__)
 
@@ -361,7 +361,9 @@ def _verified(pairs: DataFrame, sets: DataFrame, prefixes: DataFrame, similar: i
 
     whole = sets.where(needed("t1")).select("t1", "t2", "tokens").dropDuplicates(["t1", "t2"])
     compared = beside(beside(passed, whole, "a"), whole, "b")
-    return written(compared.where(similar_enough("a_tokens", "b_tokens")).select("a", "b"), "similar-pairs")
+    found = written(compared.where(similar_enough("a_tokens", "b_tokens")).select("a", "b"), "similar-pairs")
+    forget(passed)
+    return found
 
 
 def posting_lists(docs: DataFrame, words: int, similar: int, frequent: Frequent) -> DataFrame:
@@ -450,7 +452,10 @@ def similar_classes(docs: DataFrame, classes: DataFrame, words: int, similar: in
     seen = star.select(*[F.col(c).alias(f"seen_{c}") for c in ("a1", "a2", "b1", "b2")])
     rest = _rest_pairs(lists, classes, connected_components(links), similar)
     rest = rest.join(seen, _is("a1", "a2", "seen_a1", "seen_a2") & _is("b1", "b2", "seen_b1", "seen_b2"), "left_anti")
-    more = _verified(written(rest, "rest-pairs"), sets, prefixes, similar)
+    rest = written(rest, "rest-pairs")
+    forget(lists, star)
+    more = _verified(rest, sets, prefixes, similar)
+    forget(rest, sets, prefixes)
     return connected_components(links.union(more))
 
 
