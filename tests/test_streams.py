@@ -9,6 +9,7 @@ from vanewright.operators.features import hourly_features
 from vanewright.sources import files
 from vanewright.sources.landing import append_stream, stream_files
 from vanewright.streaming.hourly import dedup_readings, stream_hourly_features, upsert_stream
+from vanewright.streaming.progress import ProgressLog
 from vanewright.streaming.upserts import UpsertTable
 
 H = 1704067200
@@ -266,3 +267,18 @@ def test_columns_added_later_are_null_in_old_rows(spark, folder):
     new = UpsertTable(spark, f"{folder}/keyed", ["k"], spark.createDataFrame([], "k string, w string, v int").schema)
     new.apply(spark.createDataFrame([("b", "x", 2)], "k string, w string, v int"), 2)
     assert {tuple(r) for r in new.read().collect()} == {("a", None, 1), ("b", "x", 2), ("c", None, 1)}
+
+
+def test_progress_of_streams_is_a_table(spark, folder):
+    land(spark, f"{folder}/in", [[(H, "a", 10.0, 1.0)], [(H + 36_000, "a", 1.0, 1.0)], [(H + 36_001, "a", 1.0, 1.0)], [(H + 1, "a", 9.0, 1.0)]])
+    features = stream_hourly_features(stream_files(spark, f"{folder}/in", "parquet", SCHEMA, 1))
+    table = silver(spark, folder, features)
+    with ProgressLog(spark, f"{folder}/progress") as log:
+        query = upsert_stream(features, table, f"{folder}/checkpoint")
+        log.wait(query)
+    told = log.table().where("input_rows > 0").orderBy("batch_id").collect()
+    assert [(r.batch_id, r.input_rows, r.late_rows) for r in told] == [(0, 1, 0), (1, 1, 0), (2, 1, 0), (3, 1, 1)]
+    assert {r.run_id for r in told} == {str(query.runId)} and all(r.duration_ms > 0 and r.started_at for r in told)
+    before = log.table().count()
+    upsert_stream(features, table, f"{folder}/checkpoint").awaitTermination()  # no longer told
+    assert log.table().count() == before

@@ -345,5 +345,11 @@ ORACLES: dict[str, str] = {
         - INTERVAL 3 HOURS""",
     "q_stream_dedup": f"WITH {_READINGS} SELECT {_READING_COLUMNS} FROM readings",
     "q_stream_upsert": _HOURLY_RESULT,
+    "q_stream_late": f"""WITH {_READINGS}, span AS (SELECT min("timestamp") AS low, max("timestamp") AS high FROM readings),
+      told AS (SELECT r.*, "timestamp" < low + 86400 AND reading_id % 10 = 0 AS late, "timestamp" = high AS again
+        FROM readings r, span),
+      hours AS (SELECT date_trunc('hour', ts) AS h, turbine_id, avg(energy) AS e FROM told WHERE NOT late GROUP BY 1, 2)
+      SELECT 4 AS n_batches, count(*) + count(*) FILTER (WHERE again) AS n_rows, count(*) FILTER (WHERE late) AS n_late,
+        true AS timed, (SELECT count(*) FROM hours) AS n_hours, (SELECT round(sum(e), 4) FROM hours) AS energy FROM told""",
 }
 ORACLES["q_similar_reports_grown"] = ORACLES["q_similar_reports"]

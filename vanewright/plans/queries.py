@@ -50,6 +50,7 @@ from vanewright.sources.landing import (
 from vanewright.sources.sinks import append_result, read_csv, write_csv
 from vanewright.sources.versions import VersionedTable
 from vanewright.streaming.hourly import dedup_readings, stream_hourly_features, upsert_stream
+from vanewright.streaming.progress import ProgressLog
 from vanewright.streaming.upserts import UpsertTable
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -660,6 +661,28 @@ def stream_upsert(spark, folder):
     return _hourly_result(silver.read())
 
 
+def stream_late(spark, folder):
+    """Readings up to the middle of all time, then the others, then the very last ones again; of the first day every
+    tenth reading comes last of all, and is dropped and counted by the progress table."""
+    landed, rows = scratch_folder(spark, "landed"), written(readings(spark, folder), "readings")
+    first, last = rows.agg(F.min("timestamp"), F.max("timestamp")).first()
+    late = (F.col("timestamp") < first + 86_400) & (F.col("reading_id") % 10 == 0)
+    middle = F.col("timestamp") <= (first + last) // 2
+    for part in (~late & middle, ~late & ~middle, F.col("timestamp") == last, late):
+        rows.where(part).coalesce(1).write.mode("append").parquet(landed)
+    stream = stream_files(spark, landed, "parquet", rows.schema, 1)
+    root = scratch_folder(spark, "late")
+    features = stream_hourly_features(dedup_readings(stream, ["reading_id"]))
+    silver = UpsertTable(spark, f"{root}/silver", ["hourly_timestamp", "turbine_id"], features.schema)
+    with ProgressLog(spark, f"{root}/progress") as log:
+        log.wait(upsert_stream(features, silver, f"{root}/checkpoint"))
+    hours, energy = silver.read().agg(F.count("*"), F.round(F.sum("avg_energy"), 4)).first()
+    return log.table().where("input_rows > 0").agg(
+        F.count("*").alias("n_batches"), F.sum("input_rows").alias("n_rows"), F.sum("late_rows").alias("n_late"),
+        F.min(F.col("duration_ms") > 0).alias("timed"), F.lit(hours).alias("n_hours"), F.lit(energy).alias("energy"),
+    )
+
+
 # Models
 
 
@@ -759,6 +782,7 @@ QUERIES: dict[str, Query] = {
     "q_stream_append": stream_append,
     "q_stream_dedup": stream_dedup,
     "q_stream_upsert": stream_upsert,
+    "q_stream_late": stream_late,
     "q_model_fit": model_fit,
     "q_batch_score": batch_score,
     "q_search_trials": search_trials,

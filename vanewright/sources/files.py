@@ -62,7 +62,7 @@ def write_text(spark: SparkSession, path: str, text: str) -> None:
     out = system.create(beside, True)
     out.write(bytearray(text.encode()))
     out.close()
-    if not system.rename(beside, place):
+    if not system.rename(beside, place) and not system.exists(place):
         raise OSError(f"cannot write {path}")
 
 
