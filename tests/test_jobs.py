@@ -80,7 +80,11 @@ def test_everything(spark, lake):
     assert jobs.train(spark, root, registry, f"{lake}/results", grid, forest) == "turbine_hourly:2"  # a tie passes
     gate = spark.read.parquet(f"{lake}/results/gate")
     assert sorted((r.best_prior is None, r.deploy) for r in gate.collect()) == [(False, 1), (True, 1)]
-    assert spark.read.parquet(f"{lake}/results/trials").count() == 4
+    trials = spark.read.parquet(f"{lake}/results/trials")
+    assert trials.count() == 4 and trials.select("run_id").distinct().count() == 2
+    assert {r[0] for r in trials.select("training_version").distinct().collect()} == {1}
+    assert spark.read.parquet(f"{lake}/results/numeric_drift").groupBy("run_id").count().count() == 2
+    assert {r.name for r in spark.read.parquet(f"{lake}/registry/predictions/turbine_hourly").schema} >= {"version", "predicted_label"}
 
     model = registry.load("turbine_hourly")
     faulty = rows.filter("sensor_status = 'faulty'").first()

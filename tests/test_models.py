@@ -3,7 +3,7 @@ from pyspark.sql import functions as F
 
 from vanewright.operators import models
 from vanewright.operators.metrics import binary_metrics
-from vanewright.operators.models import ModelRegistry
+from vanewright.operators.models import ModelRegistry, PredictionStore
 from vanewright.sources.landing import append_stream, stream_files
 
 
@@ -62,6 +62,26 @@ def test_registry(spark, training, fitted, folder):
     assert models.score(loaded, rows).collect() == models.score(fitted, rows).collect()
 
 
+def test_versions_score_a_row_once_in_their_life(spark, training, fitted, folder, monkeypatch):
+    registry, store = ModelRegistry(spark, folder), PredictionStore(spark, f"{folder}/seen", ["hourly_timestamp"])
+    rows = training.where("std_sensor_A IS NOT NULL")
+    first, later = rows.where("hourly_timestamp < TIMESTAMP'2024-01-10'"), rows
+    assert store.complete("hourly", registry, first) == [] and store.scores("hourly", first, "sensor_status").count() == 0
+    given, plain = [], models.score
+    monkeypatch.setattr(models, "score", lambda model, df: (given.append(df.count()), plain(model, df))[1])
+    for version in range(1, 6):
+        registry.register("hourly", fitted, 0.9, deploy=1)
+        assert store.complete("hourly", registry, first) == [version]
+    assert given == [first.count()] * 5
+    assert store.complete("hourly", registry, first) == []
+    assert store.complete("hourly", registry, later) == [1, 2, 3, 4, 5]
+    assert given[5:] == [later.count() - first.count()] * 5
+    scores = store.scores("hourly", later, "sensor_status")
+    expected = binary_metrics(plain(fitted, later), "sensor_status", "predicted_label").first()
+    assert sorted(r.version for r in scores.collect()) == [1, 2, 3, 4, 5]
+    assert {(r.tp, r.fp, r.fn, r.tn) for r in scores.collect()} == {(expected.tp, expected.fp, expected.fn, expected.tn)}
+
+
 def test_search_is_repeatable_and_ranks_trials(training):
     forest = models.classifier()
     grid = models.search_grid(forest, 50)

@@ -6,6 +6,7 @@ Stages hand over by table, so each can be run, repeated or scheduled by itself.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from uuid import uuid4
 
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
@@ -104,20 +105,34 @@ def train(
     forest=None, name: str = MODEL,
 ) -> str | None:
     """Search a model on the latest training set, compare it with all registered ones on held-out rows, and register
-    it unless one of them is better. Trials, predictions, scores and the decision are added below ``results``."""
-    rows = model_rows(training_table(spark, lake).read())
+    it unless one of them is better. Trials, predictions, scores, drift and the decision are added below ``results``, each
+    row with the run's id and the version of its training set. Registered models score only rows they have not seen."""
+    table, run = training_table(spark, lake), uuid4().hex
+    known = {"run_id": F.lit(run), "training_version": F.lit(table.latest_version()).cast("bigint")}
+
+    def kept(df: DataFrame, what: str) -> None:
+        append_result(df.withColumns(known), f"{results}/{what}")
+
+    rows = model_rows(table.read())
     place = F.xxhash64(KEY, HOUR)
     placed = written(stratified_split(rows, "sensor_status", place), "split")
     train_rows, test_rows = (placed.filter(side).drop("is_train") for side in (F.col("is_train"), ~F.col("is_train")))
     model, trials = models.search(train_rows, grid=grid, forest=forest)
-    append_result(trials, f"{results}/trials")
-    scored = models.score(model, test_rows).withColumnRenamed("sensor_status", "real_label")
-    append_result(scored, f"{results}/predictions")
+    kept(trials, "trials")
+    scored = written(models.score(model, test_rows), "scored").withColumnRenamed("sensor_status", "real_label")
+    kept(scored, "predictions")
     current = binary_metrics(scored, "real_label", "predicted_label")
-    append_result(current, f"{results}/scores")
-    decision = deploy_gate(registry.scores(name, test_rows, "sensor_status"), current).first()
-    append_result(spark.createDataFrame([decision], "current double, best_prior double, deploy int"), f"{results}/gate")
-    return registry.register(name, model, decision["current"], decision["deploy"])
+    kept(current, "scores")
+    for drifted, what in zip(training_drift(spark, lake) or (), ("numeric_drift", "categorical_drift")):
+        kept(drifted, what)
+    store = models.PredictionStore(spark, f"{registry.root}/predictions", [KEY, HOUR])
+    store.complete(name, registry, test_rows)
+    decision = deploy_gate(store.scores(name, test_rows, "sensor_status"), current).first()
+    kept(spark.createDataFrame([decision], "current double, best_prior double, deploy int"), "gate")
+    registered = registry.register(name, model, decision["current"], decision["deploy"])
+    if registered:
+        store.add(name, int(registered.rsplit(":", 1)[1]), scored)
+    return registered
 
 
 def predict(model: PipelineModel, requests: DataFrame, text: str) -> DataFrame:
