@@ -118,8 +118,8 @@ def fit_quality(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS, most:
 def with_quality(docs: DataFrame, model: QualityModel, text: str = "text") -> DataFrame:
     """``docs`` with one more column, a struct (difference, shrinkage, worst, tightest, score) named ``quality``.
 
-    A null text counts as empty, for which all measures are 0. Whole texts are compressed. Equal texts get equal
-    results; other columns stay as they are, and a clashing name gets a trailing underscore.
+    A null text counts as empty, for which all measures are 0. Whole texts are compressed, however long. Repeated
+    rows repeat, an empty table gives no rows. Equal texts get equal results; other columns stay as they are, and a clashing name gets a trailing underscore.
     """
     bounded_batches(docs.sparkSession)
 

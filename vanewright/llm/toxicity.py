@@ -206,7 +206,8 @@ def with_measures(docs: DataFrame, model: ToxicityModel, text: str = "text") ->
     """``docs`` with one more column, a struct (total, rate, score, matched) named ``measures``.
 
     ``matched`` lists the matched words in folded form. A null text counts as empty: nothing is matched and
-    the score is the one of an empty text. Equal texts get equal results; other columns stay as they are, and a
+    the score is the one of an empty text. Whole texts are matched, however long. Repeated rows repeat, an empty table gives
+    no rows. Equal texts get equal results; other columns stay as they are, and a
     clashing name gets a trailing underscore.
     """
     bounded_batches(docs.sparkSession)
