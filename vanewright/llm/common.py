@@ -71,7 +71,8 @@ def held_out(doc_id: Column) -> Column:
 def label_sample(docs: DataFrame, labels: DataFrame, label: str, rows: int) -> DataFrame:
     """At most ``rows`` labelled documents outside the held-out part, as (text, label): a bounded sample for fits.
 
-    Chosen by the hash of the id alone, so that it is the same on every run. Only the chosen ids travel to the texts:
+    Chosen by the hash of the id alone, so that it is the same on every run. A document labelled twice counts once a label
+    row, one without a label 0 or 1 not at all. Only the chosen ids travel to the texts:
     the broadcast holds ``rows`` rows of two numbers.
     """
     ids = (

@@ -282,7 +282,8 @@ def with_language(docs: DataFrame, model: LanguageModel, text: str = "text") ->
     ``spans`` lists (lang, first word, words) over the text's words, runs of letters. ``lang_pred`` has the most
     letters, and score is its share of them times the odds over the runner-up; ``sure`` is the share of letters in spans
     that surely are in their language, whichever it is, so a text of several languages may be as sure as one of one. A null text and one without letters
-    are ``und`` with score 0 and no spans, and so is every text if the model has no language. Equal texts get equal
+    are ``und`` with score 0 and no spans, and so is every text if the model has no language. Whole texts count, however long; repeated rows repeat, an empty table gives no
+    rows. Equal texts get equal
     results; all other columns stay as they are, and a clashing name gets a trailing underscore.
     """
     bounded_batches(docs.sparkSession)

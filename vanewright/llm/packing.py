@@ -238,7 +238,7 @@ def pack(
 
     Each id of a document (its text's ids, then ``end_id``) lies in exactly one piece. With ``with_ids``, the column
     ``ids`` has a piece's ids as little-endian unsigned 32-bit numbers. A null or empty text is its end id alone; a
-    null doc_id stays null; repeated rows are packed once each; an empty table gives no rows; other columns are not
+    null doc_id stays null; texts are encoded whole, and a long one fills windows by itself; repeated rows are packed once each; an empty table gives no rows; other columns are not
     read. Windows are numbered by task and count within it.
     """
     end = int(end_id).to_bytes(4, "little")

@@ -178,7 +178,8 @@ def edit_likeness(docs: DataFrame, gram: int = GRAM, window: int = WINDOW, parts
 
     The next document is the one with the next smaller doc_id, after the smallest the largest; a single document is
     its own next. A null text counts as empty; two empty fingerprints are alike (1.0), an empty and another are not
-    (0.0). Rows that share a doc_id follow each other by text. An empty table gives no rows.
+    (0.0). Rows that share a doc_id follow each other by text. Whole texts count, however long; a text alone must fit in a
+    task. Other columns are not read. An empty table gives no rows.
     """
     bounded_batches(docs.sparkSession)
 
