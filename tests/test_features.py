@@ -1,7 +1,17 @@
+import math
+
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
-from vanewright.operators.features import hourly_features, split_percentiles, training_set
+from vanewright.operators.features import (
+    PERCENTILES,
+    hourly_features,
+    merged_percentiles,
+    sensor_sketches,
+    split_percentiles,
+    training_set,
+)
 
 H = 1704067200
 
@@ -59,3 +69,17 @@ def test_shape_of_a_small_fleet(spark):
     units = spark.createDataFrame([(f"t{u}", "x") for u in range(8)], "turbine_id string, location string")
     status = spark.createDataFrame([(f"t{u}", "ok") for u in range(8)], "turbine_id string, abnormal_sensor string")
     assert training_set(hourly_features(readings), units, status).count() == 8 * 7
+
+
+def test_percentiles_of_coarser_grains_from_sketches(spark):
+    """Small groups are exact, missing numbers do not count, and a group without numbers has none."""
+    rows = spark.range(240).select(
+        (F.lit(1704067200) + F.col("id") * 600).alias("timestamp"), F.lit("a").alias("turbine_id"),
+        F.when(F.col("id") % 5 > 0, F.col("id").cast("double")).when(F.col("id") % 2 == 0, float("nan")).alias("sensor_A"),
+        F.when(F.col("id") < 144, F.col("id")).alias("sensor_B"),
+    )
+    merged = merged_percentiles(sensor_sketches(rows), "day").orderBy("hourly_timestamp").collect()
+    assert [(r.count_sensor_A, r.count_sensor_B) for r in merged] == [(115, 144), (77, 0)]
+    values = [i for i in range(144) if i % 5]
+    assert merged[0].percentiles_sensor_A == [values[math.ceil(p * len(values)) - 1] for p in PERCENTILES]
+    assert merged[1].percentiles_sensor_B is None

@@ -163,6 +163,11 @@ ORACLES: dict[str, str] = {
     "q_hourly_features": _HOURLY_RESULT,
     "q_percentiles": f"""WITH {_READINGS} SELECT date_trunc('day', ts) AS day, event_type, {_percentile_columns()}
       FROM readings GROUP BY 1, 2""",
+    "q_coarser_percentiles": f"""WITH {_READINGS}, grains AS (
+        SELECT 'day' AS grain, date_trunc('day', ts) AS start, * FROM readings
+        UNION ALL SELECT 'month', date_trunc('month', ts), * FROM readings)
+      SELECT grain, CAST(start AS TIMESTAMP) AS start, event_type, count(sensor_value) AS n, true AS within, 5 AS shares
+      FROM grains GROUP BY 1, 2, 3""",
     "q_training_set": f"{_TRAINING} SELECT * REPLACE ({_ROUND6}) FROM training",
     "q_status_label": """SELECT event_id, abnormal_sensor,
         CASE WHEN abnormal_sensor = 'ok' THEN 'ok' ELSE 'faulty' END AS sensor_status

@@ -15,7 +15,14 @@ from vanewright.functions.text import REQUEST_FIELDS, decimals_in, explode_ids,
 from vanewright.functions.times import epoch_seconds, hour_of, with_date_parts
 from vanewright.operators import drift, metrics, models, retrieval
 from vanewright.operators.cells import VectorCells
-from vanewright.operators.features import hourly_features, split_percentiles
+from vanewright.operators.features import (
+    PERCENTILES,
+    SKETCH_SIZE,
+    hourly_features,
+    merged_percentiles,
+    sensor_sketches,
+    split_percentiles,
+)
 from vanewright.operators.fills import fill_along_time
 from vanewright.operators.keyed import (
     first_per_key,
@@ -169,6 +176,32 @@ def percentiles(spark, folder):
     return _plain_times(flat.select("day", "event_type", *[c for c in flat.columns if c.startswith("p")]), "day")
 
 
+def coarser_percentiles(spark, folder):
+    """Percentiles of days and months from stored hourly sketches alone, and whether the share of readings below each
+    is as near to what was asked for as twice the error that the sketch has 99 of 100 times."""
+    rows = readings(spark, folder)
+    stored = written(sensor_sketches(rows, ["event_type"]), "sketches")
+    found = None
+    for grain in ("day", "month"):
+        one = merged_percentiles(stored, grain, ["event_type"]).select(
+            F.lit(grain).alias("grain"), F.col("hourly_timestamp").alias("start"), "event_type",
+            F.col("count_sensor_value").alias("n"), F.col("percentiles_sensor_value").alias("found"),
+        )
+        found = one if found is None else found.unionByName(one)
+    asked = F.array(*[F.lit(float(p)) for p in PERCENTILES])
+    placed = found.select("*", F.explode(F.arrays_zip(asked.alias("share"), F.col("found").alias("value"))).alias("p"))
+    of = rows.select(F.col("event_type").alias("type"), hour_of(F.col("timestamp")).alias("hour"), "sensor_value")
+    own = (F.col("event_type") == F.col("type")) & (F.col("start") == F.expr("date_trunc(grain, hour)"))
+    value, error = F.col("p.value"), 4.6 / SKETCH_SIZE ** 0.9
+    ranks = placed.join(of, own).groupBy("grain", "start", "event_type", "n", "p").agg(
+        F.avg((F.col("sensor_value") < value).cast("int")).alias("below"),
+        F.avg((F.col("sensor_value") <= value).cast("int")).alias("up_to"),
+    )
+    near = (F.col("below") - error <= F.col("p.share")) & (F.col("p.share") <= F.col("up_to") + error)
+    result = ranks.groupBy("grain", "start", "event_type", "n").agg(F.min(near).alias("within"), F.count("*").alias("shares"))
+    return _plain_times(result, "start")
+
+
 def training(spark, folder):
     return _hourly_result(hourly_training_set(spark, folder))
 
@@ -732,6 +765,7 @@ QUERIES: dict[str, Query] = {
     "q_epoch_to_hour": epoch_to_hour,
     "q_hourly_features": hourly,
     "q_percentiles": percentiles,
+    "q_coarser_percentiles": coarser_percentiles,
     "q_training_set": training,
     "q_status_label": status_label,
     "q_latest_per_key": latest,
