@@ -254,7 +254,7 @@ ORACLES: dict[str, str] = {
         SELECT version, {_counts(_RULE.format('version'))} FROM judged, (VALUES (500), (1000)) v(version)
         GROUP BY version)
       SELECT version, tp, fp, fn, tn, round({_PRECISION}, 8) AS "precision", round({_RECALL}, 8) AS recall,
-        round({_F1}, 8) AS f1 FROM counted""",
+        round({_F1}, 8) AS f1, 'rule ' || version AS run_id, CAST(version AS INTEGER) AS least_chars, true AS recorded FROM counted""",
     "q_register": f"""WITH {_JUDGED}, counted AS (
         SELECT turn, {_counts(_RULE.format('rule'))}
         FROM judged, (VALUES (1, 5000), (2, 1000), (3, 2000), (4, 500), (5, 100)) v(turn, rule) GROUP BY turn),
