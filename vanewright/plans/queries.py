@@ -747,6 +747,20 @@ def model_fit(spark, folder):
     return metrics.binary_metrics(models.score(model, test), "sensor_status", "predicted_label")
 
 
+def model_exact(spark, folder):
+    """A forest of the default size on labels that a unit's state decides, measured on a quarter held out per label by an
+    arithmetic hash of unit and hour: whatever breaks in preparation, fit or decoding shows as a wrong row."""
+    rows = _stored_training_set(spark, folder).withColumn(
+        "sensor_status", F.when(F.col("state") == "ASIA", "faulty").otherwise("ok")
+    )
+    hours = F.floor(F.unix_seconds("hourly_timestamp") / 3600)
+    place = ((F.col("turbine_id") % 2147483648) * 2654435761 + hours * 40503) % 4294967296
+    placed = written(stratified_split(rows, "sensor_status", place), "split")
+    model = models.fit_model(placed.where("is_train").drop("is_train"))
+    scored = models.score(model, placed.where("NOT is_train"))
+    return metrics.binary_metrics(scored, "sensor_status", "predicted_label")
+
+
 def batch_score(spark, folder):
     train, test = _train_and_test(spark, folder)
     model = models.fit_model(train, forest=models.classifier(trees=20, depth=8))
@@ -824,6 +838,7 @@ QUERIES: dict[str, Query] = {
     "q_stream_upsert": stream_upsert,
     "q_stream_late": stream_late,
     "q_model_fit": model_fit,
+    "q_model_exact": model_exact,
     "q_batch_score": batch_score,
     "q_search_trials": search_trials,
 }
