@@ -1,14 +1,15 @@
 """Lines that several documents share are kept in one of them only.
 
-Texts are cut into lines once. Every line's 128-bit hash is range-partitioned together with its document, largest first, and sorted by hash, document
-and position; a line that a third of all documents hold is thus cut over many tasks. A hash
-aggregation then counts the documents of a hash and takes the largest; it does not use the order of the rows. What comes back to the documents is no text but the runs of lines to keep: a run-length
-compressed bitmap per document that loses lines.
+Texts are cut into lines once. Every task sorts its lines' 128-bit hashes by hash and document, largest first, and
+streams the first few documents of each hash on; a line that a third of all documents hold thus leaves a task as a few
+rows. Met again, sorted the same way, the first document of a hash is its holder, and whether there is a last of those
+few tells whether enough documents share it. What comes back to the documents is no text but the runs of lines to keep:
+a run-length compressed bitmap per document that loses lines.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from vanewright.llm.common import unused
@@ -62,14 +63,14 @@ def line_occurrences(docs: DataFrame, min_chars: int = 20) -> DataFrame:
 def shared_lines(occurrences: DataFrame, min_docs: int = 3) -> DataFrame:
     """(hash, holder) of every line found in at least ``min_docs`` documents; ``holder`` is the largest doc_id with
     it. Rows of one doc_id are one document."""
-    # Cutting by (hash, document) lets the count per document run inside the tasks, however common a line is; only
-    # one row per hash and task then meets its like.
-    streamed = (
-        occurrences.select("hash", "doc_id", "position")
-        .repartitionByRange(F.col("hash"), F.col("doc_id").desc())
-        .sortWithinPartitions(F.col("hash"), F.col("doc_id").desc(), F.col("position"))
+    # A bound on the rank becomes a group limit on both sides of the shuffle: only ``min_docs`` documents of a hash
+    # leave a task, however common the line is, and the aggregation finds its rows where the rank left them.
+    largest_first = Window.partitionBy("hash").orderBy(F.col("doc_id").desc())
+    first = occurrences.select("hash", "doc_id", F.dense_rank().over(largest_first).alias("place"))
+    found = (
+        first.where(F.col("place") <= min_docs)
+        .groupBy("hash").agg(F.max("place").alias("n_docs"), F.max("doc_id").alias("holder"))
     )
-    found = streamed.groupBy("hash").agg(F.countDistinct("doc_id").alias("n_docs"), F.max("doc_id").alias("holder"))
     return written(found.where(F.col("n_docs") >= min_docs).select("hash", "holder"), "shared-lines")
 
 
