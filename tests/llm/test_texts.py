@@ -201,17 +201,40 @@ def test_scan_finds_the_best_segmentation():
             parts = [marked[i:i + size] for i in range(0, len(marked), size)]
             after = [marked[i + size:i + size + pieces.longest - 1] for i in range(0, len(marked), size)]
             matrices = [pieces.transfer(p, a) for p, a in zip(parts, after)]
-            states, total = sentencepiece.border_states(matrices)
+            tree = sentencepiece.product_tree(matrices)
+            states = sentencepiece.border_states(tree, 0, 0)
             product = matrices[0]
             for matrix in matrices[1:]:
                 product = sentencepiece.max_plus(product, matrix)
-            assert abs(total - score) < 1e-6 and abs(product[0, 0] - score) < 1e-6
+            assert abs(tree[-1][0][0, 0] - score) < 1e-6 and abs(product[0, 0] - score) < 1e-6
+            assert len(states) == len(parts) + 1 and states[0] == states[-1] == 0
             scanned = [i for p, a, x, y in zip(parts, after, states, states[1:])
                        for i in pieces.ids_of(p + a, pieces.trace(p, a, x, y))]
             assert sorted(scanned) == sorted(np.frombuffer(ids, "<u4").tolist()) or abs(
                 sum(map(pieces.scores.get, map(pieces.model.id_to_piece, scanned), itertools.repeat(0))) - score) < 1
 
 
+def test_scan_in_rounds_gives_the_score_of_one_pass(spark, monkeypatch):
+    monkeypatch.setattr(sentencepiece, "FAN", 3)  # so that 30 and more chunks of a text take several rounds
+    pieces = sentencepiece.Pieces(PIECES)
+    random.seed(15)
+    texts = ["".join(random.choice("abe thè日é\n") for _ in range(n)) for n in (200, 199, 7, 61)]
+    rows = [(1, texts[0]), (1, texts[1]), (None, texts[0]), (2, texts[2]), (3, texts[3]), (3, texts[3])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = sentencepiece.encode(docs, PIECES, giant=1, chunk=6).collect()
+    assert len(found) == len(rows)
+    told = {(r.doc_id, pieces.decode(bytes(r.ids))): r.score for r in found}
+    assert set(told) == set(rows)
+    for (_, text), score in told.items():
+        assert abs(score - pieces.encode(text)[1]) < 1e-6
+    for r in found:
+        names = [pieces.model.id_to_piece(i) for i in np.frombuffer(r.ids, "<u4").tolist()]
+        own = sum(pieces.scores[n] for n in names if n in pieces.scores)
+        left = [n for n in names if n not in pieces.scores]  # characters without a piece, in bytes
+        own += pieces.lowest * sum(not 0x80 <= int(n[3:5], 16) < 0xC0 for n in left)
+        assert abs(own - r.score) < 1e-6
+
+
 def test_round_trip_by_words_and_by_chunks(odd_docs):
     for giant in (1 << 16, 10):
         encoded = sentencepiece.encode(odd_docs, PIECES, giant=giant, chunk=25)

@@ -3,8 +3,9 @@
 A piece file gives every piece a score; the encoding of a text is its segmentation with the highest summed score, and
 a character that no piece covers is written in byte pieces. The best segmentation is a product of max-plus matrices,
 so giant texts need no single task: they are cut into chunks, each chunk yields the matrix of best scores from every
-state at its left border to every state at its right one, the matrices are combined associatively, and once the state
-at each border is known, every chunk is traced back on its own. A state is how far a piece reaches over the border.
+state at its left border to every state at its right one, the matrices are multiplied pair by pair up a tree, the state
+at each border is found down the same tree, and then every chunk is traced back on its own. A state is how far a piece
+reaches over the border.
 """
 
 from __future__ import annotations
@@ -24,6 +25,8 @@ by_value(__name__)
 
 #: Characters from which a text is cut into chunks, and characters of a chunk.
 GIANT = 1 << 16
+#: Matrices that a task multiplies into one.
+FAN = 64
 #: The mark that piece files write for a space.
 SPACE = "\u2581"
 _CACHE_WORDS = 300_000
@@ -196,16 +199,73 @@ def pieces_of(path: str) -> Pieces:
     return cache[path]
 
 
-def border_states(matrices: list[np.ndarray]) -> tuple[list[int], float]:
-    """The state at each border between chunks on the best path, from the first to the last, and its score."""
-    forward = [np.full(len(matrices[0]), NEVER)]
-    forward[0][0] = 0.0
-    for matrix in matrices:
-        forward.append((forward[-1][:, None] + matrix).max(axis=0))
-    states = [0]
-    for before, matrix in zip(forward[-2::-1], matrices[::-1]):
-        states.append(int((before + matrix[:, states[-1]]).argmax()))
-    return states[::-1], float(forward[-1][0])
+def product_tree(matrices: list[np.ndarray]) -> list[list[np.ndarray]]:
+    """The matrices, the products of neighbouring pairs, the products of those, up to the product of all."""
+    levels = [matrices]
+    while len(levels[-1]) > 1:
+        below = levels[-1]
+        pairs = [below[i:i + 2] for i in range(0, len(below), 2)]
+        levels.append([max_plus(*pair) if len(pair) == 2 else pair[0] for pair in pairs])
+    return levels
+
+
+def border_states(levels: list[list[np.ndarray]], enter: int, leave: int) -> list[int]:
+    """The states at the borders of the matrices on the best path, for known states at both ends: down the tree, a
+    product's two ends give the state between its two factors."""
+    states = [enter, leave]
+    for level in levels[-2::-1]:
+        finer = states[:1]
+        for i, (start, end) in enumerate(zip(states, states[1:])):
+            if 2 * i + 1 < len(level):
+                finer.append(int((level[2 * i][start] + level[2 * i + 1][:, end]).argmax()))
+            finer.append(end)
+        states = finer
+    return states
+
+
+def _states(matrices: DataFrame, size: int) -> DataFrame:
+    """(doc_id, text_hash, chunk, enter, leave, score) of chunks with their matrices: the states of the best path.
+
+    A scan in rounds, as products are associative: up, each group multiplies at most ``FAN`` neighbouring matrices
+    of a text into one; down, each group turns the states at its ends into those between its members. However long a
+    text is, no task holds more than ``FAN`` of its matrices at once.
+    """
+    key = ["doc_id", "text_hash", "over"]
+
+    def square(group: pd.DataFrame) -> list[np.ndarray]:
+        return [np.asarray(m, np.float64).reshape(size, size) for m in group["matrix"]]
+
+    def product(group: pd.DataFrame) -> pd.DataFrame:
+        whole = product_tree(square(group.sort_values("chunk")))[-1][0]
+        return group[key].head(1).rename(columns={"over": "chunk"}).assign(matrix=[whole.ravel()])
+
+    def opened(group: pd.DataFrame) -> pd.DataFrame:
+        group = group.sort_values("chunk")
+        states = border_states(product_tree(square(group)), int(group["enter"].iloc[0]), int(group["leave"].iloc[0]))
+        return group[["doc_id", "text_hash", "chunk", "score"]].assign(enter=states[:-1], leave=states[1:])
+
+    over = F.floor(F.col("chunk") / FAN).cast("int")
+    levels, last = [matrices], matrices.agg(F.max("chunk")).first()[0] or 0
+    while last:
+        last //= FAN
+        grouped = levels[-1].withColumn("over", over).groupBy(*key)
+        levels.append(written(
+            grouped.applyInPandas(product, "doc_id long, text_hash string, chunk int, matrix array<double>"), "products"
+        ))
+    states = levels[-1].select(
+        "doc_id", "text_hash", "chunk", F.get("matrix", F.lit(0)).alias("score"),
+        F.lit(0).alias("enter"), F.lit(0).alias("leave"),
+    )
+    for level in levels[-2::-1]:
+        known = states.withColumnsRenamed({"doc_id": "_id", "text_hash": "_hash", "chunk": "_over"})
+        members = level.withColumn("over", over).join(
+            known, F.col("_id").eqNullSafe(F.col("doc_id")) & (F.col("_hash") == F.col("text_hash"))
+            & (F.col("_over") == F.col("over")),
+        )
+        states = members.select(*key, "chunk", "matrix", "score", "enter", "leave").groupBy(*key).applyInPandas(
+            opened, "doc_id long, text_hash string, chunk int, score double, enter int, leave int"
+        )
+    return states
 
 
 def _cut(docs: DataFrame, chunk: int, longest: int) -> DataFrame:
@@ -232,19 +292,8 @@ def _encode_giants(docs: DataFrame, model: str, chunk: int) -> DataFrame:
         pieces = pieces_of(model)
         return objects(pieces.transfer(t, a).ravel() for t, a in zip(text, after))
 
-    def combined(group: pd.DataFrame) -> pd.DataFrame:
-        group = group.sort_values("chunk")
-        matrices = [np.asarray(m, np.float64).reshape(longest, longest) for m in group["matrix"]]
-        states, score = border_states(matrices)
-        return pd.DataFrame({
-            "doc_id": group["doc_id"], "text_hash": group["text_hash"], "chunk": group["chunk"],
-            "enter": states[:-1], "leave": states[1:], "score": score,
-        })
-
     matrices = chunks.select("doc_id", "text_hash", "chunk", transfer("text", "after").alias("matrix"))
-    states = matrices.groupBy("doc_id", "text_hash").applyInPandas(
-        combined, "doc_id long, text_hash string, chunk int, enter int, leave int, score double"
-    )
+    states = _states(written(matrices, "matrices"), longest)
 
     @F.pandas_udf("binary")
     def traced(text: pd.Series, after: pd.Series, enter: pd.Series, leave: pd.Series) -> pd.Series:
@@ -261,8 +310,7 @@ def _encode_giants(docs: DataFrame, model: str, chunk: int) -> DataFrame:
         & (F.col("chunk") == F.col("_chunk")),
     )
     parts = both.select("doc_id", "text_hash", "chunk", "score", traced("text", "after", "enter", "leave").alias("ids"))
-    in_order = F.sort_array(F.collect_list(F.struct("chunk", "ids")))
-    joined = F.aggregate(in_order, F.lit(b""), lambda whole, part: F.concat(whole, part.ids))
+    joined = F.expr("listagg(ids, X'') WITHIN GROUP (ORDER BY chunk)")
     return parts.groupBy("doc_id", "text_hash").agg(joined.alias("ids"), F.max("score").alias("score"))
 
 
