@@ -29,6 +29,8 @@ GIANT = 1 << 16
 FAN = 64
 #: The mark that piece files write for a space.
 SPACE = "\u2581"
+#: Words looked up that a process keeps, in each of two generations: the older one is dropped when the newer is full,
+#: so that frequent words stay and those met once go.
 _CACHE_WORDS = 300_000
 NEVER = -np.inf
 
@@ -69,6 +71,7 @@ class Pieces:
             self.matcher.add_word(piece, (len(piece), score))
         self.matcher.make_automaton()
         self.words: dict[str, tuple[bytes, float]] = {}
+        self.older: dict[str, tuple[bytes, float]] = {}
 
     def steps(self, text: str, end: int) -> list[tuple[int, float]]:
         """(start, score) of every piece of ``text`` that ends at ``end``."""
@@ -81,36 +84,32 @@ class Pieces:
             out.append((end - 1, self.lowest))
         return out
 
-    def best(self, text: str, first: float = 0.0) -> tuple[list[int], float]:
+    def best(self, text: str) -> tuple[list[int], float]:
         """The borders of the best segmentation and its score; of equally good ones, the longest last piece."""
-        if first == 0.0 and self.letters.issuperset(text):
-            return self._best_of_known(text)
-        known, longest, lowest = self.scores.get, self.longest, self.lowest
-        value, came = [first], [0]
-        for end in range(1, len(text) + 1):
-            top, at, score = NEVER, end - 1, None
-            for start in range(end - longest if end > longest else 0, end):
-                score = known(text[start:end])
-                if score is not None and value[start] + score > top:
-                    top, at = value[start] + score, start
-            if score is None and value[end - 1] + lowest > top:  # the last character is no piece by itself
-                top, at = value[end - 1] + lowest, end - 1
-            value.append(top)
-            came.append(at)
-        borders = [len(text)]
-        while borders[-1]:
-            borders.append(came[borders[-1]])
-        return borders[::-1], value[-1]
-
-    def _best_of_known(self, text: str) -> tuple[list[int], float]:
-        """The same where every character is a piece: all pieces in the text are matched at once, by rising end."""
+        # All pieces in the text are matched at once, by rising end and falling length.
         value, came = [NEVER] * (len(text) + 1), [0] * (len(text) + 1)
         value[0] = 0.0
-        for last, (length, score) in self.matcher.iter(text):
-            end = last + 1
-            total = value[end - length] + score
-            if total > value[end]:
-                value[end], came[end] = total, end - length
+        if self.letters.issuperset(text):
+            for last, (length, score) in self.matcher.iter(text):
+                end = last + 1
+                total = value[end - length] + score
+                if total > value[end]:
+                    value[end], came[end] = total, end - length
+        else:
+            foreign = [end for end, c in enumerate(text, 1) if c not in self.letters]  # ends that need byte pieces
+            foreign.append(len(text) + 1)
+            lowest, due = self.lowest, 0
+            matches = [(last + 1, length, score) for last, (length, score) in self.matcher.iter(text)]
+            for end, length, score in [*matches, (len(text) + 1, 0, 0.0)]:
+                while foreign[due] < end:  # no more pieces end there
+                    at = foreign[due]
+                    if value[at - 1] + lowest > value[at]:
+                        value[at], came[at] = value[at - 1] + lowest, at - 1
+                    due += 1
+                if length:
+                    total = value[end - length] + score
+                    if total > value[end]:
+                        value[end], came[end] = total, end - length
         borders = [len(text)]
         while borders[-1]:
             borders.append(came[borders[-1]])
@@ -172,10 +171,14 @@ class Pieces:
             found = known.get(word)
             if found is None:
                 if len(known) >= _CACHE_WORDS:
-                    known.clear()
-                own = SPACE + word
-                borders, score = self.best(own)
-                found = known[word] = (np.array(self.ids_of(own, borders), "<u4").tobytes(), score)
+                    self.older, self.words = known, {}
+                    known = self.words
+                found = self.older.get(word)
+                if found is None:
+                    own = SPACE + word
+                    borders, score = self.best(own)
+                    found = (np.array(self.ids_of(own, borders), "<u4").tobytes(), score)
+                known[word] = found
             parts.append(found[0])
             total += found[1]
         return b"".join(parts), total
