@@ -92,3 +92,25 @@ def test_search_is_repeatable_and_ranks_trials(training):
     rows = trials.orderBy("trial").collect()
     assert [r.depth for r in rows] == [1, 5] and rows[1].loss < rows[0].loss <= 0
     assert best.stages[-2].getMaxDepth() == 5
+
+
+def test_search_halves_its_trials_and_forgets_the_partitions(spark, training):
+    assert models.halvings(50) == [50, 25, 13, 7, 4, 2] and models.halvings(2) == [2] and models.halvings(1) == [1]
+    assert models.round_shares(3) == [0.1875, 0.375, 0.75]
+    forest = models.classifier()
+    grid = [{**g, forest.numTrees: 4, forest.maxDepth: depth}
+            for g, depth in zip(models.search_grid(forest), (1, 6, 2, 5, 3))]
+    best, trials = models.search(training, grid=grid, forest=forest)
+    rows = trials.orderBy("round", "trial").collect()
+    tried = list(range(5))
+    for number, (size, left) in enumerate([(5, 3), (3, 2), (2, 1)]):
+        own = [r for r in rows if r["round"] == number]
+        assert [r.trial for r in own] == tried and len(own) == size
+        tried = sorted(sorted(tried, key=lambda t: ({r.trial: r.loss for r in own}[t], t))[:left])
+        assert [r.trial for r in own if r.kept] == tried
+    sizes = [rows[0]["rows"], rows[5]["rows"], rows[8]["rows"]]
+    n = training.where("sensor_status IS NOT NULL").count()
+    assert sizes == sorted(sizes) and all(abs(s - n * share) <= 2 for s, share in zip(sizes, (0.1875, 0.375, 0.75)))
+    assert best.stages[-2].getMaxDepth() == grid[tried[0]][forest.maxDepth]
+    other = models.search(training.repartition(7, "avg_energy"), grid=grid, forest=forest)[1]
+    assert other.orderBy("round", "trial").collect() == rows

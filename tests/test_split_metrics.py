@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from tests.plans import plan_of
 from vanewright.operators.bounded import join_small, rows_if_small
 from vanewright.operators.metrics import best_trial, binary_metrics, confusion, deploy_gate, resolve_versions
-from vanewright.operators.split import label_codes, one_hot, stratified_split
+from vanewright.operators.split import label_codes, one_hot, stratified_rungs, stratified_split
 
 
 def test_split_is_disjoint_stratified_and_repeatable(spark):
@@ -23,6 +23,20 @@ def test_split_keeps_unlabelled_rows(spark):
     assert rows == {1: True, 2: None}
 
 
+def test_rungs_are_exact_shares_of_each_label(spark):
+    df = spark.range(1000).select("id", F.when(F.col("id") % 10 == 0, "faulty").otherwise("ok").alias("label"))
+    odd = spark.createDataFrame([(2000, None), (None, "ok")], "id long, label string")
+    place = F.when(F.col("id").isNotNull(), F.xxhash64("id"))
+    rungs = stratified_rungs(df.union(odd), "label", place, [0.1, 0.2, 0.6])
+    counts = {(r.label, r.rung): r["count"] for r in rungs.groupBy("label", "rung").count().collect()}
+    assert counts == {("faulty", 0): 10, ("faulty", 1): 10, ("faulty", 2): 40, ("faulty", 3): 40, ("ok", 0): 90,
+                      ("ok", 1): 90, ("ok", 2): 360, ("ok", 3): 360, ("ok", None): 1, (None, None): 1}
+    by_label = rungs.where("rung IS NOT NULL").withColumn("place", place).groupBy("label", "rung").agg(
+        F.min("place").alias("low"), F.max("place").alias("high")).orderBy("label", "rung").collect()
+    assert all(a.high < b.low for a, b in zip(by_label, by_label[1:]) if a.label == b.label)
+    assert stratified_rungs(df.limit(0), "label", F.xxhash64("id"), [0.5]).count() == 0
+
+
 def test_small_side_is_broadcast_only_within_the_bound(spark):
     big = spark.range(100).withColumn("k", F.col("id") % 5)
     small = spark.range(5).select(F.col("id").alias("k"), F.lit("x").alias("v"))

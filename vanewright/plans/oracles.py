@@ -157,6 +157,12 @@ _KNN = """WITH parts AS (
         AS rank FROM distances)
       SELECT query_id, vec_id, round(distance, 6) AS distance, rank FROM ranked WHERE rank <= 5"""
 
+_DECIDED = f"""{_HOURLY}, {_TURBINES}, rows AS (
+        SELECT CASE WHEN state = 'ASIA' THEN 'faulty' ELSE 'ok' END AS label, ((turbine_id % 2147483648) * 2654435761
+          + CAST(floor(epoch(hourly_timestamp) / 3600) AS BIGINT) * 40503) % 4294967296 AS place
+        FROM features JOIN turbines USING (turbine_id) WHERE avg_energy IS NOT NULL AND std_sensor_k IS NOT NULL
+          AND std_sensor_value IS NOT NULL AND location IS NOT NULL AND model IS NOT NULL AND state IS NOT NULL)"""
+
 ORACLES: dict[str, str] = {
     "q_epoch_to_hour": f"""WITH {_READINGS}
       SELECT reading_id, "timestamp", date_trunc('hour', ts) AS hourly_timestamp FROM readings""",
@@ -350,15 +356,18 @@ ORACLES: dict[str, str] = {
         - INTERVAL 3 HOURS""",
     "q_stream_dedup": f"WITH {_READINGS} SELECT {_READING_COLUMNS} FROM readings",
     "q_stream_upsert": _HOURLY_RESULT,
-    "q_model_exact": f"""{_HOURLY}, {_TURBINES}, rows AS (
-        SELECT CASE WHEN state = 'ASIA' THEN 'faulty' ELSE 'ok' END AS label, ((turbine_id % 2147483648) * 2654435761
-          + CAST(floor(epoch(hourly_timestamp) / 3600) AS BIGINT) * 40503) % 4294967296 AS place
-        FROM features JOIN turbines USING (turbine_id) WHERE avg_energy IS NOT NULL AND std_sensor_k IS NOT NULL
-          AND std_sensor_value IS NOT NULL AND location IS NOT NULL AND model IS NOT NULL AND state IS NOT NULL),
+    "q_model_exact": f"""{_DECIDED},
       held AS (SELECT label FROM rows JOIN (SELECT label, quantile_disc(place, 0.75) AS threshold FROM rows GROUP BY 1)
         USING (label) WHERE place > threshold)
       SELECT count(*) FILTER (WHERE label = 'ok') AS tp, 0 AS fp, 0 AS fn, count(*) FILTER (WHERE label = 'faulty') AS tn,
         1.0::DOUBLE AS "precision", 1.0::DOUBLE AS recall, 1.0::DOUBLE AS f1 FROM held""",
+    "q_search_trials": f"""{_DECIDED},
+      thresholds AS (SELECT label, quantile_disc(place, 0.375) AS half, quantile_disc(place, 0.75) AS whole
+        FROM rows GROUP BY 1),
+      sizes AS (SELECT count(*) FILTER (WHERE place <= half) AS half, count(*) FILTER (WHERE place <= whole) AS whole
+        FROM rows JOIN thresholds USING (label))
+      SELECT r.round, r.n_trials, CASE r.round WHEN 0 THEN half ELSE whole END AS n_rows, r.n_kept, true AS best_kept
+      FROM sizes, (VALUES (0, 4::BIGINT, 2::BIGINT), (1, 2::BIGINT, 1::BIGINT)) r(round, n_trials, n_kept)""",
     "q_stream_late": f"""WITH {_READINGS}, span AS (SELECT min("timestamp") AS low, max("timestamp") AS high FROM readings),
       told AS (SELECT r.*, "timestamp" < low + 86400 AND reading_id % 10 = 0 AS late, "timestamp" = high AS again
         FROM readings r, span),

@@ -747,14 +747,19 @@ def model_fit(spark, folder):
     return metrics.binary_metrics(models.score(model, test), "sensor_status", "predicted_label")
 
 
-def model_exact(spark, folder):
-    """A forest of the default size on labels that a unit's state decides, measured on a quarter held out per label by an
-    arithmetic hash of unit and hour: whatever breaks in preparation, fit or decoding shows as a wrong row."""
+def _decided_labels(spark, folder):
+    """Training rows whose label a unit's state decides, and an arithmetic hash of unit and hour."""
     rows = _stored_training_set(spark, folder).withColumn(
         "sensor_status", F.when(F.col("state") == "ASIA", "faulty").otherwise("ok")
     )
     hours = F.floor(F.unix_seconds("hourly_timestamp") / 3600)
-    place = ((F.col("turbine_id") % 2147483648) * 2654435761 + hours * 40503) % 4294967296
+    return rows, ((F.col("turbine_id") % 2147483648) * 2654435761 + hours * 40503) % 4294967296
+
+
+def model_exact(spark, folder):
+    """A forest of the default size on labels that a unit's state decides, measured on a quarter held out per label by an
+    arithmetic hash of unit and hour: whatever breaks in preparation, fit or decoding shows as a wrong row."""
+    rows, place = _decided_labels(spark, folder)
     placed = written(stratified_split(rows, "sensor_status", place), "split")
     model = models.fit_model(placed.where("is_train").drop("is_train"))
     scored = models.score(model, placed.where("NOT is_train"))
@@ -771,12 +776,16 @@ def batch_score(spark, folder):
 
 
 def search_trials(spark, folder):
-    train, _ = _train_and_test(spark, folder)
-    forest = models.classifier(trees=10, depth=5)
-    grid = [{**point, forest.numTrees: 10, forest.maxDepth: depth}
-            for point, depth in zip(models.search_grid(forest, 3), (4, 6, 8))]
-    _, trials = models.search(train, grid=grid, forest=forest)
-    return trials
+    """The rounds of a search over those four points of the operator's own grid that have the fewest trees, on labels
+    that a unit's state decides: how many trials and rows each round had, and whether it kept the best."""
+    rows, place = _decided_labels(spark, folder)
+    forest = models.classifier()
+    grid = sorted(models.search_grid(forest), key=lambda point: point[forest.numTrees])[:4]
+    _, trials = models.search(rows, grid=grid, forest=forest, place=place)
+    return trials.groupBy("round").agg(
+        F.count("*").alias("n_trials"), F.max("rows").alias("n_rows"), F.count_if("kept").alias("n_kept"),
+        (F.max(F.when(F.col("kept"), F.col("loss"))) <= F.min(F.when(~F.col("kept"), F.col("loss")))).alias("best_kept"),
+    )
 
 
 QUERIES: dict[str, Query] = {
