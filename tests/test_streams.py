@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from vanewright.operators.features import hourly_features
+from vanewright.plans import queries
 from vanewright.sources import files
 from vanewright.sources.landing import append_stream, stream_files
 from vanewright.streaming.hourly import dedup_readings, stream_hourly_features, upsert_stream
@@ -282,3 +283,23 @@ def test_progress_of_streams_is_a_table(spark, folder):
     before = log.table().count()
     upsert_stream(features, table, f"{folder}/checkpoint").awaitTermination()  # no longer told
     assert log.table().count() == before
+
+
+def test_readings_of_many_files_land_in_order_of_time(spark, folder, monkeypatch):
+    """Every file spans all times, and a part has several: still no reading comes too late, and a micro-batch is a part."""
+    events = spark.range(400).select(
+        F.col("id").alias("event_id"), F.timestamp_seconds(1_700_000_000 + F.col("id") * 600).alias("ts"),
+        (F.col("id") % 3).alias("user_id"), F.lit("view").alias("event_type"), F.col("id").cast("double").alias("value"),
+        F.lit('{"k": 1}').alias("props"),
+    )
+    for part in range(4):
+        events.where(F.pmod(F.xxhash64("event_id"), F.lit(4)) == part).coalesce(1).write.mode("append").parquet(
+            f"{folder}/events.parquet")
+    monkeypatch.setattr(queries, "LANDED_ROWS", 40)
+    landed = queries._landed_in_parts(spark, folder)
+    sizes = []
+    landed.writeStream.foreachBatch(lambda batch, _: sizes.append(batch.count())).option(
+        "checkpointLocation", f"{folder}/checkpoint").trigger(availableNow=True).start().awaitTermination()
+    assert len(sizes) == 4 and sum(sizes) == 400
+    wanted = queries.hourly(spark, folder).orderBy("hourly_timestamp", "turbine_id").collect()
+    assert queries.stream_upsert(spark, folder).orderBy("hourly_timestamp", "turbine_id").collect() == wanted
