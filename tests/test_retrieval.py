@@ -101,6 +101,22 @@ def test_an_index_grown_in_steps_finds_the_same(spark, points, folder):
     assert found(index.search(queries, 5)) == brute(*points, 5)
 
 
+def test_all_large_cells_are_sampled_at_once(spark, folder, monkeypatch):
+    rows = spark.range(600).select(
+        F.concat(F.lit("r"), "id").alias("report_id"), F.array(F.col("id") * 1.0, F.col("id") % 7 * 1.0).alias("vector"))
+    single, at_once = [], []
+    sample, within = VectorCells._sample, VectorCells._centres_within
+    monkeypatch.setattr(VectorCells, "_sample", lambda self, rows: single.append(1) or sample(self, rows))
+    monkeypatch.setattr(
+        VectorCells, "_centres_within", lambda self, cells: at_once.append(len(cells)) or within(self, cells))
+    index = VectorCells(spark, f"{folder}/index", cell_rows=30)
+    index.build(rows, cells=6)
+    assert len(single) == 1 and at_once[0] == 6
+    stored = index._latest()[1]
+    assert sum(c["n_rows"] for c in stored) == 600 and max(c["n_rows"] for c in stored) <= 30
+    assert len(found(index.search(rows.limit(9).select(F.col("report_id").alias("query_id"), "vector"), 3).where("rank = 1"))) == 9
+
+
 def test_an_index_follows_a_stream(spark, points, folder):
     schema = "report_id bigint, vector array<double>"
     rows = vectors(spark, points[0], "report_id")

@@ -12,7 +12,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import DoubleType, LongType, StructField, StructType
@@ -111,6 +111,35 @@ class VectorCells:
         chosen = rows.orderBy(F.xxhash64(self.corpus_id)).limit(most).select(self.vector).collect()
         return np.array([r[0] for r in chosen if len(r[0]) == len(first[0])])
 
+    def _centres_within(self, cells: list[dict]) -> dict[int, list[np.ndarray]]:
+        """New centres for each of ``cells``, of a sample of its rows as ``_sample`` takes it. All cells at once: their
+        number grows with the corpus, so they must not be a job each."""
+        if not cells:
+            return {}
+        vector, rows = self.vector, self._rows(cells)
+        width = max(1, len(cells[0]["centre"]))
+        most = max(1, min(20_000, SAMPLE_BYTES // (8 * width)))
+        pieces = {c["cell"]: min(64, 1 + -(-c["n_rows"] // self.cell_rows)) for c in cells}
+        # The rows of least hash are twice the sample or so: no task gets a whole large cell.
+        limits = self.spark.createDataFrame(
+            [(c["cell"], min((1 << 63) - 1, (1 << 65) * most // c["n_rows"] - (1 << 63))) for c in cells],
+            "cell bigint, most_hash bigint",
+        )
+        place = F.xxhash64(self.corpus_id)
+        some = rows.join(F.broadcast(limits), "cell").where(place <= F.col("most_hash"))
+        ranked = some.withColumn("_rank", F.row_number().over(Window.partitionBy("cell").orderBy(place)))
+
+        def find(key: tuple, own: pd.DataFrame) -> pd.DataFrame:
+            points = np.array([p for p in own[vector] if len(p) == width], np.float64)
+            found = found_centres(points, pieces[key[0]]) if len(points) else []
+            return pd.DataFrame({"cell": [key[0]] * len(found), "centre": [c.tolist() for c in found]})
+
+        sample = ranked.where(F.col("_rank") <= most).select("cell", vector)
+        found = defaultdict(list)
+        for row in sample.groupBy("cell").applyInPandas(find, "cell bigint, centre array<double>").collect():
+            found[row["cell"]].append(np.array(row["centre"]))
+        return found
+
     def _assigned(self, rows: DataFrame, choices: dict[int | None, list[dict]]) -> DataFrame:
         """``rows`` with ``cell`` and ``centre_distance``: the nearest of the choices that their cell has (``None``: rows
         that are in no cell yet)."""
@@ -156,13 +185,10 @@ class VectorCells:
     def _split(self, cells: dict[int, dict], batch: str) -> bool:
         """Split the cells that are too large, and write those of too many folders together; False if there are none."""
         choices, following = {}, 1 + max(cells)
-        for cell in [c for c in cells.values() if len(c["folders"]) > self.cell_folders or (
-            c["n_rows"] > self.cell_rows and c["splits"] and c["radius"] > 0
-        )]:
-            own = [np.array(cell["centre"])]
-            if cell["n_rows"] > self.cell_rows and cell["splits"]:
-                pieces = min(64, 1 + -(-cell["n_rows"] // self.cell_rows))
-                own = list(found_centres(self._sample(self._rows([cell])), pieces))
+        large = [c for c in cells.values() if c["n_rows"] > self.cell_rows and c["splits"] and c["radius"] > 0]
+        centres = self._centres_within(large)
+        for cell in [c for c in cells.values() if len(c["folders"]) > self.cell_folders or c["cell"] in centres]:
+            own = centres.get(cell["cell"], [np.array(cell["centre"])])
             choices[cell["cell"]] = [
                 {"cell": following + i, "centre": c.tolist(), "radius": 0.0, "n_rows": 0, "folders": [], "splits": len(own) > 1}
                 for i, c in enumerate(own)

@@ -148,7 +148,7 @@ def similar_reports(
     broadcast (while they pass the size check) to pick up their details, so the report texts are not shuffled.
     """
     first = corpus.where(F.col("vector").isNotNull()).select(F.size("vector")).first()
-    parsed = parse_readings(requests, text, first and first[0]).select(query_id, "vector", "status")
+    parsed = written(parse_readings(requests, text, first and first[0]).select(query_id, "vector", "status"), "requests")
     near = search(parsed, k) if search else nearest(corpus, parsed, k, "report_id", query_id)
     found = written(near, "nearest-reports")
     details = join_small(corpus.drop("vector"), found, ["report_id"])
