@@ -8,6 +8,9 @@ Groups of near copies are not expanded into pairs. In each list of sets that sha
 compared with one of them, the one with the fewest rare tokens before it; what that links is one component. Then only
 sets of different components in one list are still compared, which leaves no link out: links inside a component
 change nothing.
+
+Every class carries a parity sketch. Each bit in which two sketches differ stands for a token of its own that one of
+the sets lacks, so pairs whose sketches differ in more bits than similar sets may differ in tokens go first, exactly.
 """
 
 from __future__ import annotations
@@ -38,6 +41,9 @@ SPLIT, SALT = 8, 32
 FILTER_BITS = 25
 #: Bytes of a text that are hashed at a time.
 SEGMENT = 1 << 18
+#: Longs of a set's parity sketch.
+SKETCH = 4
+_SKETCH = [f"k{i}" for i in range(SKETCH)]
 _SPACES = [bytes([c]) for c in b" \t\n\x0b\x0c\r"]
 _IS_SPACE = np.isin(np.arange(256), list(b" \t\n\x0b\x0c\r"))
 _ORDERS = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)
@@ -112,6 +118,13 @@ def signature(tokens: np.ndarray) -> tuple[int, int]:
     return high - (1 << 64) * (high >> 63), low - (1 << 64) * (low >> 63)
 
 
+def parity_sketch(tokens: np.ndarray) -> np.ndarray:
+    """``SKETCH`` longs whose bits are the parities of how many tokens fall on each: two sets differ in at least as many
+    tokens as their sketches in bits."""
+    bits = np.bincount((tokens % np.uint64(64 * SKETCH)).astype(np.int64), minlength=64 * SKETCH) & 1
+    return np.packbits(bits.astype(np.uint8), bitorder="little").view("<i8")
+
+
 def prefix_length(size: int, similar: int) -> int:
     """So many first tokens of a set cannot all miss a similar enough one."""
     return size - -(-similar * size // 100) + 1 if size else 0
@@ -153,12 +166,12 @@ def _batch(names: list[str], columns: list[np.ndarray]) -> pa.RecordBatch:
 
 
 def survey(docs: DataFrame, words: int) -> DataFrame:
-    """One pass over all texts, written to shared storage. Rows of two kinds: (doc_id, n, s1, s2) for every document,
-    the size and signature of its set, and (token, often) for every token that comes up ``NOTED`` times in any two
+    """One pass over all texts, written to shared storage. Rows of two kinds: (doc_id, n, s1, s2, k0, ...) for every document,
+    the size, signature and parity sketch of its set, and (token, often) for every token that comes up ``NOTED`` times in any two
     million tokens of different sets that a task reads in a row."""
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["doc_id", "n", "s1", "s2", "token", "often"]
+        names = ["doc_id", "n", "s1", "s2", "token", "often", *_SKETCH]
         held: list[np.ndarray] = []
         seen: set[tuple[int, int]] = set()
         size = 0
@@ -168,18 +181,20 @@ def survey(docs: DataFrame, words: int) -> DataFrame:
             often = counts >= NOTED
             nothing = pa.nulls(int(often.sum()), pa.int64())
             return pa.RecordBatch.from_arrays(
-                [nothing] * 4 + [pa.array(tokens[often].view(np.int64)), pa.array(counts[often].astype(np.int64))],
-                names=names,
+                [nothing] * 4 + [pa.array(tokens[often].view(np.int64)), pa.array(counts[often].astype(np.int64))]
+                + [nothing] * SKETCH, names=names,
             )
 
         for batch in batches:
             sets = [shingle_set(t.as_py() or "", words) for t in batch.column(1)]
             marks = [signature(s) for s in sets]
             both = np.array(marks, np.int64).reshape(-1, 2)
+            sketches = np.array([parity_sketch(s) for s in sets], np.int64).reshape(-1, SKETCH)
             nothing = pa.nulls(len(sets), pa.int64())
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array(both[:, 0]),
-                 pa.array(both[:, 1]), nothing, nothing], names=names,
+                 pa.array(both[:, 1]), nothing, nothing, *[pa.array(sketches[:, i]) for i in range(SKETCH)]],
+                names=names,
             )
             for mark, tokens in zip(marks, sets):
                 if mark in seen:  # copies do not make a token frequent
@@ -193,9 +208,8 @@ def survey(docs: DataFrame, words: int) -> DataFrame:
                     seen.clear()
         yield noted()
 
-    return written(
-        _docs(docs).mapInArrow(task, "doc_id long, n long, s1 long, s2 long, token long, often long"), "shingle-survey"
-    )
+    schema = ", ".join(f"{c} long" for c in ["doc_id", "n", "s1", "s2", "token", "often", *_SKETCH])
+    return written(_docs(docs).mapInArrow(task, schema), "shingle-survey")
 
 
 def frequent_tokens(surveyed: DataFrame) -> Frequent:
@@ -382,16 +396,22 @@ def posting_lists(docs: DataFrame, words: int, similar: int, frequent: Frequent)
     ), "posting-lists")
 
 
-def _of_classes(pairs: DataFrame, classes: DataFrame) -> DataFrame:
-    """Distinct pairs of classes (a1, a2, b1, b2, a, b), a the smaller id, from pairs of half signatures (s1, f1)."""
+def _of_classes(pairs: DataFrame, classes: DataFrame, similar: int) -> DataFrame:
+    """Distinct pairs of classes (a1, a2, b1, b2, a, b), a the smaller id, from pairs of half signatures (s1, f1). Left
+    out are those whose sketches differ in more bits than two similar sets of their sizes in tokens."""
     distinct = pairs.where("s1 <> f1").select(
         F.least("s1", "f1").alias("s1"), F.greatest("s1", "f1").alias("f1")
     ).distinct()
-    one = classes.select(F.struct("id", "s1", "s2").alias("one"), F.col("s1").alias("c1"))
-    other = classes.select(F.struct("id", "s1", "s2").alias("other"), F.col("s1").alias("d1"))
-    named = distinct.join(one, F.col("s1") == F.col("c1")).join(other, F.col("f1") == F.col("d1"))
+    own = F.struct("id", "s1", "s2", "n", *_SKETCH)
+    one = classes.select(own.alias("one"), F.col("s1").alias("c1"))
+    other = classes.select(own.alias("other"), F.col("s1").alias("d1"))
+    differ = sum(F.bit_count(F.col(f"one.{c}").bitwiseXOR(F.col(f"other.{c}"))) for c in _SKETCH)
+    may = differ * (100 + similar) <= (F.col("one.n") + F.col("other.n")) * (100 - similar)
+    named = distinct.join(one, F.col("s1") == F.col("c1")).join(
+        other, (F.col("f1") == F.col("d1")) & (F.col("one.id") != F.col("other.id")) & may
+    )
     low, high = F.least("one", "other"), F.greatest("one", "other")
-    return named.where("one.id <> other.id").select(
+    return named.select(
         low.s1.alias("a1"), low.s2.alias("a2"), high.s1.alias("b1"), high.s2.alias("b2"), low.id.alias("a"),
         high.id.alias("b"),
     )
@@ -406,7 +426,7 @@ def _star_pairs(lists: DataFrame, classes: DataFrame, similar: int) -> DataFrame
     among = split.join(tops, "token").where(_may_link(similar, f.n, f.at, top.n, top.at)).select(
         f.s1.alias("s1"), top.s1.alias("f1")
     )
-    return written(_of_classes(own.union(among), classes), "star-pairs")
+    return written(_of_classes(own.union(among), classes, similar), "star-pairs")
 
 
 def _longer(lists: DataFrame) -> DataFrame:
@@ -437,11 +457,11 @@ def _rest_pairs(lists: DataFrame, classes: DataFrame, components: DataFrame, sim
     pairs = others.join(whole, "token").where(
         (F.col("component") != F.col("its")) & _may_link(similar, F.col("n"), F.col("at"), F.col("m"), F.col("place"))
     ).select("s1", "f1")
-    return _of_classes(pairs, classes)
+    return _of_classes(pairs, classes, similar)
 
 
 def similar_classes(docs: DataFrame, classes: DataFrame, words: int, similar: int, frequent: Frequent) -> DataFrame:
-    """(node, component) over the classes (id, s1, s2) that are linked with another."""
+    """(node, component) over the classes (id, s1, s2, n, k0, ...) that are linked with another."""
     lists = posting_lists(docs, words, similar, frequent)
     star = _star_pairs(lists, classes, similar)
     in_stars = star.select(F.col("a1").alias("s1")).union(star.select("b1"))
@@ -471,9 +491,11 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, similar: int = SIMILAR)
     """
     bounded_batches(docs.sparkSession)
     surveyed = survey(docs, words)
-    signed = surveyed.where("s1 IS NOT NULL").select("doc_id", "n", "s1", "s2")
+    signed = surveyed.where("s1 IS NOT NULL").select("doc_id", "n", "s1", "s2", *_SKETCH)
     classes = written(
-        signed.where("n > 0 AND doc_id IS NOT NULL").groupBy("s1", "s2").agg(F.min("doc_id").alias("id")), "classes"
+        signed.where("n > 0 AND doc_id IS NOT NULL").groupBy("s1", "s2").agg(
+            F.min("doc_id").alias("id"), *[F.min(c).alias(c) for c in ("n", *_SKETCH)]
+        ), "classes"
     )
     components = similar_classes(docs, classes, words, similar, frequent_tokens(surveyed))
     named = written(
