@@ -183,6 +183,27 @@ def test_chains_and_large_groups_of_near_copies(spark, monkeypatch):
         assert Counter(tuple(r) for r in found) == plain_near_duplicates(rows, 3, similar)
 
 
+def test_pairs_with_sketches_too_far_apart_are_left_out(spark):
+    """Classes that share a passage but cannot be similar meet no sets; similar ones all do."""
+    random.seed(6)
+    vocabulary = [f"w{i}" for i in range(500)]
+    base = [random.choice(vocabulary) for _ in range(60)]
+    texts = [" ".join(base[:30] + random.choices(vocabulary, k=30)) for _ in range(20)]
+    for i in range(20):
+        words = list(base)
+        words[3 * i] = "other"
+        texts.append(" ".join(words))
+    sets = [jaccard.shingle_set(text, 4) for text in texts]
+    rows = [(i, len(s), *jaccard.signature(s), *jaccard.parity_sketch(s).tolist()) for i, s in enumerate(sets)]
+    classes = spark.createDataFrame(rows, "id long, n long, s1 long, s2 long, k0 long, k1 long, k2 long, k3 long")
+    pairs = classes.select("s1").crossJoin(classes.select(F.col("s1").alias("f1")))
+    kept = {(r.a, r.b) for r in jaccard._of_classes(pairs, classes, 85).collect()}
+    shared = {(i, j): len(set(sets[i].tolist()) & set(sets[j].tolist())) for j in range(40) for i in range(j)}
+    links = {(i, j) for (i, j), n in shared.items() if 100 * n >= 85 * (len(sets[i]) + len(sets[j]) - n)}
+    assert links and links <= kept
+    assert not any(i < 20 for i, _ in kept)
+
+
 # SentencePiece
 
 def test_scan_finds_the_best_segmentation():
