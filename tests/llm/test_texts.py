@@ -204,6 +204,50 @@ def test_pairs_with_sketches_too_far_apart_are_left_out(spark):
     assert not any(i < 20 for i, _ in kept)
 
 
+def test_only_sets_of_pairs_that_may_be_similar_are_written(spark, monkeypatch):
+    """Documents that share a passage stand in lists of many, yet cannot be similar: their sets stay where they are."""
+    random.seed(7)
+    passage = [f"p{i}" for i in range(30)]
+    rows = [(i, " ".join(passage + [f"d{i}x{k}" for k in range(30)])) for i in range(40)]
+    base = [f"b{i}" for i in range(60)]
+    rows += [(100 + i, " ".join(base + [f"e{i}"])) for i in range(10)]
+    n_sets, written = [], jaccard.written
+
+    def counted(df, purpose):
+        table = written(df, purpose)
+        if purpose == "candidate-sets":
+            n_sets.append(table.count())
+        return table
+
+    monkeypatch.setattr(jaccard, "written", counted)
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    found = jaccard.near_duplicates(docs, 4, 85).collect()
+    assert Counter(tuple(r) for r in found) == plain_near_duplicates(rows, 4, 85)
+    assert n_sets[0] == 10 and max(n_sets[1:], default=0) == 0
+
+
+def test_lists_of_several_components_give_only_pairs_that_may_be_similar(spark):
+    """A list's classes meet those of other components once, and only where places and sketches allow a link."""
+    random.seed(8)
+    base = [f"b{i}" for i in range(60)]
+    texts = [" ".join(base[:30] + [f"d{i}x{k}" for k in range(30)]) for i in range(30)]
+    texts += [" ".join([*base, f"e{i}"]) for i in range(6)]
+    sets = [jaccard.shingle_set(text, 4) for text in texts]
+    marks = [jaccard.signature(s) for s in sets]
+    sketches = [f"k{i}" for i in range(jaccard.SKETCH)]
+    classes = spark.createDataFrame(
+        [(i, len(s), *m, *jaccard.parity_sketch(s).tolist()) for i, (s, m) in enumerate(zip(sets, marks))],
+        "id long, n long, s1 long, s2 long, " + ", ".join(f"{k} long" for k in sketches),
+    )
+    lists = classes.selectExpr("1L AS token", "0 AS salt", "s1", "int(n) AS n", "int(id > 29) AS at", "36L AS length")
+    components = spark.createDataFrame([(30, 30), (31, 30)], "node long, component long")
+    mixed = jaccard._mixed_lists(lists, classes, components)
+    pairs = [frozenset(r) for r in jaccard._mixed_pairs(mixed, 85).collect()]
+    near = [m[0] for m in marks[30:]]
+    wanted = {frozenset((one, other)) for i, one in enumerate(near) for other in near[:i]} - {frozenset(near[:2])}
+    assert Counter(pairs) == Counter(wanted)
+
+
 # SentencePiece
 
 def test_scan_finds_the_best_segmentation():

@@ -267,25 +267,33 @@ def _may_link(similar: int, n: Column, at: Column, m: Column, other_at: Column)
     return most * 100 >= (n + m - most) * similar
 
 
+def _may_differ(similar: int, n: Column, m: Column, sketches: list[tuple[Column, Column]]) -> Column:
+    """Whether two sets can be similar whose sketches these are, long for long: each bit that differs stands for a token
+    that one of them lacks."""
+    differ = sum(F.bit_count(one.bitwiseXOR(other)) for one, other in sketches)
+    return differ * (100 + similar) <= (n + m) * (100 - similar)
+
+
 def _filter_bit(value: Column) -> Column:
     return F.pmod(value, F.lit(1 << FILTER_BITS))
 
 
-def _candidate_filter(classes: DataFrame) -> np.ndarray:
-    """A bitmap of fixed size over the signatures of the classes."""
-    bit = _filter_bit(F.col("s1"))
+def _candidate_filter(classes: DataFrame, name: str) -> np.ndarray:
+    """A bitmap of fixed size over the signatures or ids of the classes."""
+    bit = _filter_bit(F.col(name))
     words = classes.groupBy(F.shiftright(bit, 6).alias("word")).agg(
-        F.bit_or(F.expr("shiftleft(1L, cast(pmod(s1, 64) as int))")).alias("bits")
+        F.bit_or(F.expr(f"shiftleft(1L, cast(pmod({name}, 64) as int))")).alias("bits")
     ).toPandas()
     bitmap = np.zeros(1 << FILTER_BITS - 6, np.int64)
     bitmap[words["word"].to_numpy(np.int64)] = words["bits"].to_numpy(np.int64)
     return bitmap.view(np.uint64)
 
 
-def _candidate_sets(docs: DataFrame, words: int, similar: int, frequent: Frequent, wanted: DataFrame) -> DataFrame:
-    """(t1, t2, tokens, second, third) of the wanted classes (s1), and of a few others: signature, whole set at 48 bits
-    a token, and 32 bits of its prefix tokens under the other orders. A class can come from several tasks."""
-    bitmap = _candidate_filter(wanted)
+def _candidate_sets(docs: DataFrame, words: int, similar: int, frequent: Frequent, pairs: DataFrame) -> DataFrame:
+    """(t1, t2, tokens, second, third) of the classes of the pairs (a, b), and of a few others: signature, whole set at
+    48 bits a token, and 32 bits of its prefix tokens under the other orders. Only the documents that classes are named
+    after are cut into shingles."""
+    bitmap = _candidate_filter(pairs.select(F.col("a").alias("id")).union(pairs.select("b")), "id")
 
     def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[tuple[int, int]] = set()
@@ -299,9 +307,11 @@ def _candidate_sets(docs: DataFrame, words: int, similar: int, frequent: Frequen
             )
 
         for doc_id, text in _rows(batches):
+            if doc_id is None or not _in_filter(bitmap, doc_id):
+                continue
             tokens = shingle_set(text, words)
             mark = signature(tokens)
-            if doc_id is None or mark in seen or not _in_filter(bitmap, mark[0]):
+            if mark in seen:
                 continue
             if len(seen) >= 1_000_000:
                 seen.clear()
@@ -344,13 +354,10 @@ def _is(s1: str, s2: str, t1: str, t2: str) -> Column:
     return (F.col(s1) == F.col(t1)) & (F.col(s2) == F.col(t2))
 
 
-def _prefixes(sets: DataFrame) -> DataFrame:
-    return written(sets.select("t1", "t2", "second", "third").dropDuplicates(["t1", "t2"]), "other-prefixes")
-
-
-def _verified(pairs: DataFrame, sets: DataFrame, prefixes: DataFrame, similar: int) -> DataFrame:
+def _verified(pairs: DataFrame, sets: DataFrame, similar: int) -> DataFrame:
     """The pairs of classes (a1, a2, b1, b2, a, b) that share prefix tokens under the other orders too, and are
     similar: (a, b)."""
+    prefixes = written(sets.select("t1", "t2", "second", "third").dropDuplicates(["t1", "t2"]), "other-prefixes")
 
     def beside(left: DataFrame, right: DataFrame, name: str) -> DataFrame:
         side = right.select(*[F.col(c).alias(f"{name}_{c}") for c in right.columns])
@@ -361,7 +368,7 @@ def _verified(pairs: DataFrame, sets: DataFrame, prefixes: DataFrame, similar: i
     passed = written(both.where(overlap).select(*pairs.columns), "candidate-pairs")
 
     ends = passed.select(F.col("a1").alias("s1")).union(passed.select("b1"))
-    bitmap = _candidate_filter(ends)  # of fixed size: only sets that are needed are shuffled
+    bitmap = _candidate_filter(ends, "s1")  # of fixed size: only sets that are needed are shuffled
 
     @F.pandas_udf("boolean")
     def needed(signature: pd.Series) -> pd.Series:
@@ -376,7 +383,7 @@ def _verified(pairs: DataFrame, sets: DataFrame, prefixes: DataFrame, similar: i
     whole = sets.where(needed("t1")).select("t1", "t2", "tokens").dropDuplicates(["t1", "t2"])
     compared = beside(beside(passed, whole, "a"), whole, "b")
     found = written(compared.where(similar_enough("a_tokens", "b_tokens")).select("a", "b"), "similar-pairs")
-    forget(passed)
+    forget(passed, prefixes)
     return found
 
 
@@ -405,8 +412,8 @@ def _of_classes(pairs: DataFrame, classes: DataFrame, similar: int) -> DataFrame
     own = F.struct("id", "s1", "s2", "n", *_SKETCH)
     one = classes.select(own.alias("one"), F.col("s1").alias("c1"))
     other = classes.select(own.alias("other"), F.col("s1").alias("d1"))
-    differ = sum(F.bit_count(F.col(f"one.{c}").bitwiseXOR(F.col(f"other.{c}"))) for c in _SKETCH)
-    may = differ * (100 + similar) <= (F.col("one.n") + F.col("other.n")) * (100 - similar)
+    sketches = [(F.col(f"one.{c}"), F.col(f"other.{c}")) for c in _SKETCH]
+    may = _may_differ(similar, F.col("one.n"), F.col("other.n"), sketches)
     named = distinct.join(one, F.col("s1") == F.col("c1")).join(
         other, (F.col("f1") == F.col("d1")) & (F.col("one.id") != F.col("other.id")) & may
     )
@@ -434,48 +441,60 @@ def _longer(lists: DataFrame) -> DataFrame:
     return lists.where("length > 2 OR salt > 0")
 
 
-def _rest_pairs(lists: DataFrame, classes: DataFrame, components: DataFrame, similar: int) -> DataFrame:
-    """Pairs of different components in one list. One of them is not of the component most of the list belongs to, its
-    leader's, so only such classes are set against the whole list."""
-    known = classes.join(components, F.col("id") == F.col("node")).select(
-        F.col("s1").alias("c1"), F.struct(F.lit(True).alias("linked"), F.col("component").alias("x")).alias("component")
-    )
-    placed = _longer(lists).select("token", "s1", "n", "at").join(known, F.col("s1") == F.col("c1"), "left")
+def _mixed_lists(lists: DataFrame, classes: DataFrame, components: DataFrame) -> DataFrame:
+    """(token, s1, n, at, component, k0, ..., main) of the lists with classes of several components; main is that of the
+    leader, to which most of the list belongs."""
+    linked = F.struct(F.lit(True).alias("linked"), F.col("component").alias("x"))
     alone = F.struct(F.lit(False).alias("linked"), F.col("s1").alias("x"))
-    placed = written(placed.select(
-        "token", "s1", "n", "at", F.coalesce("component", alone).alias("component")
-    ), "placed-lists")
+    known = classes.join(components, F.col("id") == F.col("node"), "left").select(
+        F.col("s1").alias("c1"), F.when(F.col("component").isNotNull(), linked).otherwise(alone).alias("component"),
+        *_SKETCH,
+    )
+    placed = written(
+        _longer(lists).select("token", "s1", "n", "at").join(known, F.col("s1") == F.col("c1")).drop("c1"),
+        "placed-lists",
+    )
     mixed = placed.groupBy("token").agg(
         F.min("component").alias("low"), F.max("component").alias("high"),
         F.min(F.struct("at", "n", "s1", "component")).alias("first"),
     ).where("low <> high").select("token", F.col("first.component").alias("main"))
     whole = written(placed.join(written(mixed, "mixed-lists"), "token"), "mixed-rows")
+    forget(placed)
+    return whole
+
+
+def _mixed_pairs(whole: DataFrame, similar: int) -> DataFrame:
+    """(s1, f1): pairs of different components in one list that may be similar by their places and sketches. One of them
+    is not of the list's main component, so only such classes are set against the whole list, each two of them once a
+    list."""
     others = whole.where(F.col("component") != F.col("main")).select(
         "token", F.col("s1").alias("f1"), F.col("n").alias("m"), F.col("at").alias("place"),
-        F.col("component").alias("its"),
+        F.col("component").alias("its"), *[F.col(c).alias(f"its_{c}") for c in _SKETCH],
     )
-    pairs = others.join(whole, "token").where(
-        (F.col("component") != F.col("its")) & _may_link(similar, F.col("n"), F.col("at"), F.col("m"), F.col("place"))
+    once = (F.col("component") == F.col("main")) | (F.col("s1") < F.col("f1"))
+    return others.join(whole, "token").where(
+        (F.col("component") != F.col("its")) & once
+        & _may_link(similar, F.col("n"), F.col("at"), F.col("m"), F.col("place"))
+        & _may_differ(similar, F.col("n"), F.col("m"), [(F.col(c), F.col(f"its_{c}")) for c in _SKETCH])
     ).select("s1", "f1")
-    return _of_classes(pairs, classes, similar)
 
 
 def similar_classes(docs: DataFrame, classes: DataFrame, words: int, similar: int, frequent: Frequent) -> DataFrame:
     """(node, component) over the classes (id, s1, s2, n, k0, ...) that are linked with another."""
     lists = posting_lists(docs, words, similar, frequent)
     star = _star_pairs(lists, classes, similar)
-    in_stars = star.select(F.col("a1").alias("s1")).union(star.select("b1"))
-    wanted = in_stars.union(_longer(lists).select("s1"))
-    sets = _candidate_sets(docs, words, similar, frequent, wanted)
-    prefixes = _prefixes(sets)
-    links = _verified(star, sets, prefixes, similar)
+    sets = _candidate_sets(docs, words, similar, frequent, star)
+    links = _verified(star, sets, similar)
+    forget(sets)
     seen = star.select(*[F.col(c).alias(f"seen_{c}") for c in ("a1", "a2", "b1", "b2")])
-    rest = _rest_pairs(lists, classes, connected_components(links), similar)
+    mixed = _mixed_lists(lists, classes, connected_components(links))
+    rest = _of_classes(_mixed_pairs(mixed, similar), classes, similar)
     rest = rest.join(seen, _is("a1", "a2", "seen_a1", "seen_a2") & _is("b1", "b2", "seen_b1", "seen_b2"), "left_anti")
     rest = written(rest, "rest-pairs")
-    forget(lists, star)
-    more = _verified(rest, sets, prefixes, similar)
-    forget(rest, sets, prefixes)
+    forget(lists, star, mixed)
+    sets = _candidate_sets(docs, words, similar, frequent, rest)
+    more = _verified(rest, sets, similar)
+    forget(rest, sets)
     return connected_components(links.union(more))
 
 
