@@ -205,10 +205,10 @@ def test_pairs_with_sketches_too_far_apart_are_left_out(spark):
 
 
 def test_only_sets_of_pairs_that_may_be_similar_are_written(spark, monkeypatch):
-    """Documents that share a passage stand in lists of many, yet cannot be similar: their sets stay where they are."""
-    random.seed(7)
-    passage = [f"p{i}" for i in range(30)]
-    rows = [(i, " ".join(passage + [f"d{i}x{k}" for k in range(30)])) for i in range(40)]
+    """Documents that overlap with their neighbours stand in lists of many, yet cannot be similar: their sets stay where
+    they are."""
+    long = [f"p{i}" for i in range(460)]
+    rows = [(i, " ".join(long[10 * i:10 * i + 60])) for i in range(40)]
     base = [f"b{i}" for i in range(60)]
     rows += [(100 + i, " ".join(base + [f"e{i}"])) for i in range(10)]
     n_sets, written = [], jaccard.written
