@@ -1,3 +1,5 @@
+import threading
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -114,3 +116,31 @@ def test_search_halves_its_trials_and_forgets_the_partitions(spark, training):
     assert best.stages[-2].getMaxDepth() == grid[tried[0]][forest.maxDepth]
     other = models.search(training.repartition(7, "avg_energy"), grid=grid, forest=forest)[1]
     assert other.orderBy("round", "trial").collect() == rows
+
+
+def test_search_lays_rows_out_for_its_fits_and_fits_many_rows_one_after_the_other(spark, training, monkeypatch):
+    for name, value in {"ROWS_A_TASK": 20, "MANY_TASKS": 10, "MOST_ROWS_A_TASK": 25, "ROWS_SIDE_BY_SIDE": 1}.items():
+        monkeypatch.setattr(models, name, value, raising=False)
+    told, running, lock, plain_fit = [], [], threading.Lock(), models.RandomForestClassifier.fit
+
+    def fit(forest, rows, params=None):
+        with lock:
+            running.append(forest)
+            told.append([rows.count(), rows.rdd.getNumPartitions(), len(running)])
+        try:
+            return plain_fit(forest, rows, params)
+        finally:
+            with lock:
+                running.pop()
+
+    monkeypatch.setattr(models.RandomForestClassifier, "fit", fit)
+    cached = training.count() and spark.sparkContext._jsc.getPersistentRDDs().size()
+    forest = models.classifier()
+    grid = [{**g, forest.numTrees: 3, forest.maxDepth: 4} for g in models.search_grid(forest, 4)]
+    _, trials = models.search(training, grid=grid, forest=forest)
+    half, most = (r["rows"] for r in trials.select("round", "rows").distinct().orderBy("round").collect())
+    tasks = {half: -(-half // 20), most: -(-most // 25), 400: 16}
+    assert [n for n, _, _ in told] == [half] * 4 + [most] * 2 + [400]
+    assert [n for _, n, _ in told] == [tasks[n] for n, _, _ in told]
+    assert {n for _, _, n in told} == {1}
+    assert spark.sparkContext._jsc.getPersistentRDDs().size() == cached
