@@ -8,8 +8,9 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, StructType
+from pyspark.sql.types import DateType, IntegralType, LongType, StructType
 
+from vanewright.operators.bounded import MAX_BYTES, rows_if_small
 from vanewright.operators.keyed import first_per_key, merge_rows
 from vanewright.sources import files
 
@@ -55,8 +56,15 @@ class UpsertTable:
     ):
         self.spark, self.root, self.keys, self.schema, self.keep = spark, root.rstrip("/"), list(keys), schema, keep
         hashed = F.pmod(F.xxhash64(*[F.col(k) for k in self.keys]), F.lit(buckets))
-        named = F.coalesce((hashed if bucket is None else bucket).cast("string"), F.lit("none"))
-        self.bucket = F.regexp_replace(named, "[^0-9A-Za-z.-]", "-")  # also a folder's name
+        bucket = hashed if bucket is None else bucket
+        kind = spark.createDataFrame([], schema).select(bucket).schema[0].dataType
+        named = F.coalesce(bucket.cast("string"), F.lit("none"))
+        if isinstance(kind, DateType):  # far years have a plus
+            self.bucket = F.replace(named, F.lit("+"), F.lit("-"))
+        elif isinstance(kind, IntegralType):
+            self.bucket = named
+        else:  # also a folder's name; a pattern costs more than all else that a row's bucket takes
+            self.bucket = F.regexp_replace(named, "[^0-9A-Za-z.-]", "-")
 
     # streams and their batches
 
@@ -70,14 +78,20 @@ class UpsertTable:
         files.write_text(self.spark, path, str(number))
         return number
 
-    def apply(self, batch: DataFrame, batch_id: int, order: Sequence[Column] = (), stream: int = 0) -> None:
-        """Upsert a batch. Of several rows with one key the first in ``order`` is taken (without one: any).
+    def apply(
+        self, batch: DataFrame, batch_id: int, order: Sequence[Column] = (), stream: int = 0, grouped: bool = False
+    ) -> None:
+        """Upsert a batch. Of several rows with one key the first in ``order`` is taken (without one: any). A batch that
+        is ``grouped`` by the table's keys has one row each and is written as it comes, without a second grouping.
 
         The batches of a stream come in order; the last one may come again."""
         if batch_id <= self._manifest().done.get(stream, -1):
             return
-        one_each = first_per_key(batch, self.keys, order) if order else batch.dropDuplicates(self.keys)
-        one_each.select(*self.schema.names).write.mode("overwrite").parquet(self._change(stream, batch_id))
+        if order:
+            batch = first_per_key(batch, self.keys, order)
+        elif not grouped:
+            batch = batch.dropDuplicates(self.keys)
+        batch.select(*self.schema.names).write.mode("overwrite").parquet(self._change(stream, batch_id))
 
     def _change(self, stream: int, batch: int) -> str:
         return f"{self.root}/changes/{_STREAM}={stream}/{_BATCH}={batch}"
@@ -123,7 +137,7 @@ class UpsertTable:
         """Current rows; with ``through``, later batches left out."""
         manifest = self._manifest()
         new = [(s, b) for s, b in self._unfolded(manifest.done) if through is None or b <= through]
-        return self._state(manifest, new, list(manifest.buckets)).select(*self.schema.names)
+        return self._state(manifest, new, list(manifest.buckets), self._newest(new)).select(*self.schema.names)
 
     def _changes(self, batches: Sequence[tuple[int, int]]) -> DataFrame:
         paths = [self._change(*b) for b in batches]
@@ -131,10 +145,31 @@ class UpsertTable:
             return self.spark.createDataFrame([], self._tagged())
         return self.spark.read.schema(self._tagged()).option("basePath", f"{self.root}/changes").parquet(*paths)
 
-    def _state(self, manifest: Manifest, batches: Sequence[tuple[int, int]], buckets: Sequence[str]) -> DataFrame:
+    def _newest(self, batches: Sequence[tuple[int, int]]) -> DataFrame:
+        """The newest change of each key."""
+        return first_per_key(self._changes(batches), self.keys, [F.struct(_STREAM, _BATCH).desc()])
+
+    def _newest_by_keys(self, batches: Sequence[tuple[int, int]]) -> DataFrame:
+        """The same rows, for batches that mostly change different keys: the keys alone are counted first. While those
+        of several batches are few, only they are looked up, and rows are neither shuffled nor sorted."""
+        width = 1 + max(batch for _, batch in batches)
+        changes = self._changes(batches).withColumn("_place", F.col(_STREAM) * F.lit(width) + F.col(_BATCH))
+        again = changes.groupBy(*[F.col(k).alias(f"_again_{i}") for i, k in enumerate(self.keys)]).agg(
+            F.max("_place").alias("_last"), F.count("*").alias("_times")
+        ).where("_times > 1")
+        found = rows_if_small(again)
+        if found is None or sum(len(str(v)) for row in found for v in row) > MAX_BYTES:
+            return self._newest(batches)
+        older = F.col("_place") < F.col("_last")
+        for i, k in enumerate(self.keys):
+            older &= F.col(k).eqNullSafe(F.col(f"_again_{i}"))
+        return changes.join(F.broadcast(again), older, "left_anti").drop("_place")
+
+    def _state(
+        self, manifest: Manifest, batches: Sequence[tuple[int, int]], buckets: Sequence[str], newest: DataFrame
+    ) -> DataFrame:
         """Stored rows of some buckets with the newest change of each key laid over them."""
         base = self._base(manifest, buckets)
-        newest = first_per_key(self._changes(batches), self.keys, [F.struct(_STREAM, _BATCH).desc()])
         if batches and manifest.done and batches[0][0] < max(manifest.done):
             # an earlier stream goes on after a later one was folded in: what that one wrote is newer
             stored = base.select(*self.keys, F.struct(_STREAM, _BATCH).alias("_stored"))
@@ -151,7 +186,8 @@ class UpsertTable:
         if not batches:
             return None
         touched = [r[0] for r in self._changes(batches).select(self.bucket.alias("bucket")).distinct().collect()]
-        state = self._state(manifest, batches, [b for b in touched if b in manifest.buckets])
+        stored = [b for b in touched if b in manifest.buckets]
+        state = self._state(manifest, batches, stored, self._newest_by_keys(batches))
         return self._commit(state, manifest.buckets, {**manifest.done, **dict(batches)})
 
     def rebuild(self, df: DataFrame) -> int:
